@@ -192,14 +192,27 @@ def fraud_trend(scored: DataFrame, days: int = 7) -> DataFrame:
 def reconcile(source: DataFrame, target: DataFrame, rejects: DataFrame, dataset: str) -> DataFrame:
     """One row comparing what was read with what was loaded plus what was rejected.
 
-    `rejects` holds one row per rejected record with its amount. The three sides
-    are one-row aggregates.
+    `rejects` holds the amount of each rejected record, and the number of its
+    `copies` where identical ones share a row. One aggregation counts all sides.
     """
-    def totals(df: DataFrame, side: str) -> DataFrame:
-        return df.agg(F.count("*").alias(f"{side}_count"), money_sum("amount").alias(f"{side}_amount"))
-
-    joined = totals(source, "source").join(totals(target, "target")).join(totals(rejects, "rejected"))
-    compared = joined.select(
+    sides = {"source": source, "target": target, "rejected": rejects}
+    amounts = [
+        df.select(
+            F.lit(side).alias("side"), "amount",
+            (F.col("copies") if "copies" in df.columns else F.lit(1)).cast("bigint").alias("copies"),
+        )
+        for side, df in sides.items()
+    ]
+    rows = amounts[0].unionByName(amounts[1]).unionByName(amounts[2])
+    totals = rows.agg(*[
+        column
+        for side in sides
+        for column in (
+            F.coalesce(F.sum(F.when(F.col("side") == side, F.col("copies"))), F.lit(0)).alias(f"{side}_count"),
+            money_sum(F.when(F.col("side") == side, F.col("amount") * F.col("copies"))).alias(f"{side}_amount"),
+        )
+    ])
+    compared = totals.select(
         F.lit(dataset).alias("dataset"),
         "source_count", "target_count", "rejected_count", "source_amount", "target_amount", "rejected_amount",
         (F.col("source_count") - F.col("target_count") - F.col("rejected_count")).alias("count_difference"),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerbrook.functions import columns as fx
+from ledgerbrook.operators.dedup import repeated_keys
 from ledgerbrook.operators.lookup import lookup
 from ledgerbrook.settings import (
     ACCOUNT_STATUSES, CHANNELS, CUSTOMER_SEGMENTS, REQUIRED_FIELDS,
@@ -65,17 +66,10 @@ def not_future(column: str, as_of: dt.datetime, name: str | None = None) -> Rule
     return Rule(name or f"TIMESTAMP_{column}", "TIMESTAMP", (column,), f"Future timestamp: {column}", late)
 
 
-def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys occurring more than once, with their number of rows. NULL is no key."""
-    return (
-        df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("cnt")).where("cnt > 1")
-    )
-
-
 def unique(key: str, name: str | None = None, rejects: bool = True) -> Rule:
     """All copies of a repeated key fail; NULL keys never do."""
     return Rule(name or f"UNIQUENESS_{key}", "UNIQUENESS", (key,), f"Duplicate {key}",
-                bad_keys=lambda df: duplicate_keys(df, key).select(key), rejects=rejects)
+                bad_keys=lambda df: repeated_keys(df, key).select(key), rejects=rejects)
 
 
 def orphan_keys(df: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
@@ -122,13 +116,14 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return checked.select(*df.columns, F.array_compact(F.array(*failures)).alias("failed_rules"))
 
 
-def _rejecting(rules: list[Rule]) -> Column:
+def is_rejected(rules: list[Rule]) -> Column:
+    """Whether an evaluated row fails a rejecting rule."""
     names = F.array(*[F.lit(r.name) for r in rules if r.rejects]).cast("array<string>")
     return F.arrays_overlap("failed_rules", names)
 
 
 def passed(evaluated: DataFrame, rules: list[Rule]) -> DataFrame:
-    return evaluated.where(~_rejecting(rules)).drop("failed_rules")
+    return evaluated.where(~is_rejected(rules)).drop("failed_rules")
 
 
 def rejected(evaluated: DataFrame, rules: list[Rule], record_id: str) -> DataFrame:
