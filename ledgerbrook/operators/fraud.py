@@ -229,6 +229,8 @@ def busy_days(transactions: DataFrame, settings: FraudSettings = DEFAULTS) -> Da
 
 def party_of(transactions: DataFrame) -> DataFrame:
     """Add `party_id`: the customer, or the account where the customer is unknown."""
+    if "party_id" in transactions.columns:
+        return transactions
     customer = F.col("customer_id") if "customer_id" in transactions.columns else F.lit(None).cast("string")
     return transactions.withColumn("party_id", F.coalesce(customer, F.col("account_id")))
 
@@ -322,19 +324,24 @@ def score_rules(flagged: DataFrame, settings: FraudSettings = DEFAULTS) -> DataF
     )
 
 
-def alerts(scored: DataFrame) -> DataFrame:
-    """One row per (transaction, fired rule) with its place by risk score.
+def fired(scored: DataFrame) -> DataFrame:
+    """One row per (transaction, fired rule)."""
+    return scored.where("risk_score > 0").withColumn("rule", F.explode("fired_rules")).drop("fired_rules")
+
 
-    `alert_rank` is 1 + the number of alerts with a higher score. It comes from
-    the alert counts per score, of which there are at most 101, so no global sort.
+def prioritized(rows: DataFrame) -> DataFrame:
+    """Add `alert_rank`: 1 + the number of alerts with a higher score.
+
+    It comes from the alert counts per score, of which there are at most 101, so
+    nothing is sorted globally.
     """
-    rows = scored.where("risk_score > 0").withColumn("rule", F.explode("fired_rules")).drop("fired_rules")
-    per_score = (
-        scored.where("risk_score > 0")
-        .groupBy("risk_score").agg(F.sum(F.size("fired_rules")).alias("n"))
-    )
+    per_score = rows.groupBy("risk_score").agg(F.count("*").alias("n"))
     higher = Window.partitionBy(F.lit(1)).orderBy(F.desc("risk_score")).rowsBetween(Window.unboundedPreceding, -1)
     ranks = per_score.select(
         "risk_score", (F.coalesce(F.sum("n").over(higher), F.lit(0)) + 1).alias("alert_rank")
     )
     return rows.join(F.broadcast(ranks), "risk_score")  # at most 101 rows
+
+
+def alerts(scored: DataFrame) -> DataFrame:
+    return prioritized(fired(scored))

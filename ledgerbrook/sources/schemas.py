@@ -90,5 +90,5 @@ STATE = {
         "count_difference:bigint amount_difference:big_money count_status amount_status "
         "overall_status run_timestamp:instant"
     ),
-    "published": _struct("dataset version published_at:instant"),
+    "published": _struct("dataset run_id version published_at:instant"),
 }

@@ -7,6 +7,7 @@ cannot damage a log, and readers never see a half-written state.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,16 @@ def append_state(df: DataFrame, root: str, table: str) -> None:
     df.select(*columns).write.mode("append").parquet(state_path(root, table))
 
 
+def write_run(df: DataFrame, root: str, table: str, run_id: str, dataset: str) -> None:
+    """Write a run's rows for a dataset; repeating the run replaces them."""
+    columns = [
+        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in STATE[table] if f.name not in ("run_id", "dataset")
+    ]
+    path = f"{state_path(root, table)}/run_id={run_id}/dataset={dataset}"
+    df.select(*columns).write.mode("overwrite").parquet(path)
+
+
 def append_row(spark: SparkSession, root: str, table: str, **values) -> None:
     names = [f.name for f in STATE[table]]
     row = spark.createDataFrame([tuple(values.get(n) for n in names)], STATE[table])
@@ -68,24 +79,31 @@ def update_watermark(spark: SparkSession, root: str, dataset: str, new_watermark
 # ---- versioned tables ------------------------------------------------------------
 
 
-def publish(df: DataFrame, root: str, table: str, version: str,
+def publish(df: DataFrame, root: str, table: str, run_id: str,
             published_at: dt.datetime | None = None) -> DataFrame:
     """Write a table as a new version directory, then put that version in force.
 
-    The old version stays readable, so a table can be derived from itself, and a
-    failure before the last step leaves the old version in force.
+    No directory is ever overwritten: a table can be derived from itself, its
+    readers are not disturbed, and a failure leaves the old version in force.
     """
     spark = df.sparkSession
+    version = f"{run_id}-{uuid.uuid4().hex[:8]}"
     path = _version_path(root, table, version)
-    df.write.mode("overwrite").parquet(path)
-    append_row(spark, root, "published", dataset=table, version=version,
+    df.write.parquet(path)
+    append_row(spark, root, "published", dataset=table, run_id=run_id, version=version,
                published_at=published_at or dt.datetime.now(dt.timezone.utc))
     return spark.read.parquet(path)
 
 
-def read_published(spark: SparkSession, root: str, table: str) -> DataFrame | None:
-    """The version in force, or None before the first."""
+def read_published(spark: SparkSession, root: str, table: str, not_by: str | None = None) -> DataFrame | None:
+    """The version in force, or None before the first.
+
+    `not_by` leaves out a run's own versions, so that a repeated run starts from
+    the same version as its first attempt.
+    """
     log = read_state(spark, root, "published").where(F.col("dataset") == table)
+    if not_by is not None:
+        log = log.where(F.col("run_id") != not_by)
     row = log.agg(F.max_by("version", "published_at").alias("version")).first()
     return spark.read.parquet(_version_path(root, table, row["version"])) if row["version"] else None
 
