@@ -70,3 +70,9 @@ def merchant_risk(category: str | Column) -> Column:
 def same(left: Column, right: Column) -> Column:
     """Equality in which NULL equals NULL."""
     return left.eqNullSafe(right)
+
+
+def chosen(pairs: list[tuple[Column, str]]) -> Column:
+    """The texts whose condition holds, as an array in the given order."""
+    none = F.array().cast("array<string>")
+    return F.concat(none, *[F.when(condition, F.array(F.lit(text))).otherwise(none) for condition, text in pairs])

@@ -117,11 +117,9 @@ def recent_activity(transactions: DataFrame, settings: FraudSettings = DEFAULTS)
         event(at + 1, zero, n_failed, no_city, never, False),
         event(at + failed + 1, zero, -n_failed, no_city, never, False),
     )
-    in_slice = F.filter(
-        events,
-        lambda e: e["real"] | ((e["at"] < F.col("slice") + width) & ((e["count"] != 0) | (e["failures"] != 0))),
+    line = sliced.select("account_id", "slice", F.inline(events)).where(
+        F.col("real") | ((F.col("at") < F.col("slice") + width) & ((F.col("count") != 0) | (F.col("failures") != 0)))
     )
-    line = sliced.select("account_id", "slice", F.inline(in_slice))
 
     # The second window's order is a prefix of the first one's: one shuffle, one sort.
     timeline = Window.partitionBy("account_id", "slice").orderBy("at", "city")
@@ -241,34 +239,34 @@ def party_of(transactions: DataFrame) -> DataFrame:
 def high_velocity(transactions: DataFrame, settings: FraudSettings = DEFAULTS) -> DataFrame:
     """Transactions reaching the count within the trailing window."""
     hits = recent_activity(transactions, settings).where(F.col("recent_count") >= settings.velocity_count)
-    return lookup(timed(transactions), hits.select("account_id", "at", "recent_count"), ["account_id", "at"], "inner")
+    return lookup(timed(transactions), hits.select("account_id", "at", "recent_count"), ["account_id", "at"], "inner", keyed=False)
 
 
 def impossible_location(transactions: DataFrame, settings: FraudSettings = DEFAULTS) -> DataFrame:
     """Transactions whose trailing window holds two different cities."""
     hits = recent_activity(transactions, settings).where("city_changed")
-    return lookup(timed(transactions), hits.select("account_id", "at"), ["account_id", "at"], "left_semi")
+    return lookup(timed(transactions), hits.select("account_id", "at"), ["account_id", "at"], "left_semi", keyed=False)
 
 
 def failed_then_success(transactions: DataFrame, settings: FraudSettings = DEFAULTS) -> DataFrame:
     """Successful transactions after enough failed ones in the trailing window."""
     hits = recent_activity(transactions, settings).where(F.col("recent_failed") >= settings.failed_count)
     succeeded = timed(transactions).where(F.col("status") == "SUCCESS")
-    return lookup(succeeded, hits.select("account_id", "at", "recent_failed"), ["account_id", "at"], "inner")
+    return lookup(succeeded, hits.select("account_id", "at", "recent_failed"), ["account_id", "at"], "inner", keyed=False)
 
 
 def large_transaction(transactions: DataFrame, settings: FraudSettings = DEFAULTS) -> DataFrame:
     """Transactions above the multiple of the party's earlier average."""
     tx = party_of(transactions)
     hits = large_instants(tx, settings, "party_id")
-    return lookup(timed(tx), hits, ["party_id", "at"], "inner").where(_is_large("amount", settings))
+    return lookup(timed(tx), hits, ["party_id", "at"], "inner", keyed=False).where(_is_large("amount", settings))
 
 
 def unusual_frequency(transactions: DataFrame, settings: FraudSettings = DEFAULTS) -> DataFrame:
     """Transactions on the unusually busy days of an account."""
     hits = busy_days(transactions, settings).select("account_id", "tx_date", "day_count")
     dated = transactions.withColumn("tx_date", F.to_date("transaction_timestamp"))
-    return lookup(dated, hits, ["account_id", "tx_date"], "inner")
+    return lookup(dated, hits, ["account_id", "tx_date"], "inner", keyed=False)
 
 
 # ---- all rules, score, severity, alerts ----------------------------------------
@@ -288,8 +286,9 @@ def evaluate_rules(transactions: DataFrame, settings: FraudSettings = DEFAULTS)
     tx = timed(party_of(transactions)).withColumn("tx_date", F.to_date("transaction_timestamp"))
     large = large_instants(tx, settings, "party_id")
     busy = busy_days(transactions, settings).select("account_id", "tx_date", "day_count")
-    joined = lookup(lookup(lookup(
-        tx, activity, ["account_id", "at"]), large, ["party_id", "at"]), busy, ["account_id", "tx_date"])
+    joined = lookup(tx, activity, ["account_id", "at"], keyed=False)
+    joined = lookup(joined, large, ["party_id", "at"], keyed=False)
+    joined = lookup(joined, busy, ["account_id", "tx_date"], keyed=False)
     flags = {
         "HIGH_VELOCITY": F.col("recent_count") >= settings.velocity_count,
         "IMPOSSIBLE_LOCATION": F.col("city_changed"),
@@ -313,14 +312,14 @@ def severity_of(score: Column) -> Column:
 def score_rules(flagged: DataFrame, settings: FraudSettings = DEFAULTS) -> DataFrame:
     """Weighted risk score up to 100, severity and the list of fired rules."""
     points = [F.when(F.col(rule_flag(r)), settings.weights[r]).otherwise(0) for r in RULES]
-    fired = F.array_compact(F.array(*[F.when(F.col(rule_flag(r)), r) for r in RULES]))
+    names = fx.chosen([(F.col(rule_flag(r)), r) for r in RULES])
     total = points[0]
     for part in points[1:]:
         total = total + part
     return (
         flagged.withColumn("risk_score", F.least(total, F.lit(100)))
         .withColumn("severity", severity_of(F.col("risk_score")))
-        .withColumn("fired_rules", fired)
+        .withColumn("fired_rules", names)
     )
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def lookup(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "left",
+           keyed: bool = True) -> DataFrame:
     """Join `left` (any skew, NULL keys allowed) to `right` (one row per key).
 
     No broadcast is forced: Spark broadcasts `right` where its measured size is
@@ -15,6 +16,7 @@ def lookup(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "l
     where both join inputs are shuffles of their own, which the rebalance hint
     ensures: a `right` that was just deduplicated or grouped on the same key
     would otherwise be joined in place, and the hot key kept in one task.
-    `right` is the small side, so its extra pass costs little.
+    `right` is the small side, so its extra pass costs little; `keyed=False` says
+    that it comes partitioned by something else and needs no hint.
     """
-    return left.join(right.hint("rebalance"), on, how)
+    return left.join(right.hint("rebalance") if keyed else right, on, how)

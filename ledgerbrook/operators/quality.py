@@ -112,8 +112,8 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
     checked, failures = df, []
     for rule in rules:
         checked, failed = _judged(df, rule, checked)
-        failures.append(F.when(failed, F.lit(rule.name)))
-    return checked.select(*df.columns, F.array_compact(F.array(*failures)).alias("failed_rules"))
+        failures.append((failed, rule.name))
+    return checked.select(*df.columns, fx.chosen(failures).alias("failed_rules"))
 
 
 def is_rejected(rules: list[Rule]) -> Column:

@@ -78,11 +78,14 @@ def scd2(current: DataFrame, incoming: DataFrame, key: str, as_of: dt.datetime |
         else F.col(f"old.{c}").alias(c)
         for c in current.columns
     ])
-    versions = F.array_compact(F.array(
+    versions = F.array(
         F.when(changed, closed).when(has_old, F.col("old")),
         F.when(has_new & (changed | ~has_old), F.col("new")),
-    ))
-    merged = old.join(new, key, "full_outer").select(F.inline(versions))
+    )
+    merged = (
+        old.join(new, key, "full_outer").select(F.explode(versions).alias("version"))
+        .where(F.col("version").isNotNull()).select("version.*")
+    )
     return current.where(~F.col("is_active")).unionByName(merged)
 
 

@@ -8,8 +8,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Declared, so that opening a table runs no job to look at its files.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+                 o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,
+                   l_extendedprice double, l_discount double, l_tax double, l_returnflag string,
+                   l_linestatus string, l_shipdate timestamp_ntz""",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input of fewer splits than cores, such as one small file.
+
+    A large input has more splits than that and is not touched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def branches(spark: SparkSession, d: str) -> DataFrame:
@@ -73,7 +97,7 @@ def accounts(spark: SparkSession, d: str) -> DataFrame:
 
 def tx_bulk(spark: SparkSession, d: str) -> DataFrame:
     """Raw transactions, all text but the ingestion time; one per order line."""
-    lineitem, orders = table(spark, d, "lineitem"), table(spark, d, "orders")
+    lineitem, orders = spread(table(spark, d, "lineitem")), table(spark, d, "orders")
     return lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).selectExpr(
         """case when l_orderkey % 211 = 210 then null
            else concat(cast(l_orderkey as string), '-', cast(l_linenumber as string)) end transaction_id""",

@@ -162,7 +162,7 @@ def brute(entries, s):
 @pytest.mark.parametrize("seed,slice_minutes", [(1, 360), (2, 60), (3, 17), (4, 7)])
 def test_window_rules_equal_brute_force(rows, seed, slice_minutes):
     rng = random.Random(seed)
-    s = replace(FraudSettings(), velocity_count=4, failed_minutes=90, failed_count=2, large_multiplier=2,
+    s = replace(FraudSettings(), velocity_count=2, failed_minutes=90, failed_count=2, large_multiplier=2,
                 large_history_days=1, frequency_multiplier=1, slice_minutes=slice_minutes)
     entries = []
     for n in range(260):
