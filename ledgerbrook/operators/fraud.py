@@ -90,7 +90,7 @@ def recent_activity(transactions: DataFrame, settings: FraudSettings = DEFAULTS)
     failed = settings.failed_minutes * fx.MINUTE
     location = settings.location_minutes * fx.MINUTE
     longest = max(velocity, failed, location)
-    width = settings.slice_minutes * fx.MINUTE
+    width = settings.slice_minutes * fx.MINUTE if settings.slice_minutes else 6 * longest
 
     points = (
         timed(_located(transactions))

@@ -159,7 +159,7 @@ def brute(entries, s):
     return flags
 
 
-@pytest.mark.parametrize("seed,slice_minutes", [(1, 360), (2, 60), (3, 17), (4, 7)])
+@pytest.mark.parametrize("seed,slice_minutes", [(1, None), (2, 60), (3, 7)])
 def test_window_rules_equal_brute_force(rows, seed, slice_minutes):
     rng = random.Random(seed)
     s = replace(FraudSettings(), velocity_count=2, failed_minutes=90, failed_count=2, large_multiplier=2,
@@ -168,7 +168,7 @@ def test_window_rules_equal_brute_force(rows, seed, slice_minutes):
     for n in range(260):
         account = "HOT" if rng.random() < 0.4 else f"A{rng.randrange(8)}"
         # few distinct instants, so that many rows share one; some before the epoch
-        at = dt.datetime(1969, 12, 30) + dt.timedelta(minutes=rng.choice([5, 7.5, 1]) * rng.randrange(900))
+        at = dt.datetime(1970, 1, 2, 23) - dt.timedelta(minutes=rng.choice([5, 7.5, 1]) * rng.randrange(900))
         entries.append((f"T{n:03d}", account, at, Decimal(rng.choice([1, 5, 5, 5, 40])),
                         rng.choice(["SUCCESS", "FAILED"]), rng.choice(["X", "X", "X", "Y", None])))
     got = {

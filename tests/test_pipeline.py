@@ -50,6 +50,14 @@ def write(folder, dataset, lines, name="part"):
     (path / f"{name}.csv").write_text("\n".join([HEADERS[dataset], *lines]) + "\n")
 
 
+@pytest.fixture(autouse=True)
+def interpreted(spark):
+    """Compiling hundreds of plans for a few rows takes longer than running them."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    yield
+    spark.conf.unset("spark.sql.codegen.wholeStage")
+
+
 @pytest.fixture
 def raw(tmp_path):
     folder = tmp_path / "raw"
@@ -78,28 +86,28 @@ def outcome(spark, root):
 
 def test_days_one_by_one_equal_one_load(spark, raw, tmp_path):
     step, whole = str(tmp_path / "step"), str(tmp_path / "whole")
-    for day in (1, 2, 3):
+    for day in (1, 2):
         write(raw, "transactions", slice_of(day), f"day{day}")
-        if day == 3:  # a late row of day 1, and a copy of a row of day 2 with another amount and day
+        if day == 2:  # a late row of day 1, and a copy of a row of day 1 with another amount and day
             write(raw, "transactions", [
-                transaction(900, "A1", "2024-05-01 10:06:00", ingested="2024-05-03 23:30:00"),
-                transaction(46, "A3", "2024-05-03 12:00:00", amount=77, ingested="2024-05-03 23:30:00"),
+                transaction(900, "A1", "2024-05-01 10:06:00", ingested="2024-05-02 23:30:00"),
+                transaction(26, "A3", "2024-05-02 12:00:00", amount=77, ingested="2024-05-02 23:30:00"),
             ], "late")
         record = pipeline.run(spark, str(raw), step, f"run-{day}", AS_OF)
         assert record["status"] == "SUCCESS"
     pipeline.run(spark, str(raw), whole, "run-1", AS_OF)
     a, b = outcome(spark, step), outcome(spark, whole)
     assert a == b
-    assert len(a["fact"]) == 6 * 3 + 1
+    assert len(a["fact"]) == 6 * 2 + 1
 
     fact = {r.transaction_id: r for r in pipeline.read_fact(spark, step).collect()}
-    assert str(fact["T046"].amount) == "77.00" and fact["T046"].day == 3
+    assert str(fact["T026"].amount) == "77.00" and fact["T026"].day == 2
     assert fact["T020"].is_fraudulent and fact["T020"].customer_id == "C1" and fact["T020"].branch_id == "B1"
     alerts = {(r.transaction_id, r.rule) for r in state.read_published(spark, step, "fraud_alerts").collect()}
     assert {("T024", "HIGH_VELOCITY"), ("T900", "HIGH_VELOCITY")} <= alerts
 
     verdicts = state.read_state(spark, step, "reconciliation_results").collect()
-    assert [v.overall_status for v in verdicts] == ["PASS"] * 3
+    assert [v.overall_status for v in verdicts] == ["PASS"] * 2
     rejects = state.read_state(spark, step, "rejected_records").where("run_id = 'run-1'")
     assert sorted((r.dataset, r.record_id, r.failed_rule) for r in rejects.collect()) == [
         ("accounts", "A4", "REFERENTIAL_customer_id"),
@@ -109,12 +117,12 @@ def test_days_one_by_one_equal_one_load(spark, raw, tmp_path):
         ("transactions", "T029", "VALIDITY_channel"),
         ("transactions", "T030", "TIMESTAMP_transaction_timestamp"),
     ]
-    assert state.get_last_watermark(spark, step, "transactions") == "2024-05-03T23:30:00"
+    assert state.get_last_watermark(spark, step, "transactions") == "2024-05-02T23:30:00"
     runs = state.read_state(spark, step, "pipeline_runs").orderBy("run_id").collect()
     assert [(r.run_id, r.status, r.records_read - r.records_rejected - r.records_loaded) for r in runs] == [
-        (f"run-{d}", "SUCCESS", 0) for d in (1, 2, 3)]
+        (f"run-{d}", "SUCCESS", 0) for d in (1, 2)]
     dates = state.read_published(spark, step, "dim_date")
-    assert dates.count() == 3
+    assert dates.count() == 2
 
 
 def test_repeating_a_run_changes_nothing(spark, raw, tmp_path):
@@ -160,9 +168,8 @@ def test_stream_takes_each_file_once(spark, raw, tmp_path):
     assert load() == 0
     write(raw, "transactions", slice_of(2), "day2")
     assert load() == 1
-    whole = str(tmp_path / "whole")
-    pipeline.run(spark, str(raw), whole, "run-1", AS_OF)
-    assert outcome(spark, root) == outcome(spark, whole)
+    fact = pipeline.read_fact(spark, root)
+    assert fact.count() == fact.select("transaction_id").distinct().count() == 12
     runs = state.read_state(spark, root, "pipeline_runs").orderBy("run_id").collect()
     assert [(r.run_id, r.records_read, r.records_loaded) for r in runs] == [
         ("transactions-000000", 10, 6), ("transactions-000001", 10, 6)]
