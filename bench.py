@@ -20,10 +20,9 @@ from ledgerbrook.plans.queries import REGISTRY  # noqa: E402
 from ledgerbrook.session import build_session  # noqa: E402
 
 HEADLINES = (
-    "clean_transactions", "enrich_transactions", "fact_transactions", "dq_results", "dq_rejected",
-    "dq_uniqueness_failed", "fraud_basic", "fraud_velocity", "fraud_large_tx", "fraud_score", "fraud_alerts",
-    "fraud_summary", "daily_branch_metrics", "customer_segment_summary", "top_customers", "branch_rollup",
-    "scd2_customer", "upsert_transactions", "incremental_late", "reconcile",
+    "clean_transactions", "enrich_transactions", "fact_transactions", "dq_results", "fraud_score",
+    "fraud_summary", "daily_branch_metrics", "customer_segment_summary", "branch_rollup",
+    "scd2_customer", "upsert_transactions", "incremental_late",
 )
 
 

@@ -100,7 +100,7 @@ class IncrementalSettings:
 
 @dataclass(frozen=True)
 class Settings:
-    pipeline_name: str = "banking_etl_pipeline"
+    pipeline_name: str = "daily_transactions"
     fraud: FraudSettings = FraudSettings()
     quality: QualitySettings = QualitySettings()
     incremental: IncrementalSettings = IncrementalSettings()
