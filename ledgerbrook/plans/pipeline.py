@@ -159,7 +159,9 @@ def active(spark: SparkSession, root: str, table: str) -> DataFrame:
 def load_transactions(spark: SparkSession, this: Run, raw: DataFrame) -> dict:
     """Take in a batch of raw transactions, which may hold rows loaded before."""
     settings, root = this.settings, this.root
-    accounts, customers = active(spark, root, "dim_account"), active(spark, root, "dim_customer")
+    accounts, customers, merchants = (
+        active(spark, root, name) for name in ("dim_account", "dim_customer", "dim_merchant")
+    )
     newest = Observation("transactions")
     good, left_out = _gate(
         this, cleansing.conform_transactions(raw),
@@ -169,8 +171,8 @@ def load_transactions(spark: SparkSession, this: Run, raw: DataFrame) -> dict:
     fact = fraud.calculate_fraud_score(fraud.apply_rules(
         warehouse.fact_transactions(good, accounts, customers), settings.fraud), settings.fraud)
     days = merge_fact(spark, this, warehouse.loaded(fact, this.run_id, this.as_of))
-    refresh_alerts(spark, this, good)
-    refresh_summaries(spark, this, days)
+    refresh_alerts(spark, this, good, owners(accounts, customers))
+    refresh_summaries(spark, this, days, accounts, customers, merchants)
 
     source = spark.read.parquet(f"{root}/processed/checked/transactions/run_id={this.run_id}")
     target = _in_days(read_fact(spark, root), days).where(F.col("pipeline_run_id") == this.run_id)
@@ -260,14 +262,15 @@ def owners(accounts: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def refresh_alerts(spark: SparkSession, this: Run, batch: DataFrame) -> None:
+def refresh_alerts(spark: SparkSession, this: Run, batch: DataFrame, mapping: DataFrame) -> None:
     """Score again all accounts of the parties in the batch and republish their alerts.
 
+    `mapping` gives the party of each account.
+
     A late row changes the flags of later rows, and a customer's average spans
     their accounts; so the whole history of a touched party is scored.
     """
     root, settings = this.root, this.settings.fraud
-    mapping = owners(active(spark, root, "dim_account"), active(spark, root, "dim_customer"))
     seen = lookup(batch.select("account_id").distinct(), mapping, "account_id").select(
         "account_id", F.coalesce("party_id", "account_id").alias("party_id")
     )
@@ -288,17 +291,17 @@ def refresh_alerts(spark: SparkSession, this: Run, batch: DataFrame) -> None:
     state.publish(fraud.prioritized(rows), root, "fraud_alerts", this.run_id)
 
 
-def refresh_summaries(spark: SparkSession, this: Run, days: list[int]) -> None:
+def refresh_summaries(spark: SparkSession, this: Run, days: list[int], accounts: DataFrame,
+                      customers: DataFrame, merchants: DataFrame) -> None:
     """Recompute the summary rows of the given days and of their months."""
     root = this.root
     fact = read_fact(spark, root)
     concerned = _in_days(fact, days)
     daily = analytics.daily_branch_metrics(concerned)
-    frauds = analytics.fraud_summary(concerned, active(spark, root, "dim_merchant"))
+    frauds = analytics.fraud_summary(concerned, merchants)
     in_months = fact.where((F.col("year") * 100 + F.col("month")).isin(sorted({d // 100 for d in days})))
     segments = analytics.customer_segment_summary(
-        in_months, active(spark, root, "dim_account"), active(spark, root, "dim_customer"),
-        this.settings.high_value_above,
+        in_months, accounts, customers, this.settings.high_value_above,
     )
     stamp = F.lit(this.as_of).alias("last_updated")
     for name, df, part in (
