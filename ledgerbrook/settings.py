@@ -65,7 +65,6 @@ class FraudSettings:
     velocity_count: int = 5
     velocity_minutes: int = 10
     location_minutes: int = 30
-    location_km: float = 500.0
     large_multiplier: int = 10
     large_history_days: int = 30
     failed_count: int = 3
