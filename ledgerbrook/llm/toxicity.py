@@ -8,7 +8,6 @@ word, hence its vectors. The model is trained on a bounded sample of labelled ro
 """
 
 import string
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,21 +20,59 @@ from .common import no_null
 
 BUCKETS = 1 << 16
 DIMENSIONS = 8
-STRETCH = 8
+#: Words of a stretch.
+STRETCH = 4
+#: Lengths of n-grams; a boundary mark counts as a character.
 GRAMS = (3, 4, 5, 6)
 #: Most labelled rows of each class that are read for training (the bound of the sample).
 TRAIN_ROWS = 3000
-
-
-def word_grams(word: str) -> list[int]:
-    """Buckets of the word's n-grams between boundary marks, and of the whole word."""
-    w = f"<{word}>"
-    found = {w} | {w[i : i + n] for n in GRAMS for i in range(len(w) - n + 1)}
-    return sorted({zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in found})
-
-
-def words(text: str) -> list[str]:
-    return [w for w in (x.strip(string.punctuation) for x in text.lower().split()) if w]
+#: Characters that are scored at a time; a longer text is scored at once.
+PIECE = 1 << 20
+
+_APART = np.zeros(128, bool)
+_APART[[ord(c) for c in string.punctuation + string.whitespace]] = True
+_FACTOR, _SPREAD = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
+
+
+def characters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the lower-cased texts with one 0 between words (runs other than ASCII punctuation and white space), at both
+    ends as well; and the number of the text that each belongs to."""
+    low = [t.lower() for t in texts]
+    code = np.frombuffer(("\n" + "\n".join(low) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+    apart = _APART[np.minimum(code, 127)] & (code < 128)
+    keep = ~apart
+    keep[0] = True
+    keep[1:] |= ~apart[:-1]
+    owner = np.repeat(np.arange(len(low), dtype=np.int32), [len(t) + 1 for t in low])
+    owner = np.r_[np.int32(0), owner][keep]
+    return np.where(apart, np.uint32(0), code)[keep].astype(np.uint64), owner
+
+
+def subwords(code: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Where words start, and pairs (word number, bucket) of all n-grams and of whole words."""
+    apart = code == 0
+    starts = np.flatnonzero(~apart & np.r_[True, apart[:-1]])
+    if not len(starts):
+        return starts, []
+    first = np.zeros(len(code), bool)
+    first[starts] = True
+    number = np.cumsum(first, dtype=np.int32) - 1
+    bucket = lambda h: ((h * _SPREAD) >> np.uint64(48)).astype(np.int32)
+    pairs = []
+    inside = np.cumsum(apart, dtype=np.int32)
+    h = code
+    for n in range(2, max(GRAMS) + 1):
+        if len(code) < n:
+            break
+        h = h[:-1] * _FACTOR + code[n - 1 :]
+        if n in GRAMS:
+            at = np.flatnonzero(inside[n - 2 : len(code) - 1] == inside[: len(code) - n + 1]) if n > 2 else np.arange(len(h))
+            pairs.append((number[at + 1], bucket(h[at] + np.uint64(n))))
+    place = np.arange(len(code)) - starts[np.maximum(number, 0)]
+    mixed = (code + np.uint64(1)) * (_SPREAD * (place.astype(np.uint64) * np.uint64(2) + np.uint64(1)))
+    mixed = np.where(apart, np.uint64(0), mixed ^ (mixed >> np.uint64(29)))
+    pairs.append((np.arange(len(starts), dtype=np.int32), bucket(np.add.reduceat(mixed, starts))))
+    return starts, pairs
 
 
 @dataclass
@@ -46,58 +83,64 @@ class Model:
     bias: float
     rate: float
 
-    def score(self, texts: list[str], cache: dict[str, tuple[float, int]]) -> np.ndarray:
-        out = np.empty(len(texts))
+    def score(self, texts: list[str]) -> np.ndarray:
+        out, start, size = [np.empty(0)], 0, 0
         for i, text in enumerate(texts):
-            pairs = []
-            for w in words(text):
-                p = cache.get(w)
-                if p is None:
-                    grams = word_grams(w)
-                    p = (float(self.weights[grams].sum()), len(grams))
-                    if len(cache) < 200_000:
-                        cache[w] = p
-                pairs.append(p)
-            if not pairs:
-                out[i] = min(self.rate, 0.49)
-                continue
-            a = np.array(pairs)
-            sums = np.add.reduceat(a, np.arange(0, len(a), STRETCH), axis=0)
-            out[i] = 1 / (1 + np.exp(-np.clip((sums[:, 0] / sums[:, 1]).max() + self.bias, -40, 40)))
+            size += len(text)
+            if size >= PIECE or i == len(texts) - 1:
+                out.append(self._score(texts[start : i + 1]))
+                start, size = i + 1, 0
+        return np.concatenate(out)
+
+    def _score(self, texts: list[str]) -> np.ndarray:
+        out = np.full(len(texts), min(self.rate, 0.49))
+        code, owner = characters(texts)
+        starts, pairs = subwords(code)
+        if not len(starts):
+            return out
+        total, count = np.zeros(len(starts)), np.zeros(len(starts))
+        for word, bucket in pairs:
+            total += np.bincount(word, self.weights[bucket], len(starts))
+            count += np.bincount(word, minlength=len(starts))
+        own = owner[starts]
+        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        place = np.arange(len(own)) - np.repeat(first, np.diff(np.r_[first, len(own)]))
+        heads = np.flatnonzero(place % STRETCH == 0)
+        value = np.add.reduceat(total, heads) / np.add.reduceat(count, heads)
+        top = np.maximum.reduceat(value, np.searchsorted(heads, first))
+        out[own[first]] = 1 / (1 + np.exp(-np.clip(top + self.bias, -40, 40)))
         return out
 
 
-def train(texts: list[str], labels: list[int], epochs: int = 30, seed: int = 0, rate: float = 0.05) -> Model:
+def train(texts: list[str], labels: list[int], epochs: int = 12, seed: int = 0, rate: float = 0.2) -> Model:
     """Fit on whole texts. Each epoch a document gives its currently most toxic stretch, a clean one two more at random."""
     rng = np.random.default_rng(seed)
-    vocabulary: dict[str, int] = {}
-    grams: list[np.ndarray] = []
-    stretches: list[np.ndarray] = []  # word numbers
-    owner: list[int] = []
-    for d, text in enumerate(texts):
-        ids = []
-        for w in words(text):
-            if w not in vocabulary:
-                vocabulary[w] = len(grams)
-                grams.append(np.array(word_grams(w), dtype=np.int32))
-            ids.append(vocabulary[w])
-        for i in range(0, len(ids), STRETCH):
-            stretches.append(np.array(ids[i : i + STRETCH], dtype=np.int32))
-            owner.append(d)
     y = np.array(labels)
-    if not stretches or y.min(initial=1) == y.max(initial=0):
+    code, owner = characters(texts)
+    starts = np.flatnonzero((code != 0) & np.r_[True, code[:-1] == 0])
+    if not len(starts) or y.min() == y.max():
         constant = float(y.mean()) if len(y) else 0.0
         return Model(np.zeros(BUCKETS, np.float32), float(np.log((constant + 1e-3) / (1 - constant + 1e-3))), constant)
-    gram_start = np.concatenate([[0], np.cumsum([len(g) for g in grams])])
-    flat = np.concatenate(grams)
-    own = np.array(owner)
-    seg_len = np.array([len(s) for s in stretches])
-    seg_start = np.concatenate([[0], np.cumsum(seg_len)])
-    seg_words = np.concatenate(stretches)
+    # equal words share one list of n-grams
+    string_of = code.astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass").strip("\0").split("\0")
+    vocabulary: dict[str, int] = {}
+    seg_words = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in string_of], dtype=np.int32)
+    del string_of
+    _, pairs = subwords(characters([" ".join(vocabulary)])[0])
+    word = np.concatenate([w for w, _ in pairs])
+    order = np.argsort(word, kind="stable")
+    flat = np.concatenate([b for _, b in pairs])[order]
+    n_grams = np.bincount(word, minlength=len(vocabulary))
+    gram_start = np.r_[0, np.cumsum(n_grams)]
+    of_word = owner[starts]
+    first = np.flatnonzero(np.r_[True, of_word[1:] != of_word[:-1]])
+    place = np.arange(len(of_word)) - np.repeat(first, np.diff(np.r_[first, len(of_word)]))
+    heads = np.flatnonzero(place % STRETCH == 0)
+    own, seg_start = of_word[heads], np.r_[heads, len(of_word)]
+    seg_len = np.diff(seg_start)
     first_of = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
     docs = own[first_of]
     per_doc = np.diff(np.r_[first_of, len(own)])
-    n_grams = np.diff(gram_start)
     embedding = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     softmax = np.zeros((DIMENSIONS, 2), np.float32)
     bias = np.zeros(2, np.float32)
@@ -188,8 +231,8 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
 
 def _scorer(weights, bias, rate):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own, cache = Model(weights, bias, rate), {}
+        own = Model(weights, bias, rate)
         for texts in batches:
-            yield pd.Series(own.score(list(texts), cache))
+            yield pd.Series(own.score(list(texts)))
 
     return F.pandas_udf(run, "double")
