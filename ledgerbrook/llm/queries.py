@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprint, html_main, mixing, sharding, simhash, toxicity
+from . import chat, decontaminate, fingerprint, html_main, mixing, sharding, simhash, suffix, superkmer, toxicity
 from .common import table
 
 SHARDS = 40
@@ -17,6 +17,10 @@ def op1_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup(table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -38,6 +42,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_superkmer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmer.dedup(table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
@@ -61,7 +69,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_html_main, op3_toxicity, op4_decontaminate, op5_fingerprint, op6_simhash, op8_mixing, op9_chat, op10_sharding,
+        op1_html_main, op2_suffix, op3_toxicity, op4_decontaminate, op5_fingerprint, op6_simhash, op7_superkmer, op8_mixing,
+        op9_chat, op10_sharding,
     )
 }
 ORACLES = {"op4_decontaminate": decontaminate.oracle()}
