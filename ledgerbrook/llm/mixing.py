@@ -24,12 +24,15 @@ BLOCK = 64
 BROADCAST_ROWS = 10_000
 
 
+def n_words(column: str) -> Column:
+    return F.coalesce(F.regexp_count(column, F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def sized(docs: DataFrame, size: Column | None = None) -> DataFrame:
     """doc_id, source and size: the words of the text (null: 0), or another size >= 0."""
-    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        (words if size is None else size).cast("long").alias("size"),
+        (n_words("text") if size is None else size).cast("long").alias("size"),
     )
 
 

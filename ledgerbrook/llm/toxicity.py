@@ -38,7 +38,7 @@ def characters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of the lower-cased texts with one 0 between words (runs other than ASCII punctuation and white space), at both
     ends as well; and the number of the text that each belongs to."""
     low = [t.lower() for t in texts]
-    code = np.frombuffer(("\n" + "\n".join(low) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+    code = np.frombuffer("".join(["\n", *(t + "\n" for t in low)]).encode("utf-32-le", "surrogatepass"), np.uint32)
     apart = _APART[np.minimum(code, 127)] & (code < 128)
     keep = ~apart
     keep[0] = True
