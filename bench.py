@@ -22,7 +22,8 @@ from ledgerbrook.session import build_session  # noqa: E402
 HEADLINES = (
     "clean_transactions", "enrich_transactions", "fact_transactions", "dq_results", "fraud_score",
     "fraud_summary", "daily_branch_metrics", "customer_segment_summary", "branch_rollup",
-    "scd2_customer", "upsert_transactions", "incremental_late",
+    "scd2_customer", "upsert_transactions", "incremental_late", "reconcile", "dq_passed", "fraud_alerts",
+    "fraud_large_tx",
 )
 
 

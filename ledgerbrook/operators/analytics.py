@@ -147,15 +147,18 @@ def segment_spend(transactions: DataFrame, profiles: DataFrame) -> DataFrame:
 
 def branch_rollup(transactions: DataFrame, accounts: DataFrame, branches: DataFrame) -> DataFrame:
     """Branch performance by state and city with subtotals; `level` is 0 for a city,
-    1 for a state, 3 for the grand total."""
+    1 for a state, 3 for the grand total, which counts every transaction. Those of no known account or branch are
+    under state and city UNKNOWN."""
     per_branch = (
-        lookup(_per_account(transactions), accounts.select("account_id", "branch_id"), "account_id", "inner")
+        lookup(_per_account(transactions), accounts.select("account_id", "branch_id"), "account_id")
         .groupBy("branch_id")
         .agg(F.sum("transactions").alias("transactions"), F.sum("successful").alias("successful"),
              money_sum("amount").alias("amount"))
     )
     return (
-        lookup(per_branch, branches.select("branch_id", "state", "city"), "branch_id", "inner")
+        lookup(per_branch, branches.select("branch_id", "state", "city"), "branch_id")
+        .select(F.coalesce("state", F.lit("UNKNOWN")).alias("state"), F.coalesce("city", F.lit("UNKNOWN")).alias("city"),
+                "transactions", "successful", "amount")
         .rollup("state", "city")
         .agg(
             F.grouping_id().cast("int").alias("level"),
@@ -212,7 +215,39 @@ def reconcile(source: DataFrame, target: DataFrame, rejects: DataFrame, dataset:
             money_sum(F.when(F.col("side") == side, F.col("amount") * F.col("copies"))).alias(f"{side}_amount"),
         )
     ])
-    compared = totals.select(
+    return compared(totals, dataset)
+
+
+def reconcile_keyed(judged: DataFrame, rejected: Column, key: str, newest: str, dataset: str,
+                    target: Column | None = None) -> DataFrame:
+    """The same row from judged rows alone, by one aggregation per key.
+
+    Of the rows of a key that are not rejected the newest is loaded (order of `dedup.recency`), the others are
+    rejected as copies. `target` is a condition for a kept row to count as loaded, for checks of the failing case.
+    """
+    columns = [c for c in judged.columns if c not in (key, newest, "failed_rules")]
+    order = F.struct(*[F.col(c) for c in ([newest] if newest in judged.columns else []) + columns])
+    good = ~rejected
+    kept = F.struct(F.col("amount").alias("amount"), (F.lit(True) if target is None else fx.holds(target)).alias("loaded"))
+    per_key = judged.groupBy(key).agg(
+        F.count("*").alias("n"), F.sum("amount").alias("amount"),
+        F.count_if(good).alias("good"), F.sum(F.when(good, F.col("amount"))).alias("good_amount"),
+        F.max_by(F.when(good, kept), F.when(good, order)).alias("kept"),
+    )
+    has = F.col("good") > 0
+    here = has & F.col("kept.loaded")
+    totals = per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("source_count"), money_sum("amount").alias("source_amount"),
+        F.count_if(here).alias("target_count"), money_sum(F.when(here, F.col("kept.amount"))).alias("target_amount"),
+        F.coalesce(F.sum(F.col("n") - has.cast("int")), F.lit(0)).alias("rejected_count"),
+        (money_sum("amount") - money_sum(F.when(has, F.col("kept.amount")))).cast(fx.BIG_MONEY).alias("rejected_amount"),
+    )
+    return compared(totals, dataset)
+
+
+def compared(totals: DataFrame, dataset: str) -> DataFrame:
+    """Differences and verdicts of one row of counts and amounts."""
+    differences = totals.select(
         F.lit(dataset).alias("dataset"),
         "source_count", "target_count", "rejected_count", "source_amount", "target_amount", "rejected_amount",
         (F.col("source_count") - F.col("target_count") - F.col("rejected_count")).alias("count_difference"),
@@ -223,7 +258,7 @@ def reconcile(source: DataFrame, target: DataFrame, rejects: DataFrame, dataset:
     def verdict(difference: str) -> Column:
         return F.when(F.col(difference) == 0, "PASS").otherwise("FAIL")
 
-    return compared.withColumns({
+    return differences.withColumns({
         "count_status": verdict("count_difference"),
         "amount_status": verdict("amount_difference"),
         "overall_status": F.when(

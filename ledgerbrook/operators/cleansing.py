@@ -75,8 +75,20 @@ def clean_merchants(df: DataFrame) -> DataFrame:
 
 
 def with_merchant_risk(merchants: DataFrame) -> DataFrame:
-    """Add `risk_category` from the merchant category, by a literal map (no join)."""
-    return merchants.withColumn("risk_category", fx.merchant_risk("merchant_category"))
+    """Add `risk_category` from the merchant category, by a literal map (no join); a delivered class is kept."""
+    mapped = fx.merchant_risk("merchant_category")
+    if "risk_category" in merchants.columns:
+        mapped = F.coalesce(F.nullif(F.trim("risk_category"), F.lit("")), mapped)
+    return merchants.withColumn("risk_category", mapped)
+
+
+def require_columns(df_schema: StructType | None, expected: StructType, dataset: str, optional: tuple[str, ...] = ()) -> None:
+    """Refuse a delivery that lacks a required column, before any row is read."""
+    if df_schema is None:
+        return
+    missing = [f.name for f in expected if f.name not in df_schema.names and f.name not in optional]
+    if missing:
+        raise ValueError(f"{dataset}: missing columns {', '.join(missing)}")
 
 
 def valid_keys(df: DataFrame, key: str, *attributes: str) -> DataFrame:

@@ -6,7 +6,7 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerbrook.functions import columns as fx
@@ -23,7 +23,7 @@ EMPTY_PASS_RATE = 100.0
 @dataclass(frozen=True)
 class Rule:
     """A named check. Row rules carry `fails`, a condition over the row's columns;
-    key rules carry `bad_keys`, a function giving one row per failing key.
+    key rules carry `bad_keys`, a function giving one row per failing key with its number of rows, `cnt`.
 
     `rejects=False` makes a rule count towards the results without sending its
     rows to quarantine.
@@ -69,20 +69,26 @@ def not_future(column: str, as_of: dt.datetime, name: str | None = None) -> Rule
 def unique(key: str, name: str | None = None, rejects: bool = True) -> Rule:
     """All copies of a repeated key fail; NULL keys never do."""
     return Rule(name or f"UNIQUENESS_{key}", "UNIQUENESS", (key,), f"Duplicate {key}",
-                bad_keys=lambda df: repeated_keys(df, key).select(key), rejects=rejects)
+                bad_keys=lambda df: repeated_keys(df, key), rejects=rejects)
 
 
 def orphan_keys(df: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Distinct values of `column` without a parent row.
+    """Distinct values of `column` without a parent row, with their number of rows.
 
-    The values are made distinct before the join, so neither a hot parent nor a
+    The values are counted before the join, so neither a hot parent nor a
     hot orphan reaches it more than once.
     """
     known = parent.select(F.col(parent_key).alias(column)).where(F.col(column).isNotNull()).distinct()
-    used = df.select(column).where(F.col(column).isNotNull()).distinct()
+    used = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("cnt"))
     return used.join(known, column, "left_anti")
 
 
+def well_formed(column: str, text: str, name: str | None = None) -> Rule:
+    """Fails where the text was given and its typed column is NULL."""
+    bad = F.col(text).isNotNull() & F.col(column).isNull()
+    return Rule(name or f"FORMAT_{column}", "VALIDITY", (column,), f"Malformed value: {column}", bad)
+
+
 def references(column: str, parent: DataFrame, parent_key: str, name: str | None = None) -> Rule:
     """Fails where a known value has no parent; NULL passes."""
     return Rule(name or f"REFERENTIAL_{column}", "REFERENTIAL", (column,), f"Unknown {column}",
@@ -97,7 +103,7 @@ def _judged(df: DataFrame, rule: Rule, checked: DataFrame) -> tuple[DataFrame, C
     if rule.fails is not None:
         return checked, rule.fails
     mark = f"__{rule.name}"
-    bad = rule.bad_keys(df).withColumn(mark, F.lit(True))
+    bad = rule.bad_keys(df).select(*rule.columns, F.lit(True).alias(mark))
     return lookup(checked, bad, rule.columns[0]), F.col(mark)
 
 
@@ -139,9 +145,15 @@ def rejected(evaluated: DataFrame, rules: list[Rule], record_id: str) -> DataFra
 
 
 def quarantined(rejects: DataFrame, dataset: str, run_id: str, rejected_at: dt.datetime) -> DataFrame:
-    """Rejected rows in the shape of the rejected-records table."""
+    """Rejected rows in the shape of the rejected-records table.
+
+    The id is a digest of the run, the dataset, the record, the rule and the number of the copy, so repeating a run
+    gives the same ids. Only rows equal in all of these are numbered together.
+    """
+    copy = Window.partitionBy("record_id", "failed_rule", "raw_data").orderBy("failure_reason")
+    parts = (F.lit(run_id), F.lit(dataset), F.coalesce("record_id", F.lit("")), F.col("failed_rule"), F.coalesce("raw_data", F.lit("")), F.row_number().over(copy).cast("string"))
     return rejects.select(
-        F.expr("uuid()").alias("rejection_id"),
+        F.sha2(F.concat_ws("\x1f", *parts), 256).alias("rejection_id"),
         F.lit(run_id).alias("run_id"),
         F.lit(dataset).alias("dataset"),
         "record_id", "failure_reason", "failed_rule", "raw_data",
@@ -170,11 +182,44 @@ def results(evaluated: DataFrame, rules: list[Rule], dataset: str, warn_from: fl
         )
         for i, r in enumerate(rules)
     ])
+    return _with_status(counts.select(F.inline(rows)), dataset, warn_from)
+
+
+def tally(df: DataFrame, rules: list[Rule], dataset: str, warn_from: float = 95.0) -> DataFrame:
+    """The same rows as `results`, without judging every row by every rule.
+
+    Row rules are counted in one aggregation; a key rule counts the rows of its failing keys from
+    the rows per key, so no row is joined.
+    """
+    row_rules = [r for r in rules if r.fails is not None]
+    counted = df.agg(F.count("*").alias("total"), *[F.count_if(r.fails).alias(f"f{i}") for i, r in enumerate(row_rules)])
+    pairs = F.array(
+        F.struct(F.lit("").alias("check"), F.col("total").alias("n")),
+        *[F.struct(F.lit(r.name).alias("check"), F.col(f"f{i}").alias("n")) for i, r in enumerate(row_rules)],
+    )
+    failed = counted.select(F.inline(pairs))
+    for r in rules:
+        if r.fails is None:
+            n = F.coalesce(F.sum("cnt"), F.lit(0)).alias("n")
+            failed = failed.unionByName(r.bad_keys(df).agg(n).select(F.lit(r.name).alias("check"), "n"))
+    # one row: the counts by rule
+    by_name = failed.agg(F.map_from_entries(F.collect_list(F.struct("check", "n"))).alias("n"))
+    rows = F.array(*[
+        F.struct(
+            F.lit(r.name).alias("check_name"), F.lit(r.check_type).alias("check_type"), F.lit(",".join(r.columns)).alias("columns"),
+            F.col("n")[""].alias("total_records"), (F.col("n")[""] - F.col("n")[r.name]).alias("passed_records"),
+            F.col("n")[r.name].alias("failed_records"),
+        )
+        for r in rules
+    ])
+    return _with_status(by_name.select(F.inline(rows)), dataset, warn_from)
+
+
+def _with_status(counts: DataFrame, dataset: str, warn_from: float) -> DataFrame:
     rate = F.when(F.col("total_records") == 0, F.lit(EMPTY_PASS_RATE)).otherwise(
         F.col("passed_records") / F.col("total_records") * 100
     )
-    listed = counts.select(F.inline(rows)).withColumn("pass_rate", rate)
-    return listed.select(
+    return counts.withColumn("pass_rate", rate).select(
         F.lit(dataset).alias("dataset"), "*",
         status_of(F.col("failed_records"), F.col("pass_rate"), warn_from).alias("status"),
     )
@@ -201,7 +246,7 @@ def check_completeness(df: DataFrame, columns: list[str], dataset: str = "") ->
 def check_uniqueness(df: DataFrame, unique_key: str, dataset: str = "") -> tuple[DataFrame, DataFrame, DataFrame]:
     """As `check_completeness`; the result is counted from the keys, without the rows."""
     rule = unique(unique_key)
-    repeated = rule.bad_keys(df)
+    repeated = rule.bad_keys(df).select(unique_key)
     per_key = df.groupBy(unique_key).agg(F.count("*").alias("n"))
     bad = F.col(unique_key).isNotNull() & (F.col("n") > 1)
     counts = per_key.agg(
@@ -236,8 +281,8 @@ def check_range(df: DataFrame, column: str, min_val, max_val=None, dataset: str
 
 
 def transaction_rules(settings: QualitySettings, accounts: DataFrame | None = None,
-                      as_of: dt.datetime | None = None) -> list[Rule]:
-    """Rules for conformed transactions.
+                      as_of: dt.datetime | None = None, landed: bool = False) -> list[Rule]:
+    """Rules for conformed transactions; `landed` adds those for the landing stamps.
 
     Repeated ids are reported but not rejected: the newest copy is kept and the
     others are quarantined by the deduplication step.
@@ -253,6 +298,10 @@ def transaction_rules(settings: QualitySettings, accounts: DataFrame | None = No
     ]
     if as_of is not None:
         rules.append(not_future("transaction_timestamp", as_of))
+    if landed:
+        rules.append(well_formed("ingestion_timestamp", "ingestion_text"))
+        if as_of is not None:
+            rules.append(not_future("ingestion_timestamp", as_of))
     if accounts is not None:
         rules.append(references("account_id", accounts, "account_id"))
     return rules
@@ -277,3 +326,11 @@ def account_rules(settings: QualitySettings, customers: DataFrame | None = None)
     if customers is not None:
         rules.append(references("customer_id", customers, "customer_id"))
     return rules
+
+
+def branch_rules() -> list[Rule]:
+    return [completeness("branch_id"), unique("branch_id", rejects=False)]
+
+
+def merchant_rules() -> list[Rule]:
+    return [completeness("merchant_id"), unique("merchant_id", rejects=False)]

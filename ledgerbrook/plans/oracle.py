@@ -5,13 +5,13 @@ from __future__ import annotations
 
 _VIEWS = {
     "branches": """
-select concat('BRN-', lpad(cast(n_nationkey as varchar), 4, '0')) branch_id,
+select printf('BRN-%04d', n_nationkey) branch_id,
        concat(' ', n_name, ' Main Branch ') branch_name, n_name city, r_name state,
        case n_nationkey % 5 when 0 then 'Urban' when 1 then 'Semi-Urban' when 2 then 'Rural'
             when 3 then 'Metro' else 'Corporate' end branch_type
 from nation join region on n_regionkey = r_regionkey""",
     "merchants": """
-select concat('MER-', lpad(cast(s_suppkey as varchar), 5, '0')) merchant_id,
+select printf('MER-%05d', s_suppkey) merchant_id,
        concat(' ', s_name, ' ') merchant_name,
        case s_suppkey % 10 when 0 then 'Grocery' when 1 then 'Travel' when 2 then 'Restaurant'
             when 3 then 'Electronics' when 4 then 'Healthcare' when 5 then 'Education'
@@ -20,7 +20,7 @@ select concat('MER-', lpad(cast(s_suppkey as varchar), 5, '0')) merchant_id,
 from supplier join nation on s_nationkey = n_nationkey""",
     "customers": """
 select case when c_custkey % 101 = 100 then null
-            else concat('CUST-', lpad(cast(c_custkey as varchar), 7, '0')) end customer_id,
+            else printf('CUST-%07d', c_custkey) end customer_id,
        case when c_custkey % 89 = 88 then null else concat(' ', c_name, ' ') end name,
        cast(case when c_custkey % 53 = 52 then 5 + c_custkey % 13 else 18 + c_custkey % 63 end as varchar) age,
        case c_custkey % 3 when 0 then 'Male' when 1 then 'Female' else 'Other' end gender,
@@ -32,10 +32,10 @@ select case when c_custkey % 101 = 100 then null
             else 'Senior' end customer_segment
 from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
     "accounts": """
-select concat('ACC-', lpad(cast(c_custkey as varchar), 7, '0')) account_id,
-       concat('CUST-', lpad(cast(c_custkey as varchar), 7, '0')) customer_id,
+select printf('ACC-%07d', c_custkey) account_id,
+       printf('CUST-%07d', c_custkey) customer_id,
        case c_custkey % 3 when 0 then 'Savings' when 1 then 'Current' else 'Salary' end account_type,
-       concat('BRN-', lpad(cast(c_nationkey as varchar), 4, '0')) branch_id,
+       printf('BRN-%04d', c_nationkey) branch_id,
        cast(cast(c_acctbal as decimal(15,2)) as varchar) balance,
        case when c_custkey % 67 = 66 then 'UNKNOWN' when c_custkey % 20 = 0 then ' BLOCKED '
             when c_custkey % 20 = 1 then 'CLOSED' else 'ACTIVE' end account_status
@@ -44,14 +44,14 @@ from customer""",
 select case when l_orderkey % 211 = 210 then null
             else concat(cast(l_orderkey as varchar), '-', cast(l_linenumber as varchar)) end transaction_id,
        case when l_orderkey % 97 = 96 then 'ACC-INVALID-999999'
-            else concat('ACC-', lpad(cast(o_custkey as varchar), 7, '0')) end account_id,
+            else printf('ACC-%07d', o_custkey) end account_id,
        case l_linenumber % 8 when 0 then 'UPI' when 1 then 'CARD' when 2 then 'ATM' when 3 then 'NEFT'
             when 4 then 'IMPS' when 5 then 'RTGS' when 6 then 'CASH_DEPOSIT'
             else 'CASH_WITHDRAWAL' end transaction_type,
        cast(cast(case when l_orderkey % 83 = 82 then -l_extendedprice else l_extendedprice end
             as decimal(15,2)) as varchar) amount,
        cast(cast(l_shipdate as date) as varchar) ts_text,
-       concat('MER-', lpad(cast(l_suppkey as varchar), 5, '0')) merchant_id,
+       printf('MER-%05d', l_suppkey) merchant_id,
        concat('CITY-', cast(l_partkey % 50 as varchar)) "location",
        case l_returnflag when 'R' then 'Card' when 'A' then 'Wallet' else 'Transfer' end payment_method,
        case o_orderstatus when 'F' then 'FAILED' when 'P' then 'PENDING' else 'SUCCESS' end status,
@@ -65,8 +65,8 @@ select transaction_id, account_id, transaction_type, try_cast(amount as decimal(
        try_cast(ts_text as timestamp) transaction_timestamp
 from tx_bulk""",
     "tx_events": """
-select concat('TXN-', lpad(cast(event_id as varchar), 10, '0')) transaction_id,
-       concat('ACC-', lpad(cast(user_id as varchar), 7, '0')) account_id,
+select printf('TXN-%010d', event_id) transaction_id,
+       printf('ACC-%07d', user_id) account_id,
        cast(value as decimal(15,2)) amount, ts transaction_timestamp,
        case event_type when 'error' then 'FAILED' when 'signup' then 'PENDING' else 'SUCCESS' end status,
        concat('CITY-', cast(cast(json_extract_string(props, '$.k') as int) % 5 as varchar)) "location",
@@ -243,21 +243,66 @@ _RULE_ROWS = [
 ]
 
 
-def _result_rows(rows) -> str:
+_CUSTOMER_RULES = [
+    ("COMPLETENESS", "COMPLETENESS", "customer_id,name,age", "customer_id is null or name is null or try_cast(age as int) is null"),
+    ("RANGE_age", "RANGE", "age", "not coalesce(try_cast(age as int) between 18 and 100, false)"),
+    ("VALIDITY_customer_segment", "VALIDITY", "customer_segment",
+     "coalesce(customer_segment not in ('Regular', 'Premium', 'High Net Worth', 'Student', 'Senior'), false)"),
+    ("UNIQUENESS_customer_id", "UNIQUENESS", "customer_id",
+     "customer_id in (select customer_id from customers where customer_id is not null group by 1 having count(*) > 1)"),
+]
+_ACCOUNT_RULES = [
+    ("COMPLETENESS", "COMPLETENESS", "account_id,customer_id,balance",
+     "account_id is null or customer_id is null or try_cast(balance as decimal(15,2)) is null"),
+    ("RANGE_balance", "RANGE", "balance", "not coalesce(try_cast(balance as decimal(15,2)) >= 0, false)"),
+    ("VALIDITY_account_status", "VALIDITY", "account_status",
+     "coalesce(trim(account_status) not in ('ACTIVE', 'BLOCKED', 'CLOSED'), false)"),
+    ("UNIQUENESS_account_id", "UNIQUENESS", "account_id",
+     "account_id in (select account_id from accounts where account_id is not null group by 1 having count(*) > 1)"),
+    ("REFERENTIAL_customer_id", "REFERENTIAL", "customer_id",
+     "customer_id is not null and customer_id not in (select customer_id from clean_customers)"),
+]
+
+
+def _result_rows(rows, view: str = "judged", dataset: str = "transactions") -> str:
     counted = "\nunion all ".join(
         f"select '{name}' check_name, '{kind}' check_type, '{cols}' \"columns\", count(*) total_records, "
-        f"count(*) filter (where {flag}) failed_records from judged"
-        for name, kind, cols, flag, _ in rows
+        f"count(*) filter (where {flag}) failed_records from {view}"
+        for name, kind, cols, flag, *_ in rows
     )
     return f"""
-select 'transactions' dataset, check_name, check_type, "columns", total_records,
+select '{dataset}' dataset, check_name, check_type, "columns", total_records,
        total_records - failed_records passed_records, failed_records, pass_rate,
        case when failed_records = 0 then 'PASS' when pass_rate >= 95 then 'WARN' else 'FAIL' end status
 from (select *, (total_records - failed_records) / total_records * 100 pass_rate from ({counted}))"""
 
 
+def _reconciled(arrived: str) -> str:
+    """Sides counted each by itself: source rows, kept rows that arrived, rows that fail a rule plus left-out copies."""
+    failing = "(incomplete or out_of_range or bad_type or bad_status or bad_channel or future or orphan)"
+    return f"""
+, ranked as (select *, row_number() over (partition by transaction_id order by
+               ingestion_timestamp desc nulls last, account_id desc nulls last, transaction_type desc nulls last,
+               amount desc nulls last, merchant_id desc nulls last, "location" desc nulls last,
+               payment_method desc nulls last, status desc nulls last, channel desc nulls last) rn
+             from judged where not {failing}),
+source as (select count(*) n, coalesce(sum(amount), 0) amount from judged),
+target as (select count(*) n, coalesce(sum(amount), 0) amount from ranked where rn = 1 and {arrived}),
+left_out as (select amount from judged where {failing} union all select amount from ranked where rn > 1),
+rejected as (select count(*) n, coalesce(sum(amount), 0) amount from left_out),
+sides as (select s.n source_count, t.n target_count, r.n rejected_count, s.amount source_amount, t.amount target_amount,
+                 r.amount rejected_amount, s.n - t.n - r.n count_difference, s.amount - t.amount - r.amount amount_difference
+          from source s, target t, rejected r)
+select 'transactions' dataset, source_count, target_count, rejected_count, cast(source_amount as double) source_amount,
+       cast(target_amount as double) target_amount, cast(rejected_amount as double) rejected_amount, count_difference,
+       cast(amount_difference as double) amount_difference,
+       if(count_difference = 0, 'PASS', 'FAIL') count_status, if(amount_difference = 0, 'PASS', 'FAIL') amount_status,
+       if(count_difference = 0 and amount_difference = 0, 'PASS', 'FAIL') overall_status
+from sides"""
+
+
 def _scd2(clean: str, key: str, prefix: int, columns: list[str], shown: str, changed: str, value: str) -> str:
-    number = f"cast(substring({key}, {prefix + 1}, 7) as int)"
+    number = f"cast(substring({key}, {prefix + 1}) as bigint)"
     same = " and ".join(f"o.{c} is not distinct from n.{c}" for c in columns)
     first, second, last = "2020-01-01 00:00:00.000000", "2024-01-01 00:00:00.000000", "9999-12-31 00:00:00.000000"
     return f""",
@@ -340,6 +385,16 @@ from tx where not coalesce(amount between 1 and 10000000, false)"""),
     "dq_referential": _with("judged", _FAILING.format("Unknown account_id", "orphan")),
     "dq_timestamp": _with("judged", _FAILING.format("Future timestamp: transaction_timestamp", "future")),
     "dq_results": _with("judged", _result_rows(_RULE_ROWS)),
+    "dq_customers": _with("customers", _result_rows(_CUSTOMER_RULES, "customers", "customers")),
+    "dq_accounts": _with("accounts clean_customers", _result_rows(_ACCOUNT_RULES, "accounts", "accounts")),
+    "dq_validity_domains": _with("judged accounts customers", """
+select transaction_id record_id, 'VALIDITY_transaction_type' failed_rule from judged where bad_type
+union all select transaction_id, 'VALIDITY_status' from judged where bad_status
+union all select transaction_id, 'VALIDITY_channel' from judged where bad_channel
+union all select account_id, 'VALIDITY_account_status' from accounts
+          where trim(account_status) not in ('ACTIVE', 'BLOCKED', 'CLOSED')
+union all select customer_id, 'VALIDITY_customer_segment' from customers
+          where customer_segment not in ('Regular', 'Premium', 'High Net Worth', 'Student', 'Senior')"""),
     "dq_rejected": _with("judged", "\nunion all ".join(
         f"select transaction_id record_id, '{name}' failed_rule, '{reason}' failure_reason from judged where {flag}"
         for name, kind, _, flag, reason in _RULE_ROWS if kind != "UNIQUENESS")),
@@ -389,21 +444,21 @@ from days"""),
         "clean_customers", "customer_id", 5,
         ["name", "age", "gender", "city", "state", "income", "account_open_date", "customer_segment"],
         _CUSTOMER, "customer_segment",
-        """case cast(substring(customer_id, 6, 7) as int) % 10 when 0 then 'Premium' when 1 then null
+        """case cast(substring(customer_id, 6) as bigint) % 10 when 0 then 'Premium' when 1 then null
            else customer_segment end""")),
     "scd2_account": _with("clean_accounts", _scd2(
         "clean_accounts", "account_id", 4,
         ["customer_id", "account_type", "branch_id", "balance", "account_status"], _ACCOUNT, "balance",
-        """cast(case when cast(substring(account_id, 5, 7) as int) % 10 = 0 then balance + 1
+        """cast(case when cast(substring(account_id, 5) as bigint) % 10 = 0 then balance + 1
            else balance end as decimal(15,2))""")),
     "scd1_merchant": _with("risky_merchants", """
 select merchant_id, case when n % 3 <> 0 then upper(merchant_name) else merchant_name end merchant_name,
        merchant_category, city, risk_category
-from (select *, cast(substring(merchant_id, 5, 7) as int) n from risky_merchants)
+from (select *, cast(substring(merchant_id, 5) as bigint) n from risky_merchants)
 where n % 3 <> 0 or n % 7 <> 0"""),
     "scd1_branch": _with("clean_branches", """
 select branch_id, branch_name, city, state, case when n % 3 <> 0 then 'Metro' else branch_type end branch_type
-from (select *, cast(substring(branch_id, 5, 7) as int) n from clean_branches)
+from (select *, cast(substring(branch_id, 5) as bigint) n from clean_branches)
 where n % 3 <> 0 or n % 7 <> 0"""),
     "fact_transactions": _with("fact", f"""
 select transaction_id, account_id, customer_id, merchant_id, branch_id, date_id, transaction_type,
@@ -462,25 +517,30 @@ select customer_segment, count(distinct customer_id) customers, count(*) transac
 from clean_tx t join profiles p on t.account_id = p.account_id
 where customer_segment is not null group by customer_segment"""),
     "branch_rollup": _with("clean_tx clean_accounts clean_branches", """
+, placed as (select t.*, coalesce(b.state, 'UNKNOWN') state, coalesce(b.city, 'UNKNOWN') city
+             from clean_tx t left join clean_accounts a on t.account_id = a.account_id
+             left join clean_branches b on a.branch_id = b.branch_id)
 select state, city, cast(grouping_id(state, city) as int) "level", count(*) transactions,
        count(*) filter (where status = 'SUCCESS') successful, cast(sum(amount) as double) amount
-from clean_tx t join clean_accounts a on t.account_id = a.account_id
-join clean_branches b on a.branch_id = b.branch_id group by rollup (state, city)"""),
-    "reconcile": _with("good", """
-, target as (select count(distinct transaction_id) n,
-             (select sum(amount) from (
-                select amount, row_number() over (partition by transaction_id order by
-                  ingestion_timestamp desc nulls last, account_id desc nulls last, transaction_type desc nulls last,
-                  amount desc nulls last, merchant_id desc nulls last, "location" desc nulls last,
-                  payment_method desc nulls last, status desc nulls last, channel desc nulls last) rn from good)
-              where rn = 1) amount from good),
-source as (select count(*) n, coalesce(sum(amount), 0) amount from tx)
-select 'transactions' dataset, s.n source_count, t.n target_count, s.n - t.n rejected_count,
-       cast(s.amount as double) source_amount, cast(t.amount as double) target_amount,
-       cast(s.amount - t.amount as double) rejected_amount,
-       cast(0 as bigint) count_difference, cast(0 as double) amount_difference,
-       'PASS' count_status, 'PASS' amount_status, 'PASS' overall_status
-from source s, target t"""),
+from placed group by rollup (state, city)"""),
+    "reconcile": _with("judged", _reconciled("true")),
+    "reconcile_shortfall": _with("judged", _reconciled("status <> 'PENDING'")),
+    "pipeline_slice": _with("judged", """
+, rejected as (select * from judged where incomplete or out_of_range or bad_type or bad_status or bad_channel or future or orphan),
+good as (select * from judged where not (incomplete or out_of_range or bad_type or bad_status or bad_channel or future or orphan)),
+early as (select transaction_id, arg_max(struct_pack(i := ingestion_timestamp, a := amount, s := status),
+                 struct_pack(i := ingestion_timestamp, a := amount, s := status, x := account_id, t := transaction_timestamp)) r
+          from good where ingestion_timestamp <= timestamp '1996-01-01' group by transaction_id),
+late as (select transaction_id, arg_max(struct_pack(i := ingestion_timestamp, a := amount, s := 'SETTLED'),
+                 struct_pack(i := ingestion_timestamp, a := amount, s := status, x := account_id, t := transaction_timestamp)) r
+         from good where ingestion_timestamp > timestamp '1995-12-30' group by transaction_id),
+merged as (select r from late union all
+           select r from early where transaction_id not in (select transaction_id from late)),
+outcomes as (select r.i ingestion_timestamp, r.a amount, 'LOADED ' || r.s outcome from merged
+             union all select ingestion_timestamp, amount, 'REJECTED' from rejected)
+select cast(strftime(ingestion_timestamp, '%Y%m') as int) month_id, outcome, count(*) records,
+       cast(coalesce(sum(amount), 0) as double) amount
+from outcomes group by all"""),
     # ---- incremental ----
     "incremental_filter": _with(
         "tx_events", f"select {_HIT} from tx_events where ingestion_timestamp > timestamp '2024-01-15'"),
@@ -488,6 +548,10 @@ from source s, target t"""),
         "tx_events", f"select {_HIT} from tx_events where ingestion_timestamp > timestamp '2024-01-13'"),
     "watermark_next": _with("tx_events", f"""
 select {_ts("greatest(max(ingestion_timestamp), timestamp '2024-01-15')", 'last_processed')} from tx_events"""),
+    "watermark_accepted": _with("judged", f"""
+select {_ts("greatest(max(ingestion_timestamp), timestamp '1992-01-01')", 'last_processed')} from judged
+where not (incomplete or out_of_range or bad_type or bad_status or bad_channel or future)
+  and ingestion_timestamp <= timestamp '1998-06-01'"""),
     "watermark_get": _with("tx_events", f"""
 select 'transactions' dataset, {_ts('max(ingestion_timestamp)', 'last_processed')},
        strftime(max(tx_date), '%Y%m%d') last_run_id,

@@ -11,7 +11,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerbrook.operators import analytics, cleansing, fraud, incremental, quality, warehouse
@@ -19,8 +19,13 @@ from ledgerbrook.operators.dedup import extra_copies, latest_per_key
 from ledgerbrook.operators.lookup import lookup
 from ledgerbrook.settings import EPOCH, Settings
 from ledgerbrook.sources import lake, state
+from ledgerbrook.sources.schemas import FACT, RAW
 
 DAY_PARTITIONS = ("year", "month", "day")
+STAMPS = ("ingestion_timestamp", "ingestion_text", "batch_id")
+FILE_CLOCK_SLACK = dt.timedelta(days=1)
+#: Columns a delivery may leave out: stamps are added, and risk classes follow from the category.
+OPTIONAL = ("ingestion_timestamp", "risk_category", "occupation", "created_at")
 
 
 @dataclass(frozen=True)
@@ -35,16 +40,27 @@ class Run:
 
 def run(spark: SparkSession, raw_dir: str, root: str, run_id: str, as_of: dt.datetime | None = None,
         settings: Settings = Settings(), fmt: str = "csv") -> dict:
-    """Load everything under `raw_dir/<dataset>/` newer than the watermark; return the run record."""
+    """Load everything under `raw_dir/<dataset>/` newer than the watermark; return the run record.
+
+    Transaction files that are older than the watermark less the days records may be late are not opened:
+    a row is stamped before its file is written. FILE_CLOCK_SLACK allows for clocks that differ.
+    """
     this = Run(root, run_id, as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), settings)
-    raw = {name: lake.read_raw(spark, f"{raw_dir.rstrip('/')}/{name}", name, fmt)
-           for name in ("branches", "merchants", "customers", "accounts", "transactions")}
+    folder = {name: f"{raw_dir.rstrip('/')}/{name}" for name in ("branches", "merchants", "customers", "accounts", "transactions")}
 
     def work() -> dict:
+        for name, path in folder.items():
+            cleansing.require_columns(lake.delivered_schema(spark, path, fmt), RAW[name], name, OPTIONAL)
+        raw = {name: lake.with_file_time(lake.read_raw(spark, path, name, fmt))
+               for name, path in folder.items() if name != "transactions"}
         load_dimensions(spark, this, raw)
         since = state.get_last_watermark(spark, root, "transactions")
-        stamped = lake.stamped(raw["transactions"], run_id, this.as_of)
-        return load_transactions(spark, this, incremental.newer_or_late(stamped, since, settings.incremental))
+        oldest = incremental.effective_watermark(since, settings.incremental) - FILE_CLOCK_SLACK
+        new = lake.read_raw(spark, folder["transactions"], "transactions", fmt, oldest if since > EPOCH else None)
+        stamped = lake.stamped(lake.with_file_time(new), run_id, this.as_of)
+        # a malformed stamp has no time to compare: the gate sees it as long as its file is read
+        fresh = incremental.newer_or_late(stamped, since, settings.incremental)
+        return load_transactions(spark, this, fresh.unionByName(stamped.where("ingestion_timestamp is null")))
 
     return recorded(spark, this, work)
 
@@ -56,7 +72,7 @@ def recorded(spark: SparkSession, this: Run, work) -> dict:
     try:
         record |= work() | {"status": "SUCCESS"}
     except Exception as error:
-        record |= {"status": "FAILED", "error_message": str(error)[:2000]}
+        record |= {"status": "FAILED", "error_message": str(error)}
         raise
     finally:
         record["end_time"] = dt.datetime.now(dt.timezone.utc)
@@ -67,19 +83,18 @@ def recorded(spark: SparkSession, this: Run, work) -> dict:
 # ---- quality gate --------------------------------------------------------------------
 
 
-def _gate(this: Run, df: DataFrame, rules: list[quality.Rule], dataset: str, key: str,
-          observe: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+def _gate(this: Run, df: DataFrame, rules: list[quality.Rule], dataset: str, key: str) -> tuple[DataFrame, DataFrame]:
     """Judge a dataset once, file its results and rejects; return (good rows, rejects).
 
-    The judged rows are written before they are used three times. Good rows hold
+    The conformed rows are written before the rules read them, so raw text is parsed once and key rules read
+    their columns only; the judged rows are written before they are used three times. Good rows hold
     one row per key; what deduplication leaves out is filed as DUPLICATE.
     """
     spark = df.sparkSession
+    conformed = f"{this.root}/processed/conformed/{dataset}/run_id={this.run_id}"
+    df.write.mode("overwrite").parquet(conformed)
     path = f"{this.root}/processed/checked/{dataset}/run_id={this.run_id}"
-    judged = quality.evaluate(df, rules)
-    if observe is not None:
-        judged = judged.observe(observe, F.max("ingestion_timestamp").alias("newest"))
-    judged.write.mode("overwrite").parquet(path)
+    quality.evaluate(spark.read.schema(df.schema).parquet(conformed), rules).write.mode("overwrite").parquet(path)
     checked = spark.read.parquet(path)
 
     results = quality.results(checked, rules, dataset, this.settings.quality.warn_from)
@@ -125,23 +140,27 @@ def load_dimensions(spark: SparkSession, this: Run, raw: dict[str, DataFrame]) -
             return warehouse.scd2(old, new, key, this.as_of)
         return merge
 
-    branches = cleansing.clean_branches(raw["branches"])
+    def gated(name: str, conform, rules: list[quality.Rule], key: str) -> DataFrame:
+        rows = raw[name].drop("file_time")
+        return _gate(this, conform(rows), rules, name, key)[0]
+
+    branches = gated("branches", cleansing.conform_branches, quality.branch_rules(), "branch_id")
     _published(spark, this, "dim_branch", overwritten("branch_id"), branches)
-    merchants = cleansing.with_merchant_risk(cleansing.clean_merchants(raw["merchants"]))
-    _published(spark, this, "dim_merchant", overwritten("merchant_id"), merchants)
+    merchants = gated("merchants", cleansing.conform_merchants, quality.merchant_rules(), "merchant_id")
+    _published(spark, this, "dim_merchant", overwritten("merchant_id"), cleansing.with_merchant_risk(merchants))
 
     rules = this.settings.quality
     customers = cleansing.conform_customers(lake.stamped(raw["customers"], this.run_id, this.as_of))
     people, _ = _gate(this, customers, quality.customer_rules(rules), "customers", "customer_id")
     known = _published(
-        spark, this, "dim_customer", versioned("customer_id"), people.drop("ingestion_timestamp", "batch_id")
+        spark, this, "dim_customer", versioned("customer_id"), people.drop(*STAMPS)
     )
     accounts = cleansing.conform_accounts(lake.stamped(raw["accounts"], this.run_id, this.as_of))
     owned, _ = _gate(
         this, accounts, quality.account_rules(rules, known.where("is_active")), "accounts", "account_id"
     )
     _published(
-        spark, this, "dim_account", versioned("account_id"), owned.drop("ingestion_timestamp", "batch_id")
+        spark, this, "dim_account", versioned("account_id"), owned.drop(*STAMPS)
     )
 
 
@@ -162,11 +181,10 @@ def load_transactions(spark: SparkSession, this: Run, raw: DataFrame) -> dict:
     accounts, customers, merchants = (
         active(spark, root, name) for name in ("dim_account", "dim_customer", "dim_merchant")
     )
-    newest = Observation("transactions")
+    rules = quality.transaction_rules(settings.quality, accounts, this.as_of, landed=True)
     good, left_out = _gate(
-        this, cleansing.conform_transactions(raw),
-        quality.transaction_rules(settings.quality, accounts, this.as_of),
-        "transactions", settings.incremental.dedup_key, newest,
+        this, cleansing.conform_transactions(raw), rules,
+        "transactions", settings.incremental.dedup_key,
     )
     fact = fraud.calculate_fraud_score(fraud.apply_rules(
         warehouse.fact_transactions(good, accounts, customers), settings.fraud), settings.fraud)
@@ -180,12 +198,16 @@ def load_transactions(spark: SparkSession, this: Run, raw: DataFrame) -> dict:
     state.write_run(verdict.withColumn("run_timestamp", F.lit(this.as_of)),
                     root, "reconciliation_results", this.run_id, "transactions")
     outcome = state.read_state(spark, root, "reconciliation_results").where(F.col("run_id") == this.run_id).first()
-    if newest.get["newest"] is not None:
-        known = dt.datetime.fromisoformat(state.get_last_watermark(spark, root, "transactions"))
-        state.update_watermark(spark, root, "transactions", max(known, newest.get["newest"]), this.run_id)
+    # only accepted rows move the watermark, and the gate accepts none from after the run
+    known = state.get_last_watermark(spark, root, "transactions")
+    newest = incremental.next_watermark(good, known, settings.incremental).first()["last_processed"]
+    if newest > dt.datetime.fromisoformat(known):
+        state.update_watermark(spark, root, "transactions", newest, this.run_id)
+    failed = source.where(F.size("failed_rules") > 0).where(quality.is_rejected(rules)).count()
     return {
         "records_read": outcome["source_count"],
-        "records_processed": outcome["source_count"],
+        # what was judged by itself: all rows but the copies that deduplication left out
+        "records_processed": outcome["target_count"] + failed,
         "records_rejected": outcome["rejected_count"],
         "records_loaded": outcome["target_count"],
     }
@@ -196,7 +218,10 @@ def fact_path(root: str) -> str:
 
 
 def read_fact(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(fact_path(root))
+    """The fact table under its declared schema; empty before its first row."""
+    if not _exists(spark, fact_path(root)):
+        return spark.createDataFrame([], FACT)
+    return spark.read.schema(FACT).parquet(fact_path(root))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -310,5 +335,7 @@ def refresh_summaries(spark: SparkSession, this: Run, days: list[int], accounts:
         ("customer_segment_summary", segments, "month_id"),
     ):
         lake.write_files(df.select("*", stamp), f"{root}/analytics/{name}", partition_by=(part,))
-    bounds = warehouse.date_bounds(fact)
+    # partition values alone: no column of the table is read
+    day = F.make_date("year", "month", "day")
+    bounds = fact.agg(F.min(day).alias("first_day"), F.max(day).alias("last_day")).where("first_day is not null")
     state.publish(warehouse.dim_date(bounds), root, "dim_date", this.run_id)

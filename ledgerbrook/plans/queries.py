@@ -258,8 +258,36 @@ def dq_timestamp(spark, d):
 
 @query
 def dq_results(spark, d):
-    rules = _rules(spark, d)
-    return quality.results(quality.evaluate(_conformed(spark, d), rules), rules, "transactions")
+    return quality.tally(_conformed(spark, d), _rules(spark, d), "transactions")
+
+
+@query
+def dq_customers(spark, d):
+    customers = cleansing.conform_customers(views.customers(spark, d))
+    return quality.tally(customers, quality.customer_rules(SETTINGS.quality), "customers")
+
+
+@query
+def dq_accounts(spark, d):
+    accounts = cleansing.conform_accounts(views.accounts(spark, d))
+    parents = cleansing.clean_customers(views.customers(spark, d))
+    return quality.tally(accounts, quality.account_rules(SETTINGS.quality, parents), "accounts")
+
+
+@query
+def dq_validity_domains(spark, d):
+    """Every value outside the domain of its column, over all five domains."""
+    domains = (
+        (_conformed(spark, d), "transaction_id", {
+            "transaction_type": quality.TRANSACTION_TYPES, "status": quality.TRANSACTION_STATUSES, "channel": quality.CHANNELS}),
+        (cleansing.conform_accounts(views.accounts(spark, d)), "account_id", {"account_status": quality.ACCOUNT_STATUSES}),
+        (cleansing.conform_customers(views.customers(spark, d)), "customer_id", {"customer_segment": quality.CUSTOMER_SEGMENTS}),
+    )
+    return lake.union_batches([
+        quality.evaluate(df, [quality.allowed(c, values) for c, values in columns.items()])
+        .select(F.col(key).alias("record_id"), F.explode("failed_rules").alias("failed_rule"))
+        for df, key, columns in domains
+    ])
 
 
 @query
@@ -363,7 +391,8 @@ def dim_date(spark, d):
 
 
 def _number(key: str, prefix: int):
-    return F.substring(key, prefix + 1, 7).cast("int")
+    """The number in a key, whatever its length."""
+    return F.substring(key, F.lit(prefix + 1), F.length(key)).cast("bigint")
 
 
 @query
@@ -469,14 +498,41 @@ def branch_rollup(spark, d):
 @query
 def reconcile(spark, d):
     """Loaded rows against read rows: whatever is not loaded is in the rejects."""
-    source = _conformed(spark, d)
-    rules = _rules(spark, d)
-    evaluated = quality.evaluate(source, rules)
-    good = quality.passed(evaluated, rules)
-    rejects = evaluated.where(quality.is_rejected(rules)).select("amount", F.lit(1).alias("copies"))
-    copies = extra_copies(good, "transaction_id").select("amount", "copies")
-    return analytics.reconcile(
-        source, latest_per_key(good, "transaction_id"), lake.union_batches([rejects, copies]), "transactions"
+    return _reconciled(spark, d)
+
+
+@query
+def reconcile_shortfall(spark, d):
+    """The same where pending rows were lost on the way: must report FAIL."""
+    return _reconciled(spark, d, F.col("status") != "PENDING")
+
+
+def _reconciled(spark, d, arrived=None):
+    rules = [r for r in _rules(spark, d) if r.rejects]
+    judged = quality.evaluate(_conformed(spark, d), rules)
+    return analytics.reconcile_keyed(
+        judged, quality.is_rejected(rules), "transaction_id", "ingestion_timestamp", "transactions", arrived,
+    )
+
+
+@query
+def pipeline_slice(spark, d):
+    """Two batches from gate to fact: the second one, late rows included, is judged and upserted into the first. Counts
+    per outcome and month of ingestion."""
+    rules = [r for r in _rules(spark, d) if r.rejects]
+    judged = quality.evaluate(_conformed(spark, d), rules)
+    keep = ("transaction_id", "amount", "status", "ingestion_timestamp")
+    good = quality.passed(judged, rules).select(*keep, "account_id", "transaction_timestamp")
+    cut = incremental.moment("1996-01-01 00:00:00")
+    first = latest_per_key(good.where(F.col("ingestion_timestamp") <= cut), "transaction_id")
+    second = latest_per_key(
+        incremental.newer_or_late(good, "1996-01-01T00:00:00"), "transaction_id"
+    ).withColumn("status", F.lit("SETTLED"))
+    fact = warehouse.upsert(first, second, "transaction_id").select("ingestion_timestamp", "amount", F.concat(F.lit("LOADED "), "status").alias("outcome"))
+    rejects = judged.where(quality.is_rejected(rules)).select("ingestion_timestamp", "amount", F.lit("REJECTED").alias("outcome"))
+    return (
+        fact.unionByName(rejects).groupBy(fx.month_id("ingestion_timestamp").alias("month_id"), "outcome")
+        .agg(F.count("*").alias("records"), analytics.money_sum("amount").alias("amount"))
     )
 
 
@@ -499,6 +555,14 @@ def watermark_next(spark, d):
     return incremental.next_watermark(views.tx_events(spark, d), WATERMARK)
 
 
+@query
+def watermark_accepted(spark, d):
+    """The next watermark from accepted rows alone: rejected rows may be newer."""
+    rules = [r for r in _rules(spark, d) if r.fails is not None]
+    judged = quality.evaluate(_conformed(spark, d), [*rules, quality.not_future("ingestion_timestamp", AS_OF)])
+    return incremental.next_watermark(judged.where(F.size("failed_rules") == 0), "1992-01-01 00:00:00")
+
+
 @query
 def watermark_get(spark, d):
     """The watermark in force after one run per day of events."""

@@ -27,19 +27,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input of fewer splits than cores, such as one small file.
-
-    A large input has more splits than that and is not touched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def key(column: str, width: int) -> str:
+    """SQL for a number as text, padded with zeros to a width; a longer number keeps all its digits."""
+    digits = f"cast({column} as string)"
+    return f"lpad({digits}, greatest({width}, length({digits})), '0')"
 
 
 def branches(spark: SparkSession, d: str) -> DataFrame:
     nation, region = table(spark, d, "nation"), table(spark, d, "region")
     return nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
-        "concat('BRN-', lpad(cast(n_nationkey as string), 4, '0')) branch_id",
+        f"concat('BRN-', {key('n_nationkey', 4)}) branch_id",
         "concat(' ', n_name, ' Main Branch ') branch_name",
         "n_name city",
         "r_name state",
@@ -51,7 +48,7 @@ def branches(spark: SparkSession, d: str) -> DataFrame:
 def merchants(spark: SparkSession, d: str) -> DataFrame:
     supplier, nation = table(spark, d, "supplier"), table(spark, d, "nation")
     return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).selectExpr(
-        "concat('MER-', lpad(cast(s_suppkey as string), 5, '0')) merchant_id",
+        f"concat('MER-', {key('s_suppkey', 5)}) merchant_id",
         "concat(' ', s_name, ' ') merchant_name",
         """case s_suppkey % 10 when 0 then 'Grocery' when 1 then 'Travel' when 2 then 'Restaurant'
            when 3 then 'Electronics' when 4 then 'Healthcare' when 5 then 'Education'
@@ -67,8 +64,8 @@ def customers(spark: SparkSession, d: str) -> DataFrame:
         region, nation.n_regionkey == region.r_regionkey
     )
     return joined.selectExpr(
-        """case when c_custkey % 101 = 100 then null
-           else concat('CUST-', lpad(cast(c_custkey as string), 7, '0')) end customer_id""",
+        f"""case when c_custkey % 101 = 100 then null
+           else concat('CUST-', {key('c_custkey', 7)}) end customer_id""",
         "case when c_custkey % 89 = 88 then null else concat(' ', c_name, ' ') end name",
         """cast(case when c_custkey % 53 = 52 then 5 + c_custkey % 13
            else 18 + c_custkey % 63 end as string) age""",
@@ -85,10 +82,10 @@ def customers(spark: SparkSession, d: str) -> DataFrame:
 
 def accounts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").selectExpr(
-        "concat('ACC-', lpad(cast(c_custkey as string), 7, '0')) account_id",
-        "concat('CUST-', lpad(cast(c_custkey as string), 7, '0')) customer_id",
+        f"concat('ACC-', {key('c_custkey', 7)}) account_id",
+        f"concat('CUST-', {key('c_custkey', 7)}) customer_id",
         "case c_custkey % 3 when 0 then 'Savings' when 1 then 'Current' else 'Salary' end account_type",
-        "concat('BRN-', lpad(cast(c_nationkey as string), 4, '0')) branch_id",
+        f"concat('BRN-', {key('c_nationkey', 4)}) branch_id",
         "cast(cast(c_acctbal as decimal(15,2)) as string) balance",
         """case when c_custkey % 67 = 66 then 'UNKNOWN' when c_custkey % 20 = 0 then ' BLOCKED '
            when c_custkey % 20 = 1 then 'CLOSED' else 'ACTIVE' end account_status""",
@@ -97,19 +94,19 @@ def accounts(spark: SparkSession, d: str) -> DataFrame:
 
 def tx_bulk(spark: SparkSession, d: str) -> DataFrame:
     """Raw transactions, all text but the ingestion time; one per order line."""
-    lineitem, orders = spread(table(spark, d, "lineitem")), table(spark, d, "orders")
+    lineitem, orders = table(spark, d, "lineitem"), table(spark, d, "orders")
     return lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).selectExpr(
         """case when l_orderkey % 211 = 210 then null
            else concat(cast(l_orderkey as string), '-', cast(l_linenumber as string)) end transaction_id""",
-        """case when l_orderkey % 97 = 96 then 'ACC-INVALID-999999'
-           else concat('ACC-', lpad(cast(o_custkey as string), 7, '0')) end account_id""",
+        f"""case when l_orderkey % 97 = 96 then 'ACC-INVALID-999999'
+           else concat('ACC-', {key('o_custkey', 7)}) end account_id""",
         """case l_linenumber % 8 when 0 then 'UPI' when 1 then 'CARD' when 2 then 'ATM' when 3 then 'NEFT'
            when 4 then 'IMPS' when 5 then 'RTGS' when 6 then 'CASH_DEPOSIT'
            else 'CASH_WITHDRAWAL' end transaction_type""",
         """cast(cast(case when l_orderkey % 83 = 82 then -l_extendedprice else l_extendedprice end
            as decimal(15,2)) as string) amount""",
         "cast(cast(l_shipdate as date) as string) `timestamp`",
-        "concat('MER-', lpad(cast(l_suppkey as string), 5, '0')) merchant_id",
+        f"concat('MER-', {key('l_suppkey', 5)}) merchant_id",
         "concat('CITY-', cast(l_partkey % 50 as string)) location",
         "case l_returnflag when 'R' then 'Card' when 'A' then 'Wallet' else 'Transfer' end payment_method",
         "case o_orderstatus when 'F' then 'FAILED' when 'P' then 'PENDING' else 'SUCCESS' end status",
@@ -122,8 +119,8 @@ def tx_bulk(spark: SparkSession, d: str) -> DataFrame:
 def tx_events(spark: SparkSession, d: str) -> DataFrame:
     """Typed transactions with times to the microsecond, for the window rules."""
     return table(spark, d, "events").selectExpr(
-        "concat('TXN-', lpad(cast(event_id as string), 10, '0')) transaction_id",
-        "concat('ACC-', lpad(cast(user_id as string), 7, '0')) account_id",
+        f"concat('TXN-', {key('event_id', 10)}) transaction_id",
+        f"concat('ACC-', {key('user_id', 7)}) account_id",
         "cast(value as decimal(15,2)) amount",
         "ts transaction_timestamp",
         "case event_type when 'error' then 'FAILED' when 'signup' then 'PENDING' else 'SUCCESS' end status",

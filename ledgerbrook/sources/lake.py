@@ -27,13 +27,20 @@ def _known(fmt: str) -> str:
     return fmt
 
 
-def read_raw(spark: SparkSession, path: str, dataset: str, fmt: str = "csv") -> DataFrame:
-    """All files of a dataset under its declared schema; nothing is inferred."""
-    return read_files(spark, path, RAW[dataset], fmt)
+def read_raw(spark: SparkSession, path: str, dataset: str, fmt: str = "csv",
+             modified_after: dt.datetime | None = None) -> DataFrame:
+    """The files of a dataset under its declared schema; nothing is inferred.
+
+    `modified_after` (UTC) leaves out older files when they are listed, so they are never opened.
+    """
+    return read_files(spark, path, RAW[dataset], fmt, modified_after)
 
 
-def read_files(spark: SparkSession, path: str, schema: StructType, fmt: str = "csv") -> DataFrame:
+def read_files(spark: SparkSession, path: str, schema: StructType, fmt: str = "csv",
+               modified_after: dt.datetime | None = None) -> DataFrame:
     reader = spark.read.schema(schema)
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after.isoformat(timespec="seconds")).option("timeZone", "UTC")
     if _known(fmt) == "csv":
         reader = reader.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
     elif fmt == "json":
@@ -50,14 +57,36 @@ def union_batches(batches: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches)
 
 
+def delivered_schema(spark: SparkSession, path: str, fmt: str) -> StructType | None:
+    """The columns that the files bring, from headers or footers; None for JSON, where absent fields are NULL."""
+    if _known(fmt) == "json":
+        return None
+    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+    return reader.format(fmt).load(path).schema
+
+
 def stamped(df: DataFrame, batch_id: str, ingested_at: dt.datetime) -> DataFrame:
-    """Add the landing stamps; an ingestion time already in the data is kept."""
+    """Add the landing stamps; an ingestion time already in the data is kept.
+
+    A row without one is stamped with the modification time of its file (`with_file_time`), which is the same in
+    every run, or else with `ingested_at`. A malformed one becomes NULL and stays readable as `ingestion_text`,
+    so that the quality gate can reject it.
+    """
+    text = F.nullif(F.trim(F.col("ingestion_timestamp").cast("string")), F.lit("")) if "ingestion_timestamp" in df.columns \
+        else F.lit(None).cast("string")
     now = F.lit(str(ingested_at)).cast("timestamp_ntz")
-    known = F.col("ingestion_timestamp") if "ingestion_timestamp" in df.columns else F.lit(None)
+    if "file_time" in df.columns:
+        now = F.coalesce(F.col("file_time").cast("timestamp_ntz"), now)
     return df.withColumns({
-        "ingestion_timestamp": F.coalesce(known.cast("timestamp_ntz"), now),
+        "ingestion_text": text,
+        "ingestion_timestamp": F.when(text.isNull(), now).otherwise(text.try_cast("timestamp_ntz")),
         "batch_id": F.lit(batch_id),
-    })
+    }).drop("file_time")
+
+
+def with_file_time(df: DataFrame) -> DataFrame:
+    """Add the modification time of the file of each row, for a frame (or stream) that reads files directly."""
+    return df.select("*", F.col("_metadata.file_modification_time").alias("file_time"))
 
 
 def write_files(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -84,11 +113,6 @@ def write_files(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return path
 
 
-def write_layer(df: DataFrame, root: str, layer: str, dataset: str, fmt: str = "parquet",
-                mode: str = "overwrite", partition_by: tuple[str, ...] = ()) -> str:
-    return write_files(df, layer_path(root, layer, dataset), fmt, mode, partition_by)
-
-
 def list_files(df: DataFrame) -> list[str]:
     """The files behind a frame, from its plan; no rows are read."""
     return sorted(df.inputFiles())
@@ -99,17 +123,27 @@ def files_manifest(df: DataFrame) -> DataFrame:
     return df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count("*").alias("records"))
 
 
-def ingestion_summary(frames: dict[str, DataFrame]) -> DataFrame:
-    """Records and files per dataset with a grand total, for frames reading files directly."""
+def ingestion_summary(frames: dict[str, DataFrame], paths: dict[str, str] | None = None,
+                      seconds: dict[str, float] | None = None) -> DataFrame:
+    """Records and files per dataset with a grand total, for frames reading files directly.
+
+    With `paths` and `seconds` (where a dataset went and how long that took) each row names them as well.
+    """
     per_file = [
         files_manifest(df).select(F.lit(name).alias("dataset"), "records") for name, df in frames.items()
     ]
-    return (
+    summary = (
         reduce(lambda a, b: a.unionByName(b), per_file)
         .rollup("dataset")
         .agg(F.sum("records").alias("records"), F.count("*").alias("batches"))
         .select(F.coalesce("dataset", F.lit("TOTAL")).alias("dataset"), "records", "batches")
     )
+    for name, known, kind in (("path", paths, "string"), ("seconds", seconds, "double")):
+        if known is not None:
+            values = known | ({"TOTAL": sum(known.values())} if kind == "double" else {})
+            pairs = F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+            summary = summary.withColumn(name, F.try_element_at(pairs, F.col("dataset")).cast(kind))
+    return summary
 
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

@@ -1,94 +1,146 @@
-"""Declared schemas: an all-text landing tier, a typed tier and the state tables."""
+"""Declared schemas: an all-text landing tier, the fact table and the run state."""
 
 from __future__ import annotations
 
-from pyspark.sql.types import (
-    BooleanType, DateType, DecimalType, IntegerType, LongType, StringType, StructField,
-    StructType, TimestampNTZType, TimestampType,
-)
-
-_KINDS = {
-    "string": StringType(), "int": IntegerType(), "bigint": LongType(), "date": DateType(),
-    "boolean": BooleanType(), "money": DecimalType(15, 2), "big_money": DecimalType(20, 2),
-    "rate": DecimalType(5, 2), "moment": TimestampNTZType(), "instant": TimestampType(),
-}
-
-
-def _struct(text: str) -> StructType:
-    """A schema from lines of `name` (text) or `name:kind`."""
-    fields = []
-    for word in text.split():
-        name, _, kind = word.partition(":")
-        fields.append(StructField(name, _KINDS[kind or "string"], True))
-    return StructType(fields)
-
+from pyspark.sql.types import StructType
 
 # ---- landing tier: text only, so that no bad value fails a load ---------------
 
 RAW = {
-    "branches": _struct("branch_id branch_name city state branch_type"),
-    "merchants": _struct("merchant_id merchant_name merchant_category city risk_category"),
-    "customers": _struct(
-        "customer_id name age gender city state occupation income account_open_date "
-        "customer_segment ingestion_timestamp:moment"
-    ),
-    "accounts": _struct(
-        "account_id customer_id account_type branch_id balance account_status created_at "
-        "ingestion_timestamp:moment"
-    ),
-    "transactions": _struct(
-        "transaction_id account_id transaction_type amount timestamp merchant_id location "
-        "payment_method status channel ingestion_timestamp:moment"
-    ),
+    "branches": StructType()
+    .add("branch_id", "string")
+    .add("branch_name", "string")
+    .add("city", "string")
+    .add("state", "string")
+    .add("branch_type", "string"),
+    "merchants": StructType()
+    .add("merchant_id", "string")
+    .add("merchant_name", "string")
+    .add("merchant_category", "string")
+    .add("city", "string")
+    .add("risk_category", "string"),
+    "customers": StructType()
+    .add("customer_id", "string")
+    .add("name", "string")
+    .add("age", "string")
+    .add("gender", "string")
+    .add("city", "string")
+    .add("state", "string")
+    .add("occupation", "string")
+    .add("income", "string")
+    .add("account_open_date", "string")
+    .add("customer_segment", "string")
+    .add("ingestion_timestamp", "string"),
+    "accounts": StructType()
+    .add("account_id", "string")
+    .add("customer_id", "string")
+    .add("account_type", "string")
+    .add("branch_id", "string")
+    .add("balance", "string")
+    .add("account_status", "string")
+    .add("created_at", "string")
+    .add("ingestion_timestamp", "string"),
+    "transactions": StructType()
+    .add("transaction_id", "string")
+    .add("account_id", "string")
+    .add("transaction_type", "string")
+    .add("amount", "string")
+    .add("timestamp", "string")
+    .add("merchant_id", "string")
+    .add("location", "string")
+    .add("payment_method", "string")
+    .add("status", "string")
+    .add("channel", "string")
+    .add("ingestion_timestamp", "string"),
 }
-STAMPS = _struct("ingestion_timestamp:moment batch_id")
 
-# ---- typed tier ----------------------------------------------------------------
+# ---- fact table, as it is stored ------------------------------------------------
 
-TYPED = {
-    "dim_date": _struct(
-        "date_id:int full_date:date day_of_month:int month:int year:int quarter:int "
-        "day_of_week is_weekend:boolean"
-    ),
-    "dim_customer": _struct(
-        "customer_id name age:int gender city state occupation income:money account_open_date:date "
-        "customer_segment is_active:boolean valid_from:moment valid_to:moment"
-    ),
-    "dim_branch": _struct("branch_id branch_name city state branch_type"),
-    "dim_merchant": _struct("merchant_id merchant_name merchant_category city risk_category"),
-    "dim_account": _struct(
-        "account_id customer_id account_type branch_id balance:money account_status "
-        "is_active:boolean valid_from:moment valid_to:moment"
-    ),
-    "fact_transactions": _struct(
-        "transaction_id account_id customer_id merchant_id branch_id date_id:int transaction_type "
-        "amount:money transaction_timestamp:moment status payment_method channel location "
-        "pipeline_run_id loaded_at:instant"
-    ),
-}
+FACT = (
+    StructType()
+    .add("transaction_id", "string")
+    .add("account_id", "string")
+    .add("customer_id", "string")
+    .add("merchant_id", "string")
+    .add("branch_id", "string")
+    .add("date_id", "integer")
+    .add("transaction_type", "string")
+    .add("amount", "decimal(15,2)")
+    .add("transaction_timestamp", "timestamp_ntz")
+    .add("status", "string")
+    .add("payment_method", "string")
+    .add("channel", "string")
+    .add("location", "string")
+    .add("ingestion_timestamp", "timestamp_ntz")
+    .add("fraud_flag_high_amount", "boolean")
+    .add("fraud_flag_risky_merchant", "boolean")
+    .add("fraud_score", "integer")
+    .add("is_fraudulent", "boolean")
+    .add("pipeline_run_id", "string")
+    .add("loaded_at", "timestamp")
+    .add("year", "integer")
+    .add("month", "integer")
+    .add("day", "integer")
+)
 
 # ---- run state -----------------------------------------------------------------
 
 STATE = {
-    "pipeline_runs": _struct(
-        "run_id pipeline_name start_time:instant end_time:instant status records_read:bigint "
-        "records_processed:bigint records_rejected:bigint records_loaded:bigint error_message"
-    ),
-    "quality_results": _struct(
-        "run_id dataset check_name check_type total_records:bigint passed_records:bigint "
-        "failed_records:bigint pass_rate:rate status details checked_at:instant"
-    ),
-    "rejected_records": _struct(
-        "rejection_id run_id dataset record_id failure_reason failed_rule raw_data rejected_at:instant"
-    ),
-    "pipeline_watermarks": _struct(
-        "dataset last_processed:moment last_run_id updated_at:instant"
-    ),
-    "reconciliation_results": _struct(
-        "run_id dataset source_count:bigint target_count:bigint rejected_count:bigint "
-        "source_amount:big_money target_amount:big_money rejected_amount:big_money "
-        "count_difference:bigint amount_difference:big_money count_status amount_status "
-        "overall_status run_timestamp:instant"
-    ),
-    "published": _struct("dataset run_id version published_at:instant"),
+    "pipeline_runs": StructType()
+    .add("run_id", "string")
+    .add("pipeline_name", "string")
+    .add("start_time", "timestamp")
+    .add("end_time", "timestamp")
+    .add("status", "string")
+    .add("records_read", "long")
+    .add("records_processed", "long")
+    .add("records_rejected", "long")
+    .add("records_loaded", "long")
+    .add("error_message", "string"),
+    "quality_results": StructType()
+    .add("run_id", "string")
+    .add("dataset", "string")
+    .add("check_name", "string")
+    .add("check_type", "string")
+    .add("total_records", "long")
+    .add("passed_records", "long")
+    .add("failed_records", "long")
+    .add("pass_rate", "decimal(5,2)")
+    .add("status", "string")
+    .add("details", "string")
+    .add("checked_at", "timestamp"),
+    "rejected_records": StructType()
+    .add("rejection_id", "string")
+    .add("run_id", "string")
+    .add("dataset", "string")
+    .add("record_id", "string")
+    .add("failure_reason", "string")
+    .add("failed_rule", "string")
+    .add("raw_data", "string")
+    .add("rejected_at", "timestamp"),
+    "pipeline_watermarks": StructType()
+    .add("dataset", "string")
+    .add("last_processed", "timestamp_ntz")
+    .add("last_run_id", "string")
+    .add("updated_at", "timestamp"),
+    "reconciliation_results": StructType()
+    .add("run_id", "string")
+    .add("dataset", "string")
+    .add("source_count", "long")
+    .add("target_count", "long")
+    .add("rejected_count", "long")
+    .add("source_amount", "decimal(20,2)")
+    .add("target_amount", "decimal(20,2)")
+    .add("rejected_amount", "decimal(20,2)")
+    .add("count_difference", "long")
+    .add("amount_difference", "decimal(20,2)")
+    .add("count_status", "string")
+    .add("amount_status", "string")
+    .add("overall_status", "string")
+    .add("run_timestamp", "timestamp"),
+    "published": StructType()
+    .add("dataset", "string")
+    .add("run_id", "string")
+    .add("version", "string")
+    .add("published_at", "timestamp"),
 }

@@ -24,7 +24,7 @@ def new_files(spark: SparkSession, path: str, dataset: str, fmt: str = "csv",
         reader = reader.option("header", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    return lake.with_file_time(reader.load(path))
 
 
 def ingest_available(spark: SparkSession, raw_dir: str, root: str, checkpoint: str, name: str = "transactions",

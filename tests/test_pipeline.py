@@ -129,7 +129,7 @@ def test_days_one_by_one_and_repeated_equal_one_load(spark, raw, tmp_path):
     assert state.get_last_watermark(spark, step, "transactions") == "2024-05-02T23:30:00"
     late = state.read_state(spark, step, "rejected_records").where("run_id = 'run-2' and dataset = 'transactions'")
     assert sorted(r.failed_rule for r in late.collect()).count("DUPLICATE") == 2
-    assert state.read_state(spark, step, "quality_results").where("dataset = 'transactions'").count() == 16
+    assert state.read_state(spark, step, "quality_results").where("dataset = 'transactions'").count() == 20
     versions = state.read_published(spark, step, "dim_customer").where("customer_id = 'C1'").orderBy("valid_from")
     assert [(r.customer_segment, r.is_active) for r in versions.collect()] == [("Regular", False), ("Premium", True)]
     assert pipeline.active(spark, step, "dim_customer").where("customer_id = 'C2'").count() == 1
@@ -140,6 +140,44 @@ def test_days_one_by_one_and_repeated_equal_one_load(spark, raw, tmp_path):
     assert dates.count() == 2
 
 
+def test_rejected_rows_do_not_stop_later_loads(spark, raw, tmp_path):
+    root = str(tmp_path / "lake")
+    # nothing acceptable in the first load
+    write(raw, "transactions", [transaction(1, "A9", "2024-05-01 12:00:00")], "day0")
+    write(raw, "branches", ["B1,Main,Pune,MH,Urban", ",Nowhere,Agra,UP,Rural"], "more")
+    write(raw, "merchants", ["M3,Bureau,Unlisted,Pune,HIGH", "M4,Mall,Shopping,Pune,"], "more")
+    record = pipeline.run(spark, str(raw), root, "run-0", AS_OF)
+    assert (record["status"], record["records_read"], record["records_loaded"]) == ("SUCCESS", 1, 0)
+    assert state.get_last_watermark(spark, root, "transactions") == "1970-01-01T00:00:00"
+    rejects = state.read_state(spark, root, "rejected_records").where("dataset in ('branches', 'transactions')")
+    assert sorted(r.failed_rule for r in rejects.collect()) == ["COMPLETENESS", "DUPLICATE", "REFERENTIAL_account_id"]
+    risks = {r.merchant_id: r.risk_category for r in pipeline.active(spark, root, "dim_merchant").collect()}
+    assert risks == {"M1": "HIGH", "M2": "LOW", "M3": "HIGH", "M4": "MEDIUM"}
+
+    write(raw, "transactions", [
+        *slice_of(1), transaction(700, "A9", "2024-05-01 12:00:00", ingested="2099-01-01 00:00:00"),
+        transaction(701, "A1", "2024-05-01 12:30:00", ingested="garbage"),
+        transaction(702, "A1", "2024-05-01 12:31:00", ingested=" "),
+    ], "day1")
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(hours=1)
+    record = pipeline.run(spark, str(raw), root, "run-1", now)
+    assert (record["records_loaded"], record["records_processed"]) == (7, record["records_read"])
+    rules = state.read_state(spark, root, "rejected_records").where("run_id = 'run-1' and dataset = 'transactions'")
+    found = {(r.record_id, r.failed_rule) for r in rules.collect()}
+    assert {("T700", "TIMESTAMP_ingestion_timestamp"), ("T701", "FORMAT_ingestion_timestamp")} <= found
+    # the unstamped row carries its file's time, so rows stamped more than two days earlier count as seen;
+    # the next delivery is stamped after it
+    later = str(now)[:19]
+    write(raw, "transactions", [line.rsplit(",", 1)[0] + "," + later for line in slice_of(2)], "day2")
+    record = pipeline.run(spark, str(raw), root, "run-2", now + dt.timedelta(days=1))
+    assert record["status"] == "SUCCESS" and pipeline.read_fact(spark, root).count() == 13
+
+    for f in (raw / "accounts").iterdir():
+        f.write_text("account_id,balance\nA1,5\n")
+    with pytest.raises(ValueError, match="customer_id"):
+        pipeline.run(spark, str(raw), root, "run-3", now)
+
+
 def test_a_failed_run_is_recorded(spark, raw, tmp_path):
     root = str(tmp_path / "lake")
     with pytest.raises(Exception):

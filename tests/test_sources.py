@@ -26,21 +26,27 @@ def test_bad_values_do_not_fail_a_load(spark, tmp_path):
         (tmp_path / "t" / f"transactions_batch_{n:04d}.csv").write_text(f"{header}\n{line}\n")
     df = lake.read_raw(spark, str(tmp_path / "t"), "transactions")
     got = {r.transaction_id: (r.amount, r.ingestion_timestamp) for r in df.collect()}
-    assert got == {"T1": ("abc", dt.datetime(2024, 1, 1)), "T2": ("1.5", None)}
+    assert got == {"T1": ("abc", "2024-01-01 00:00:00"), "T2": ("1.5", "nonsense")}
     stamped = lake.stamped(df, "b7", dt.datetime(2024, 2, 2))
-    got = {r.transaction_id: (r.ingestion_timestamp, r.batch_id) for r in stamped.collect()}
-    assert got == {"T1": (dt.datetime(2024, 1, 1), "b7"), "T2": (dt.datetime(2024, 2, 2), "b7")}
+    got = {r.transaction_id: (r.ingestion_timestamp, r.ingestion_text, r.batch_id) for r in stamped.collect()}
+    assert got == {"T1": (dt.datetime(2024, 1, 1), "2024-01-01 00:00:00", "b7"), "T2": (None, "nonsense", "b7")}
+    absent = lake.stamped(df.drop("ingestion_timestamp"), "b7", dt.datetime(2024, 2, 2))
+    assert {r.ingestion_timestamp for r in absent.collect()} == {dt.datetime(2024, 2, 2)}
+    by_file = lake.stamped(lake.with_file_time(df.drop("ingestion_timestamp")), "b7", dt.datetime(2001, 2, 2))
+    assert by_file.where("ingestion_timestamp > timestamp_ntz'2020-01-01'").count() == 2
     assert [f.rsplit("/", 1)[1] for f in lake.list_files(df)] == [
         "transactions_batch_0000.csv", "transactions_batch_0001.csv"]
     assert {r.file_name: r.records for r in lake.files_manifest(df).collect()} == {
         "transactions_batch_0000.csv": 1, "transactions_batch_0001.csv": 1}
     summary = lake.ingestion_summary({"transactions": df})
     assert sorted(map(tuple, summary.collect())) == [("TOTAL", 2, 2), ("transactions", 2, 2)]
+    summary = lake.ingestion_summary({"transactions": df}, {"transactions": "s3a://lake/t"}, {"transactions": 1.5})
+    assert sorted(map(tuple, summary.collect())) == [("TOTAL", 2, 2, None, 1.5), ("transactions", 2, 2, "s3a://lake/t", 1.5)]
 
 
 def test_unknown_formats_and_layers_are_refused(rows, tmp_path):
     with pytest.raises(ValueError):
-        lake.write_layer(rows([(1,)], "x int"), str(tmp_path), "raw", "things", "xlsx")
+        lake.write_files(rows([(1,)], "x int"), str(tmp_path), "xlsx")
     with pytest.raises(ValueError):
         lake.layer_path("root", "cooked", "things")
     assert lake.layer_path("s3a://bucket/lake/", "raw", "accounts") == "s3a://bucket/lake/raw/accounts"

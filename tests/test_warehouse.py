@@ -1,6 +1,8 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from ledgerbrook.operators import analytics, warehouse
 from ledgerbrook.settings import END_OF_TIME
 
@@ -92,3 +94,15 @@ def test_reconcile(rows):
         1, Decimal("2.00"), "FAIL", "FAIL", "FAIL")
     empty = source.limit(0)
     assert analytics.reconcile(empty, empty, empty, "transactions").first().overall_status == "PASS"
+
+
+def test_keys_keep_all_their_digits(spark):
+    from ledgerbrook.plans import views
+    from ledgerbrook.plans.queries import _number
+
+    df = spark.sql("select cast(id as bigint) id from values (7), (12345678), (123456789012) t(id)")
+    got = df.select(F.expr(f"concat('CUST-', {views.key('id', 7)})").alias("k")).withColumn("n", _number("k", 5)).collect()
+    assert [(r.k, r.n) for r in got] == [
+        ("CUST-0000007", 7), ("CUST-12345678", 12345678), ("CUST-123456789012", 123456789012)]
+    suppliers = spark.sql("select 123456L s_suppkey").select(F.expr(f"concat('MER-', {views.key('s_suppkey', 5)})").alias("k"))
+    assert suppliers.first().k == "MER-123456"
