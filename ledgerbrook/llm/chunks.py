@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import no_null, parts, text_bytes
+from .common import no_null, parts, shared_folder, text_bytes
 
 #: Bits of the names that runs of windows are counted by before anything else is sent.
 NAME_BITS = 48
@@ -131,7 +131,7 @@ def distinct_texts(docs: DataFrame) -> tuple[DataFrame, int]:
         F.max("text").alias("text"), F.min("first").alias("first"), F.sum("copies").alias("copies")
     )
     name = f"distinct_texts_{uuid.uuid4().hex}"
-    folded.select("chunk", "key", "text", "first", "copies").write.format("parquet").option("compression", "zstd").bucketBy(n, "chunk").saveAsTable(name)
+    folded.select("chunk", "key", "text", "first", "copies").write.format("parquet").option("compression", "zstd").option("path", f"{shared_folder(spark)}/{name}").bucketBy(n, "chunk").saveAsTable(name)
     return spark.table(name), n
 
 
