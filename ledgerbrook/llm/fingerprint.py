@@ -109,7 +109,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), no_null("text").alias("text")).mapInArrow(run, "doc_id long, fingerprint string")
 
 
-def with_successor(docs: DataFrame, each: int = 16 << 20) -> DataFrame:
+def with_successor(docs: DataFrame, each: int = 2 << 20) -> DataFrame:
     """doc_id, text and `stretch`, `lent`: stretches of ascending ids, each followed by the first row of the next one (lent).
 
     So a task that has a stretch sees the next document of every row of it, and the text is shuffled once. The cut ids
@@ -136,7 +136,7 @@ def with_successor(docs: DataFrame, each: int = 16 << 20) -> DataFrame:
 
     return (
         rows.mapInArrow(deal, "key long, doc_id long, text string, stretch int, lent boolean")
-        .repartition(max(8, n), "stretch")
+        .repartition(max(8, n // 8), "stretch")  # several stretches each, so that they even out
         .sortWithinPartitions("stretch", "lent", "key", "text")
     )
 

@@ -200,8 +200,15 @@ def extract(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAG
         counts.filter(F.col("n") >= least_pages).join(sizes, "host").filter(F.col("n") >= share * F.col("n_pages"))
         .groupBy(F.col("host").alias("template_host")).agg(F.collect_set("hash").alias("templates"))
     )
+    # pages with no container around any block have nothing to delete and don't go to the join
+    pages_of = parsed.select("page_id", "url", "host", "blocks")
+    plain = F.forall("blocks", lambda b: F.size(b["around"]) == 0)
     none = F.array().cast("array<long>")
-    joined = parsed.join(templates, F.col("host") == F.col("template_host"), "left").withColumn("templates", F.coalesce("templates", none))
+    joined = (
+        pages_of.filter(~plain).join(templates, F.col("host") == F.col("template_host"), "left")
+        .withColumn("templates", F.coalesce("templates", none)).drop("template_host")
+        .unionByName(pages_of.filter(plain).withColumn("templates", none))
+    )
     kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["around"], F.col("templates")))
     return joined.select("page_id", "url", "host", kept.alias("kept"), F.size("blocks").alias("n")).select(
         "page_id", "url", "host", F.array_join(F.transform("kept", lambda b: b["text"]), "\n").alias("text"),

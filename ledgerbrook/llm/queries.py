@@ -73,4 +73,42 @@ QUERIES = {
         op9_chat, op10_sharding,
     )
 }
-ORACLES = {"op4_decontaminate": decontaminate.oracle()}
+#: The same results in DuckDB SQL. Trained models, html, sketches, random rounding and packing have none.
+ORACLES = {
+    "op2_suffix": r"""
+with d as (select doc_id, hex(encode(coalesce(text, ''))) h, octet_length(encode(coalesce(text, ''))) n from documents),
+win as (select doc_id, s, substr(h, 2 * s + 1, 100) t from (select doc_id, h, unnest(range(n - 49)) s from d where n >= 50)),
+dup as (select doc_id, s from (select *, min(doc_id) over (partition by t) f from win) where f < doc_id),
+gone as (select distinct doc_id, unnest(range(s, s + 50)) p from dup),
+cut as (select g.doc_id, count(*) n_removed, count(*) filter (where b.p is null) n_spans
+        from gone g left join gone b on g.doc_id = b.doc_id and g.p = b.p + 1 group by g.doc_id),
+bytes as (select doc_id, h, unnest(range(n)) p from d),
+kept as (select doc_id, string_agg(substr(h, 2 * p + 1, 2), '' order by p) k
+         from bytes anti join gone using (doc_id, p) group by doc_id)
+select doc_id, cast(n as bigint) n_bytes, coalesce(n_removed, 0) n_removed, coalesce(n_spans, 0) n_spans,
+       sha256(unhex(coalesce(k, ''))) kept_sha256
+from d left join cut using (doc_id) left join kept using (doc_id)""",
+    "op4_decontaminate": decontaminate.oracle(),
+    "op7_superkmer": r"""
+with d as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') w from documents),
+win as (select doc_id, s, array_to_string(w[s + 1 : s + 35], ' ') t
+        from (select doc_id, w, unnest(range(len(w) - 34)) s from d where len(w) >= 35)),
+dup as (select doc_id, s from (select *, count(*) over (partition by t) c from win) where c > 1),
+gone as (select distinct doc_id, unnest(range(s, s + 35)) p from dup),
+cut as (select doc_id, count(*) n_removed from gone group by doc_id),
+words as (select doc_id, unnest(w) x, unnest(range(len(w))) p from d),
+kept as (select doc_id, string_agg(x, ' ' order by p) k from words anti join gone using (doc_id, p) group by doc_id)
+select doc_id, len(w) n_words, coalesce(n_removed, 0) n_removed, sha256(coalesce(k, '')) kept_sha256
+from d left join cut using (doc_id) left join kept using (doc_id)""",
+    "op9_chat": r"""
+with rows as (select conv_id, turn, coalesce(role, '') role, coalesce(text, '') text from conversations
+              union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+escaped as (select *, regexp_replace(text, '([<\[])(\\*)(/?(?:s|INST|ROLE|image|audio|document)[>\]])', '\1\2\\\3', 'g') e from rows),
+pieces as (select *, case role when 'user' then '[INST] ' || e || ' [/INST]' when 'assistant' then e || '</s>'
+                     else '[ROLE] ' || role || ' [/ROLE] ' || e || '</s>' end piece from escaped)
+select conv_id, count(*) n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) turns_sha256,
+       cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn) filter (where role = 'assistant'), '')) loss_sha256,
+       cast(sum(length(piece)) as bigint) formatted_chars
+from pieces group by conv_id""",
+}

@@ -25,7 +25,7 @@ STRETCH = 4
 #: Lengths of n-grams; a boundary mark counts as a character.
 GRAMS = (3, 4, 5, 6)
 #: Most labelled rows of each class that are read for training (the bound of the sample).
-TRAIN_ROWS = 3000
+TRAIN_ROWS = 2000
 #: Characters that are scored at a time; a longer text is scored at once.
 PIECE = 1 << 20
 
@@ -116,23 +116,31 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, seed: int = 0,
     """Fit on whole texts. Each epoch a document gives its currently most toxic stretch, a clean one two more at random."""
     rng = np.random.default_rng(seed)
     y = np.array(labels)
-    code, owner = characters(texts)
-    starts = np.flatnonzero((code != 0) & np.r_[True, code[:-1] == 0])
-    if not len(starts) or y.min() == y.max():
-        constant = float(y.mean()) if len(y) else 0.0
-        return Model(np.zeros(BUCKETS, np.float32), float(np.log((constant + 1e-3) / (1 - constant + 1e-3))), constant)
     # equal words share one list of n-grams
-    string_of = code.astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass").strip("\0").split("\0")
     vocabulary: dict[str, int] = {}
-    seg_words = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in string_of], dtype=np.int32)
-    del string_of
-    _, pairs = subwords(characters([" ".join(vocabulary)])[0])
-    word = np.concatenate([w for w, _ in pairs])
-    order = np.argsort(word, kind="stable")
-    flat = np.concatenate([b for _, b in pairs])[order]
-    n_grams = np.bincount(word, minlength=len(vocabulary))
+    numbers = []
+    for text in texts:
+        code, _ = characters([text])
+        found = code.astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass").strip("\0")
+        numbers.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in found.split("\0")] if found else [], dtype=np.int32))
+    if not vocabulary or y.min() == y.max():
+        constant = float(y.mean()) if len(y) else 0.0
+        return Model(np.zeros(BUCKETS, np.float32), float(np.log((constant + 1e-3) / (1 - constant + 1e-3))), constant)
+    of_word = np.repeat(np.arange(len(texts), dtype=np.int32), [len(x) for x in numbers])
+    seg_words = np.concatenate(numbers)
+    flats, counts = [], []
+    listed = list(vocabulary)
+    del numbers, vocabulary
+    for at in range(0, len(listed), 20_000):
+        part = listed[at : at + 20_000]
+        _, pairs = subwords(characters([" ".join(part)])[0])
+        word = np.concatenate([w for w, _ in pairs])
+        flats.append(np.concatenate([b for _, b in pairs])[np.argsort(word, kind="stable")])
+        counts.append(np.bincount(word, minlength=len(part)))
+    del listed
+    flat, n_grams = np.concatenate(flats), np.concatenate(counts)
+    del flats
     gram_start = np.r_[0, np.cumsum(n_grams)]
-    of_word = owner[starts]
     first = np.flatnonzero(np.r_[True, of_word[1:] != of_word[:-1]])
     place = np.arange(len(of_word)) - np.repeat(first, np.diff(np.r_[first, len(of_word)]))
     heads = np.flatnonzero(place % STRETCH == 0)
@@ -158,7 +166,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, seed: int = 0,
     for epoch in range(epochs):
         if epoch:
             line = embedding @ (softmax[:, 1] - softmax[:, 0])
-            per_word = np.add.reduceat(line[flat], gram_start[:-1])
+            per_word = np.add.reduceat(line[flat], gram_start[:-1])  # one float32 per n-gram of the vocabulary
             value = np.add.reduceat(per_word[seg_words], seg_start[:-1]) / seg_grams
             order = np.lexsort((-value, own))
             top = order[first_of]
