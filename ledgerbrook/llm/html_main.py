@@ -198,7 +198,7 @@ def extract(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAG
     counts = parsed.select("host", F.explode("containers").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
     templates = (
         counts.filter(F.col("n") >= least_pages).join(sizes, "host").filter(F.col("n") >= share * F.col("n_pages"))
-        .groupBy(F.col("host").alias("template_host")).agg(F.collect_set("hash").alias("templates"))
+        .groupBy(F.col("host").alias("template_host")).agg(F.collect_set("hash").alias("templates")).hint("rebalance")
     )
     # pages with no container around any block have nothing to delete and don't go to the join
     pages_of = parsed.select("page_id", "url", "host", "blocks")
