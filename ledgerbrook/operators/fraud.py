@@ -62,6 +62,8 @@ def calculate_fraud_score(df: DataFrame, settings: FraudSettings = DEFAULTS) ->
     )
 
 
+_TOTAL = "decimal(28,2)"
+
 # ---- window rules ------------------------------------------------------------
 
 
@@ -90,7 +92,7 @@ def recent_activity(transactions: DataFrame, settings: FraudSettings = DEFAULTS)
     failed = settings.failed_minutes * fx.MINUTE
     location = settings.location_minutes * fx.MINUTE
     longest = max(velocity, failed, location)
-    width = settings.slice_minutes * fx.MINUTE if settings.slice_minutes else 6 * longest
+    width = settings.slice_minutes * fx.MINUTE if settings.slice_minutes else longest
 
     points = (
         timed(_located(transactions))
@@ -150,45 +152,43 @@ def history_before(transactions: DataFrame, party: str) -> DataFrame:
     """Totals of each (party, instant) over strictly earlier instants.
 
     Columns: `at`, `largest` (largest amount at the instant), `prior_count`,
-    `prior_amount`, `first_at`. The running total is cut by day: totals of earlier
-    days come from one row per (party, day), so no window holds more than the
-    instants of one day or the days of one party.
+    `prior_amount`, `first_at`. Running totals are carried from days to hours to instants: each level
+    starts from one row that holds the totals before it, so no window holds more than the instants of one hour, the
+    hours of one day or the days of one party, and nothing is joined back.
     """
     points = (
         timed(transactions)
         .where(F.col(party).isNotNull() & F.col("at").isNotNull() & F.col("amount").isNotNull())
         .groupBy(party, "at")
-        .agg(F.count("*").alias("n"), F.sum("amount").cast("decimal(28,2)").alias("total"),
-             F.max("amount").alias("largest"))
-        .withColumn("day", fx.floor_to(F.col("at"), fx.DAY))
-    )
-    earlier_days = Window.partitionBy(party).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        points.groupBy(party, "day")
-        .agg(F.sum("n").alias("n"), F.sum("total").cast("decimal(28,2)").alias("total"), F.min("at").alias("at"))
-        .select(
-            party, "day",
-            F.sum("n").over(earlier_days).alias("days_count"),
-            F.sum("total").over(earlier_days).cast("decimal(28,2)").alias("days_amount"),
-            F.min("at").over(earlier_days).alias("days_first"),
-        )
-    )
-    same_day = Window.partitionBy(party, "day").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    within = points.select(
-        party, "day", "at", "largest",
-        F.sum("n").over(same_day).alias("day_count"),
-        F.sum("total").over(same_day).cast("decimal(28,2)").alias("day_amount"),
-        F.min("at").over(same_day).alias("day_first"),
-    )
-    nothing = F.lit(0).cast("decimal(28,2)")
-    return within.join(carried, [party, "day"], "left").select(
-        party, "at", "largest",
-        (F.coalesce("days_count", F.lit(0)) + F.coalesce("day_count", F.lit(0))).alias("prior_count"),
-        (F.coalesce("days_amount", nothing) + F.coalesce("day_amount", nothing))
-        .cast("decimal(28,2)").alias("prior_amount"),
-        F.least("days_first", "day_first").alias("first_at"),
+        .agg(F.count("*").alias("n"), F.sum("amount").cast(_TOTAL).alias("total"), F.max("amount").alias("largest"))
+        .select(party, fx.floor_to(F.col("at"), fx.DAY).alias("day"), fx.floor_to(F.col("at"), 60 * fx.MINUTE).alias("hour"),
+                "at", "n", "total", F.col("at").alias("first"), "largest")
     )
 
+    def gathered(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.groupBy(party, *keys).agg(
+            F.sum("n").alias("n"), F.sum("total").cast(_TOTAL).alias("total"), F.min("first").alias("first"))
+
+    def before(rows: DataFrame, part: list[str], order: str, start: DataFrame | None = None) -> DataFrame:
+        """Totals before each row of a part, `start` giving those before its first row."""
+        rows = rows.withColumn("real", F.lit(True))
+        if start is not None:
+            first = start.select(*part, (F.col(part[-1]) - 1).alias(order), F.col("prior_count").alias("n"),
+                                 F.col("prior_amount").alias("total"), F.col("first_at").alias("first"), F.lit(False).alias("real"))
+            rows = rows.unionByName(first, allowMissingColumns=True)
+        earlier = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumns({
+            "prior_count": F.coalesce(F.sum("n").over(earlier), F.lit(0)),
+            "prior_amount": F.coalesce(F.sum("total").over(earlier), F.lit(0)).cast(_TOTAL),
+            "first_at": F.min("first").over(earlier),
+        }).where("real")
+
+    hours = gathered(points, "day", "hour")
+    days = before(gathered(hours, "day"), [party], "day")
+    hours = before(hours, [party, "day"], "hour", days)
+    return before(points.drop("day"), [party, "hour"], "at", hours).select(
+        party, "at", "largest", "prior_count", "prior_amount", "first_at")
+
 
 def _is_large(amount: str, settings: FraudSettings) -> Column:
     # amount > multiplier * (sum / count), without the division

@@ -74,7 +74,7 @@ class FraudSettings:
 
     weights: dict = field(default_factory=lambda: dict(RISK_WEIGHTS))
 
-    # Length of one slice of an account's timeline; six times the longest look-back
+    # Length of one slice of an account's timeline; the longest look-back
     # where not given. Windows never hold more than one slice (plus the look-back),
     # however busy the account is.
     slice_minutes: int | None = None

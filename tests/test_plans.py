@@ -4,6 +4,7 @@ import datetime as dt
 from contextlib import contextmanager
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerbrook.operators import cleansing, fraud, incremental, quality
 from ledgerbrook.operators.dedup import latest_per_key
@@ -95,6 +96,26 @@ def test_hot_instants_are_split_on_the_way_back(spark):
     assert [tuple(r) for r in got] == [("HOT", 10000)]
 
 
+def test_a_hot_day_is_cut_by_hours(spark):
+    """A third of all transactions on one account within one day, at distinct instants."""
+    tx = spark.range(0, 30000, 1, 8).selectExpr(
+        "cast(id as string) transaction_id", "case when id % 3 = 0 then 'HOT' else concat('A', id % 997) end account_id",
+        "cast(1 + id % 5 as decimal(15,2)) amount", "'SUCCESS' status", "'X' location",
+        "timestampadd(SECOND, cast(case when id % 3 = 0 then id * 2 else id * 40 end as int), timestamp_ntz'2024-01-01') transaction_timestamp")
+    got = {r.at: r for r in fraud.history_before(tx, "account_id").where("account_id = 'HOT'").collect()}
+    assert len(got) == 10000
+    count, total, first = 0, 0, None
+    amounts = {r.at: r.amount for r in fraud.timed(tx).where("account_id = 'HOT'").collect()}
+    for at in sorted(amounts):
+        assert (got[at].prior_count, got[at].prior_amount, got[at].first_at) == (count, total, first)
+        count, total, first = count + 1, total + amounts[at], at if first is None else first
+    # windows: the instants of an hour, the hours of a day, the days of a party
+    text = plan(fraud.history_before(tx, "account_id"))
+    assert "Join" not in text and "hashpartitioning(account_id" in text
+    largest = fraud.timed(tx).groupBy("account_id", F.expr("at div 3600000000")).count().agg(F.max("count")).first()[0]
+    assert largest <= 600
+
+
 def test_deduplication_limits_each_key_before_the_shuffle(spark):
     text = plan(latest_per_key(skewed(spark), "k"))
     final, exchange, partial = (text.index(w) for w in ("row_number(), 1, Final", "Exchange", "row_number(), 1, Partial"))
