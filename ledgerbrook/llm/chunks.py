@@ -3,7 +3,8 @@
 Equal texts are one text (each task folds its own copies before the shuffle). Distinct texts are dealt to chunks of bounded
 size, stored bucketed by chunk, so that later steps meet a chunk's texts without shuffling them again. What chunks
 send to buckets is pre-aggregated per chunk, so a passage in a third of all documents reaches its bucket at most
-once per chunk.
+once per chunk. A name that is very frequent in ever different surroundings would still make a large bucket;
+its windows are sent one by one to buckets by a hash of the window, which spreads them over all buckets.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import no_null, parts, shared_folder, text_bytes
 
+#: A name with so many occurrences is heavy: its windows go to buckets of their own, by their own text, one by one.
+HEAVY = 4096
 #: Bits of the names that runs of windows are counted by before anything else is sent.
 NAME_BITS = 48
 
@@ -96,7 +99,7 @@ def bucket_of(names: np.ndarray, n: int) -> np.ndarray:
 def distinct_texts(docs: DataFrame) -> tuple[DataFrame, int]:
     """A stored table of chunk, text, first (smallest doc_id), copies, bucketed by chunk; and the number of chunks."""
     spark = docs.sparkSession
-    n = max(parts(text_bytes(docs)), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = max(parts(text_bytes(docs), 8 << 20), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row per distinct text and task; memory: a digest, an id and a count for each, and the batch."""
@@ -147,8 +150,9 @@ NAMES = "chunk int, bucket int, names binary, counts binary"
 SEGMENTS = "chunk int, bucket int, segments binary, lengths binary, firsts binary, times binary, occ_segment binary, occ_doc binary, occ_first binary"
 
 
-def shared_names(table: DataFrame, n: int, runs_of) -> DataFrame:
-    """chunk, names: the names that occur in two runs of the corpus at least, told to every chunk that has them.
+def shared_names(table: DataFrame, n: int, runs_of, heavy: int = HEAVY) -> DataFrame:
+    """chunk, names, heavy: the names that occur in two runs of the corpus at least, told to every chunk that has them, and which of
+    them occur `heavy` times.
 
     runs_of(texts: list of bytes) gives the Runs of a chunk and the number of the text of each.
     """
@@ -157,7 +161,7 @@ def shared_names(table: DataFrame, n: int, runs_of) -> DataFrame:
         _, data, _, copies = in_order(texts)
         runs, owner = runs_of(data)
         names, inverse = np.unique(runs.name, return_inverse=True)
-        counts = np.minimum(np.bincount(inverse, copies[owner] * runs.times, len(names)), 2).astype(np.uint8)
+        counts = np.minimum(np.bincount(inverse, copies[owner] * runs.times, len(names)), 1 << 31).astype(np.uint32)
         cuts = np.flatnonzero(np.diff(bucket_of(names, n), prepend=-1))
         out = [(int(bucket_of(names[a : a + 1], n)[0]), squeeze_sorted(names[a:b]), squeeze(counts[a:b])) for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(names)])]
         return pa.table([pa.array([texts["chunk"][0].as_py()] * len(out), pa.int32()), *(pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary())))], ["chunk", "bucket", "names", "counts"])
@@ -165,55 +169,74 @@ def shared_names(table: DataFrame, n: int, runs_of) -> DataFrame:
     def meet(messages: pa.Table) -> pa.Table:
         chunk = messages["chunk"].to_pylist()
         names = [expand_sorted(x) for x in messages["names"].to_pylist()]
-        counts = np.concatenate([expand(x, np.uint8) for x in messages["counts"].to_pylist()])
+        counts = np.concatenate([expand(x, np.uint32) for x in messages["counts"].to_pylist()])
         every = np.concatenate(names)
         order = np.argsort(every)
         value = every[order]
         head = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
         total = np.add.reduceat(counts[order].astype(np.int64), head)
-        shared = np.empty(len(every), bool)
-        shared[order] = np.repeat(total >= 2, np.diff(np.r_[head, len(value)]))
+        times = np.empty(len(every), np.int64)
+        times[order] = np.repeat(total, np.diff(np.r_[head, len(value)]))
         out, at = [], 0
         for c, x in zip(chunk, names):
-            mine = x[shared[at : at + len(x)]]
+            mine = times[at : at + len(x)]
             at += len(x)
-            if len(mine):
-                out.append((c, squeeze_sorted(mine)))
-        return pa.table([pa.array([c for c, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], ["chunk", "names"])
+            keep = mine >= 2
+            if keep.any():
+                out.append((c, squeeze_sorted(x[keep]), squeeze((mine[keep] >= heavy).view(np.uint8))))
+        return pa.table([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["chunk", "names", "heavy"])
 
     return (
         table.groupBy("chunk").applyInArrow(send, NAMES)
-        .repartition(n, "bucket").groupBy("bucket").applyInArrow(meet, "chunk int, names binary")
+        .repartition(n, "bucket").groupBy("bucket").applyInArrow(meet, "chunk int, names binary, heavy binary")
     )
 
 
-def segments(table: DataFrame, names: DataFrame, n: int, runs_of, pack) -> DataFrame:
+def segments(table: DataFrame, names: DataFrame, n: int, runs_of, pack, windows) -> DataFrame:
     """SEGMENTS: the runs with a shared name, each distinct text of a run once per chunk and bucket, with the smallest doc_id and the number
     of rows that have it in the chunk; and where in the chunk each occurs (text number and first window).
 
-    pack(data: bytes of the chunk, begin, end) gives the text of a run that travels.
+    pack(data: bytes of the chunk, begin, end) gives the text of a run that travels; windows(text of a run) its windows, as texts of
+    runs of one window each.
     """
 
     def send(texts: pa.Table, told: pa.Table) -> pa.Table:
         none = pa.table([pa.array([], t) for t in (pa.int32(), pa.int32(), *[pa.binary()] * 7)], [c.split()[0] for c in SEGMENTS.split(", ")])
         if not len(texts) or not len(told):
             return none
-        shared = np.sort(np.concatenate([expand_sorted(x) for x in told["names"].to_pylist()]))
+        shared = np.concatenate([expand_sorted(x) for x in told["names"].to_pylist()])
+        heavy = np.concatenate([expand(x, np.uint8) for x in told["heavy"].to_pylist()])
+        order = np.argsort(shared)
+        shared, heavy = shared[order], heavy[order].astype(bool)
         _, data, first, copies = in_order(texts)
         runs, owner = runs_of(data)
         place = np.minimum(np.searchsorted(shared, runs.name), len(shared) - 1)
         keep = np.flatnonzero(shared[place] == runs.name)
         if not len(keep):
             return none
-        keep = keep[np.argsort(runs.name[keep], kind="stable")]
         joined = b"".join(data)
-        bucket = bucket_of(runs.name[keep], n)
+        found = [pack(joined, a, b) for a, b in zip(runs.begin[keep].tolist(), runs.end[keep].tolist())]
+        bucket, own, at_first = bucket_of(runs.name[keep], n), owner[keep], runs.first[keep]
+        apart = heavy[place[keep]]
+        if apart.any():
+            single, of, of_first = [], [], []
+            for i in np.flatnonzero(apart).tolist():
+                texts_of = windows(found[i])
+                single += texts_of
+                of += [own[i]] * len(texts_of)
+                of_first += range(at_first[i], at_first[i] + len(texts_of))
+            digests = [int.from_bytes(hashlib.blake2b(x, digest_size=6).digest(), "big") for x in single]
+            stay = np.flatnonzero(~apart)
+            found = [found[i] for i in stay.tolist()] + single
+            bucket = np.r_[bucket[stay], bucket_of(np.array(digests, dtype=np.uint64), n)]
+            own, at_first = np.r_[own[stay], np.array(of, dtype=np.int64)], np.r_[at_first[stay], np.array(of_first, dtype=np.int64)]
+        order = np.argsort(bucket, kind="stable")
+        bucket, own, at_first, found = bucket[order], own[order], at_first[order], [found[i] for i in order.tolist()]
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-        begin, end, own, at_first = runs.begin[keep].tolist(), runs.end[keep].tolist(), owner[keep], runs.first[keep]
         out = []
-        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keep)]):
+        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)]):
             known: dict[bytes, int] = {}
-            number = np.array([known.setdefault(pack(joined, begin[i], end[i]), len(known)) for i in range(a, b)], dtype=np.uint32)
+            number = np.array([known.setdefault(x, len(known)) for x in found[a:b]], dtype=np.uint32)
             docs = own[a:b]
             firsts = np.full(len(known), np.iinfo(np.int64).max)
             np.minimum.at(firsts, number, first[docs])

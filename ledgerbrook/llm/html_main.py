@@ -44,17 +44,20 @@ _MARKS = frozenset(
     "related reply replies respond share sharing sidebar social sponsor sponsored subscribe subscription toolbar widget".split()
 )
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-_SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
+_SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
 
 
-def _marked(name: str, attrs: str) -> bool:
+def _marked(name: str, attrs: str, inside: bool) -> bool:
+    """Whether class, id, role or style say that an element isn't main text; inside an article a header is its own."""
     if name in ("html", "body", "article", "main"):
         return False
     for key, *values in _ATTR.findall(attrs):
         value, key = "".join(values), key.lower()
-        if key in ("class", "id") and not _MARKS.isdisjoint(w.lower() for w in re.split(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])", value)):
-            return True
+        if key in ("class", "id"):
+            found = _MARKS.intersection(w.lower() for w in _SPLIT.split(value))
+            if found - {"header"} if inside else found:
+                return True
         if key == "role" and value.lower() in _ROLES or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
             return True
     return bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", attrs))
@@ -73,8 +76,7 @@ def parse(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
     A block's containers are those inside the main element if there is one, else all up to the body.
     """
     stack: list[_Element] = [_Element("#root", False, 0, 0)]
-    hashes: list[int] = []  # by element number, 0 for elements that can't be a template
-    hashes.append(0)
+    hashes: list[int] = [0]  # by element number, 0 for elements that can't be a template
     blocks: list[tuple[str, tuple[int, ...], int]] = []  # text, element numbers around, kind of main: 0 none, 1 main, 2 article
     buffer: list[str] = []
 
@@ -135,7 +137,7 @@ def parse(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
             parent = stack[-1]
             kind = 2 if name == "article" else 1 if name == "main" else 0
             # the outermost article counts: comments are often articles inside of it
-            skip = parent.skip or name in _NEVER and not (name == "header" and parent.main) or name == "article" and parent.main == 2 or _marked(name, attrs)
+            skip = parent.skip or name in _NEVER and not (name == "header" and parent.main) or name == "article" and parent.main == 2 or _marked(name, attrs, parent.main > 0)
             if attrs.rstrip().endswith("/") and name in _RAW:
                 continue
             hashes.append(0)

@@ -6,8 +6,9 @@ target / source words times, which is rarely a whole number, so its fractional p
 probability. Two fractional documents at a time (a pivotal fight) pass words from one to the
 other, at random but so that both expectations hold, until one of them is whole; the other
 goes on. Blocks of a source fight first; what they leave over fights in the next level of a
-tree, until a source has one fractional document left, which is rounded to the nearer side.
-So the words taken differ from the target by at most half of one document.
+tree, until a source has one fractional document left, which is rounded to the nearer side. Of the last block,
+up to three documents are turned over where that brings the words taken nearer to the target. So they differ from it by
+at most half of one document, mostly by far less.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from .common import WORD, written
 
 #: Documents that fight in one fold. Any block has about as many, so no source is ever gathered in one task.
 BLOCK = 64
+#: Documents of the last block that may be turned over to come nearer to the target.
+TURNS = 3
 #: A table of sources up to this many rows is broadcast; a longer one is joined by Spark's choice.
 BROADCAST_ROWS = 10_000
 
@@ -109,8 +112,28 @@ def _fight(a: Column, b: Column, level: int, seed: int) -> Column:
     return _let(F.struct(up.alias("up"), down.alias("down")), settled)
 
 
-def _fold(block: Column, level: int, seed: int) -> Column:
-    """All documents of a block, the last one perhaps still fractional."""
+def _rounded(acc: Column) -> Column:
+    """All documents of the last block as whole ones: the rest goes to the nearer side, and up to TURNS times the document
+    whose turning over brings the words taken nearest to their sum is turned, if any does."""
+
+    def turned(v: Column) -> Column:
+        change = lambda x: F.when(x["p"] > 0.5, -x["size"]).otherwise(x["size"])
+        best = F.array_min(F.transform(v["docs"], lambda x, i: F.struct(F.abs(v["lack"] - change(x)).alias("off"), i.alias("at"))))
+        return _let(best, lambda b: F.when(b["off"] < F.abs(v["lack"]), F.struct(
+            F.transform(v["docs"], lambda x, i: F.when(i == b["at"], x.withField("p", 1 - x["p"])).otherwise(x)).alias("docs"),
+            (v["lack"] - change(v["docs"][b["at"]])).alias("lack"),
+        )).otherwise(v))
+
+    rest = acc["rest"]
+    docs = F.array_append(acc["done"], rest.withField("p", F.round(rest["p"])))
+    state = F.struct(docs.alias("docs"), ((rest["p"] - F.round(rest["p"])) * rest["size"]).alias("lack"))
+    for _ in range(TURNS):
+        state = _let(state, turned)
+    return state["docs"]
+
+
+def _fold(block: Column, level: int, seed: int, last: bool) -> Column:
+    """All documents of a block, one perhaps still fractional unless it is the last block of its source."""
 
     def step(acc: Column, x: Column) -> Column:
         return _let(
@@ -121,7 +144,7 @@ def _fold(block: Column, level: int, seed: int) -> Column:
     start = F.struct(block[0].alias("rest"), F.slice(block, 1, 0).alias("done"))
     return F.aggregate(
         F.slice(block, 2, F.greatest(F.size(block) - 1, F.lit(0))), start, step,
-        lambda acc: F.array_append(acc["done"], acc["rest"]),
+        _rounded if last else lambda acc: F.array_append(acc["done"], acc["rest"]),
     )
 
 
@@ -161,6 +184,7 @@ def mix(docs: DataFrame, cap: int = 3, cycle: int = 3, seed: int = 0, size: Colu
     )
     settled, level = fixed, 0
     while True:
+        last = BLOCK ** (level + 1) >= (most or 0)
         # a level leaves one open document per block, so block counts fall by BLOCK from level to level
         blocks = F.greatest(F.ceil(F.col("n_docs") / F.lit(float(BLOCK) ** (level + 1))), F.lit(1)).cast("long")
         key = F.pmod(F.xxhash64(F.col("doc.doc_id"), F.col("doc.size"), F.col("doc.salt"), F.lit(seed + level)), blocks)
@@ -169,12 +193,11 @@ def mix(docs: DataFrame, cap: int = 3, cycle: int = 3, seed: int = 0, size: Colu
             .groupBy("source", "block")
             .agg(F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.first("n_docs").alias("n_docs"),
                  F.array_sort(F.collect_list(F.col("doc"))).alias("docs"))
-            .select("source", "source_size", "target", "n_docs", F.explode(_fold(F.col("docs"), level, seed)).alias("doc"))
+            .select("source", "source_size", "target", "n_docs", F.explode(_fold(F.col("docs"), level, seed, last)).alias("doc"))
         )
         folded = written(folded)
         whole = (F.col("doc.p") <= 0) | (F.col("doc.p") >= 1)
         level += 1
-        last = BLOCK**level >= (most or 0)
         done = folded if last else folded.filter(whole)
         settled = settled.unionByName(done.select(
             "doc.doc_id", "source", "doc.size", "source_size", "target",

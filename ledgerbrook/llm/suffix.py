@@ -190,7 +190,7 @@ def _apply(length: int):
     return run
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, sample: int = SAMPLE, rounds: int = ROUNDS) -> DataFrame:
+def dedup(docs: DataFrame, length: int = LENGTH, sample: int = SAMPLE, rounds: int = ROUNDS, heavy: int = chunks.HEAVY) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed (array of struct(start, end), byte offsets): one row per row of `docs`.
 
     A byte goes if a string of `length` bytes that covers it also starts in a document with a smaller doc_id; strings are judged on the
@@ -201,8 +201,11 @@ def dedup(docs: DataFrame, length: int = LENGTH, sample: int = SAMPLE, rounds: i
         raise ValueError("a sampled prefix has 16 bytes at least and `length` at most")
     table, n = chunks.distinct_texts(docs)
     find = runs_of(length, sample)
-    names = chunks.shared_names(table, n, find)
-    sent = written(chunks.segments(table, names, 4 * n, find, lambda data, begin, end: data[begin:end]))
+    names = chunks.shared_names(table, n, find, heavy)
+    sent = written(chunks.segments(
+        table, names, 4 * n, find, lambda data, begin, end: data[begin:end],
+        lambda text: [text[i : i + length] for i in range(len(text) - length + 1)],
+    ))
     answers = chunks.asked(sent, 4 * n, _first_docs(length, rounds))
     result = table.groupBy("chunk").cogroup(chunks.told(sent, answers).groupBy("chunk")).applyInArrow(_apply(length), RESULT)
     text = no_null("text")

@@ -154,7 +154,7 @@ def _apply(window: int):
     return run
 
 
-def dedup(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER) -> DataFrame:
+def dedup(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER, heavy: int = chunks.HEAVY) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, removed (array of struct(start, end), word offsets): one row per row of `docs`.
 
     A word goes if a window of `window` words that covers it has the word sequence of a window that starts anywhere else, in the same
@@ -165,8 +165,13 @@ def dedup(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER) ->
         raise ValueError("a minimiser has at least one word and `window` at most")
     table, n = chunks.distinct_texts(docs)
     find = runs_of(window, minimiser)
-    names = chunks.shared_names(table, n, find)
-    sent = written(chunks.segments(table, names, 4 * n, find, pack))
+    names = chunks.shared_names(table, n, find, heavy)
+
+    def windows(packed: bytes) -> list[bytes]:
+        words = packed[:-1].split(b" ")
+        return [b" ".join(words[i : i + window]) + b"\n" for i in range(len(words) - window + 1)]
+
+    sent = written(chunks.segments(table, names, 4 * n, find, pack, windows))
     answers = chunks.asked(sent, 4 * n, _counted(window))
     result = table.groupBy("chunk").cogroup(chunks.told(sent, answers).groupBy("chunk")).applyInArrow(_apply(window), RESULT)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(no_null("text").cast("binary"))).alias("of"))

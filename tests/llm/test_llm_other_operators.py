@@ -33,6 +33,8 @@ TEXT = "Head & shoulders\nFirst bold text here.\nSecond <p> — it goes on\none\
     ("<article><p>a<!-- <p>hidden</p> -->b</p><p title='x>y'>c</p></article>", "ab\nc"),
     ("<ARTICLE><P>Up<SCRIPT>if (a < b) {}</SCRIPT></ARTICLE>", "Up"),
     ("<article><p>a < b and c > d</p><p></p><p> \n </p>", "a < b and c > d"),
+    ("<article><div class='article-header'><h1>Own</h1></div><p>text</p></article>", "Own\ntext"),
+    ("<div class='pageHeader'>Site</div><div id='main_nav'>Menu</div><p>text</p>", "text"),
     ("<main><p>inside</p></main><p>outside</p>", "inside"),
     ("<article><table><tr><td>1<td>2<tr><td>3</table></article>", "1\n2\n3"),
     ("", ""), ("<script>only", ""), ("</p></div>", ""), ("<", "<"),
