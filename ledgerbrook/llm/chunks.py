@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import no_null, parts, shared_folder, text_bytes
 
 #: A name with so many occurrences is heavy: its windows go to buckets of their own, by their own text, one by one.
-HEAVY = 4096
+HEAVY = 16384
 #: Bits of the names that runs of windows are counted by before anything else is sent.
 NAME_BITS = 48
 
