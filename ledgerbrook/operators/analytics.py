@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ledgerbrook.functions import columns as fx
 from ledgerbrook.operators.lookup import lookup
-from ledgerbrook.settings import FraudSettings
 
 
 def money_sum(c: str | Column) -> Column:

@@ -18,7 +18,7 @@ from ledgerbrook.functions import columns as fx
 from ledgerbrook.operators import (
     analytics, cleansing, enrichment, fraud, incremental, quality, warehouse,
 )
-from ledgerbrook.operators.dedup import extra_copies, latest_per_key, repeated_keys
+from ledgerbrook.operators.dedup import latest_per_key, repeated_keys
 from ledgerbrook.plans import views
 from ledgerbrook.settings import SAMPLE_SIZES, FraudSettings, Settings
 from ledgerbrook.sources import lake
