@@ -1,7 +1,8 @@
 """Main text of web pages by site template removal.
 
 Each page is parsed once, forgivingly. Every container element gets a hash of its subtree; Spark counts per
-host on how many pages a hash occurs, and subtrees that recur on many pages of their host are deleted.
+host on how many pages of different content a hash occurs, and subtrees that recur on many of them are deleted.
+Copies of a page count as one, so no copied text is a template of its copies.
 Of what is left the article is taken (else `main`, else the body), without elements that are never main text:
 menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments.
 Inside an article only containers can be a template: paragraphs and headings that authors repeat
@@ -46,6 +47,8 @@ _MARKS = frozenset(
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 _SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
+#: Turns the hash of a container in the main element into that of one in another article of the page.
+_LESSER = 0x5DEECE66D5DEECE6
 
 
 def _marked(name: str, attrs: str, inside: bool) -> bool:
@@ -64,20 +67,29 @@ def _marked(name: str, attrs: str, inside: bool) -> bool:
 
 
 class _Element:
-    __slots__ = ("name", "skip", "main", "digest", "id")
+    __slots__ = ("name", "skip", "main", "of", "digest", "id", "size")
 
-    def __init__(self, name, skip, main, id_):
-        self.name, self.skip, self.main, self.id, self.digest = name, skip, main, id_, hashlib.blake2b(name.encode(), digest_size=8)
+    def __init__(self, name, skip, main, of, id_):
+        self.name, self.skip, self.main, self.of, self.id, self.size = name, skip, main, of, id_, 0
+        self.digest = hashlib.blake2b(name.encode(), digest_size=8)
 
 
 def parse(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
-    """Blocks of main text with the hashes of the containers around them, and the hashes of all containers of the page.
+    """Blocks of main text with the hashes of the containers around them, and the hashes of all containers of the page."""
+    return dissect(page)[:2]
 
-    A block's containers are those inside the main element if there is one, else all up to the body.
+
+def dissect(page: str) -> tuple[list[tuple[str, list[int]]], list[int], int]:
+    """Blocks with the hashes of the containers around them, hashes of all containers that count, and a hash of the content.
+
+    The page's main element is its longest article (else its longest `main`). What encloses it, or holds more than half of its
+    text, is no template. Shorter articles (teasers) have hashes of their own: a text that is listed on many
+    pages is not a template where it is the main element. The content is the text of the main element, else of the page.
     """
-    stack: list[_Element] = [_Element("#root", False, 0, 0)]
+    stack: list[_Element] = [_Element("#root", False, 0, 0, 0)]
     hashes: list[int] = [0]  # by element number, 0 for elements that can't be a template
-    blocks: list[tuple[str, tuple[int, ...], int]] = []  # text, element numbers around, kind of main: 0 none, 1 main, 2 article
+    parents, owners, sizes = [0], [0], [0]  # by element number; an owner is the article or main that an element is in
+    blocks: list[tuple[str, tuple[int, ...], int, int]] = []  # text, element numbers around, kind of main: 0 none, 1 main, 2 article; owner
     buffer: list[str] = []
 
     def flush() -> None:
@@ -85,20 +97,24 @@ def parse(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
             text = _SPACE.sub(" ", html.unescape("".join(buffer))).strip()
             buffer.clear()
             if text:
-                blocks.append((text, tuple(e.id for e in stack), stack[-1].main))
+                blocks.append((text, tuple(e.id for e in stack), stack[-1].main, stack[-1].of))
 
     def close() -> None:
         e = stack.pop()
         value = int.from_bytes(e.digest.digest(), "big") >> 1
         stack[-1].digest.update(value.to_bytes(8, "big"))
+        stack[-1].size += e.size
+        sizes[e.id] = e.size
         if e.name in _BLOCKS and not (e.main and e.name in _TEXTUAL) and e.name not in ("html", "body", "article", "main"):
             hashes[e.id] = value or 1
 
     def text(part: str) -> None:
         top = stack[-1]
-        top.digest.update(_SPACE.sub(" ", part).encode("utf-8", "surrogatepass"))
+        line = _SPACE.sub(" ", part)
+        top.digest.update(line.encode("utf-8", "surrogatepass"))
         if not top.skip:
             buffer.append(part)
+            top.size += len(line.strip())
 
     at = 0
     lower = None
@@ -140,8 +156,12 @@ def parse(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
             skip = parent.skip or name in _NEVER and not (name == "header" and parent.main) or name == "article" and parent.main == 2 or _marked(name, attrs, parent.main > 0)
             if attrs.rstrip().endswith("/") and name in _RAW:
                 continue
+            of = len(hashes) if kind > parent.main else parent.of
+            parents.append(parent.id)
+            owners.append(of)
+            sizes.append(0)
             hashes.append(0)
-            stack.append(_Element(name, skip, max(parent.main, kind), len(hashes) - 1))
+            stack.append(_Element(name, skip, max(parent.main, kind), of, len(hashes) - 1))
             if name in _OPAQUE:
                 lower = page.lower() if lower is None else lower
                 end = lower.find(f"</{name}", at)
@@ -160,11 +180,25 @@ def parse(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
     while len(stack) > 1:
         close()
     best = max((b[2] for b in blocks), default=0)
-    kept = [(t, [hashes[i] for i in around if hashes[i]]) for t, around, main in blocks if main == best]
-    return kept, sorted({h for h in hashes if h})
+    found = [b for b in blocks if b[2] == best]
+    chosen = max(sorted({b[3] for b in found}), key=lambda i: sizes[i], default=0)
+    if chosen:
+        for i, of in enumerate(owners):
+            if of == chosen:
+                if 2 * sizes[i] > sizes[chosen]:
+                    hashes[i] = 0
+            elif of and hashes[i]:
+                hashes[i] ^= _LESSER
+        i = chosen
+        while i:
+            hashes[i] = 0
+            i = parents[i]
+    content = hashlib.blake2b("\n".join(b[0] for b in found if b[3] == chosen).encode("utf-8", "surrogatepass"), digest_size=8)
+    kept = [(t, [hashes[i] for i in around if hashes[i]]) for t, around, *_ in found]
+    return kept, sorted({h for h in hashes if h}), int.from_bytes(content.digest(), "big") >> 1
 
 
-PARSED = "page_id long, url string, host string, blocks array<struct<text:string,around:array<long>>>, containers array<long>"
+PARSED = "page_id long, url string, host string, blocks array<struct<text:string,around:array<long>>>, containers array<long>, content long"
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
 
@@ -176,11 +210,12 @@ def _host(url: str | None) -> str:
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))]))
     for b in batches:
-        pages = [parse(x or "") for x in b["html"].to_pylist()]
+        pages = [dissect(x or "") for x in b["html"].to_pylist()]
         yield pa.record_batch(
             [b["page_id"], b["url"], pa.array([_host(u) for u in b["url"].to_pylist()], pa.string()),
-             pa.array([[{"text": t, "around": a} for t, a in p[0]] for p in pages], block), pa.array([p[1] for p in pages], pa.list_(pa.int64()))],
-            ["page_id", "url", "host", "blocks", "containers"],
+             pa.array([[{"text": t, "around": a} for t, a in p[0]] for p in pages], block), pa.array([p[1] for p in pages], pa.list_(pa.int64())),
+             pa.array([p[2] for p in pages], pa.int64())],
+            ["page_id", "url", "host", "blocks", "containers", "content"],
         )
 
 
@@ -189,15 +224,18 @@ def extract(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAG
 
     Text is the blocks in page order, character references decoded, white space inside a block one space, joined by
     newlines; empty where there is none. Null html is empty, a null url is a host of its own, null ids and repeated
-    rows stay, an empty table gives no row, other columns are not looked at. Counts are over all pages of a host;
-    a host's templates are at most (containers of a page / share) hashes, so they fit one row.
+    rows stay, an empty table gives no row, other columns are not looked at. Counts are over all pages of a host,
+    those of equal content as one, so a host with less than `least_pages` contents has no template; a host's templates are at most (containers of a page / share) hashes, so they fit one row.
     """
     parsed = written(
         pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
         .mapInArrow(_parsed, PARSED)
     )
-    sizes = parsed.groupBy("host").agg(F.count("*").alias("n_pages"))
-    counts = parsed.select("host", F.explode("containers").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
+    sizes = parsed.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("n_pages"))
+    counts = (
+        parsed.select("host", "content", F.explode("containers").alias("hash")).distinct()
+        .groupBy("host", "hash").agg(F.count("*").alias("n"))
+    )
     templates = (
         counts.filter(F.col("n") >= least_pages).join(sizes, "host").filter(F.col("n") >= share * F.col("n_pages"))
         .groupBy(F.col("host").alias("template_host")).agg(F.collect_set("hash").alias("templates")).hint("rebalance")

@@ -63,6 +63,33 @@ def test_copied_articles_are_no_template(spark):
     assert {r.text for r in got} == {"Copied\nSame text"} and len(got) == 9
 
 
+COPIED = "<h1>Copied</h1><p>Same text</p>"
+
+
+@pytest.mark.parametrize("page,others", [
+    (f"<nav>Menu</nav><div id=page><article>{COPIED}</article></div>", 0),
+    (f"<div id=page><article><div class=entry>{COPIED}</div></article><p>{{i}}</p></div>", 4),
+    (f"<div id=page><main><div class=entry>{COPIED}</div></main></div>", 4),
+    (f"<div id=page><div>{COPIED}</div></div>", 4),
+    # the same under different teasers
+    (f"<div id=page><article><div>{COPIED}</div></article></div><div><article><p>No {{i}}</p></article></div>", 4),
+])
+def test_copied_pages_with_wrappers_are_no_template(spark, page, others):
+    rows = [(i, f"http://a.example/{i}", page.replace("{i}", str(i))) for i in range(5)]
+    rows += [(9 + i, "http://a.example/", f"<div id=page><article><p>Other story {i}</p></article></div>") for i in range(others)]
+    got = {r.page_id: r.text for r in html_main.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i].startswith("Copied\nSame text") for i in range(5)) and len(got) == len(rows)
+    assert all(got[9 + i] == f"Other story {i}" for i in range(others))
+
+
+def test_teasers_in_articles_are_a_template_beside_the_main_article(spark):
+    teasers = "<div><article><div><p>Read this</p></div></article></div>"
+    own = "<div id=page><article><h1>Read</h1><div><p>Read this</p></div></article></div>"
+    rows = [(i, "http://a.example/", f"<div id=page><article><p>A longer story with number {i}</p></article></div>{teasers}") for i in range(5)] + [(5, "http://a.example/", own)]
+    got = {r.page_id: r.text for r in html_main.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"A longer story with number {i}" for i in range(5)} | {5: "Read\nRead this"}
+
+
 # ---- conversations ---------------------------------------------------------------------
 
 PARTS = f"conv_id long, turn long, role string, content array<{chat.PART}>"
