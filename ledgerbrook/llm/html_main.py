@@ -5,8 +5,8 @@ host on how many pages of different content a hash occurs, and subtrees that rec
 Copies of a page count as one, so no copied text is a template of its copies.
 Of what is left the article is taken (else `main`, else the body), without elements that are never main text:
 menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments.
-Inside an article only containers can be a template: paragraphs and headings that authors repeat
-(a licence line, a copied article) are text and stay.
+Inside an article only sectioning containers outside the prose can be a template, lists and tables only as a whole and if
+they are mostly links: paragraphs, headings, items and cells that authors repeat (a licence line, "Yes") are text and stay.
 """
 
 from __future__ import annotations
@@ -34,7 +34,11 @@ _RAW = frozenset("script style noscript template iframe svg math object textarea
 _OPAQUE = frozenset("script style textarea title xmp iframe noembed noframes".split())
 _NEVER = _RAW | frozenset("head nav header footer aside form menu dialog button fieldset".split())
 _BLOCKS = frozenset("address article blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul aside dialog menu".split())
-_TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
+#: Elements of prose: in an article neither they nor what is inside of them is a template.
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dt dd tr td th caption figure figcaption summary".split())
+#: What can be a template in an article, and what can if it is mostly links.
+_SECTIONS = frozenset("div section center details header".split())
+_LISTS = frozenset("ul ol dl table".split())
 _CLOSES_P = _BLOCKS - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "li", "dd", "dt"}
 _CLOSERS = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _SCOPES = frozenset("html body article main section div nav aside header footer form ul ol dl table blockquote td th li".split())
@@ -67,10 +71,10 @@ def _marked(name: str, attrs: str, inside: bool) -> bool:
 
 
 class _Element:
-    __slots__ = ("name", "skip", "main", "of", "digest", "id", "size")
+    __slots__ = ("name", "skip", "main", "of", "prose", "link", "digest", "id", "size", "linked")
 
-    def __init__(self, name, skip, main, of, id_):
-        self.name, self.skip, self.main, self.of, self.id, self.size = name, skip, main, of, id_, 0
+    def __init__(self, name, skip, main, of, prose, link, id_):
+        self.name, self.skip, self.main, self.of, self.prose, self.link, self.id, self.size, self.linked = name, skip, main, of, prose, link, id_, 0, 0
         self.digest = hashlib.blake2b(name.encode(), digest_size=8)
 
 
@@ -86,7 +90,7 @@ def dissect(page: str) -> tuple[list[tuple[str, list[int]]], list[int], int]:
     text, is no template. Shorter articles (teasers) have hashes of their own: a text that is listed on many
     pages is not a template where it is the main element. The content is the text of the main element, else of the page.
     """
-    stack: list[_Element] = [_Element("#root", False, 0, 0, 0)]
+    stack: list[_Element] = [_Element("#root", False, 0, 0, False, False, 0)]
     hashes: list[int] = [0]  # by element number, 0 for elements that can't be a template
     parents, owners, sizes = [0], [0], [0]  # by element number; an owner is the article or main that an element is in
     blocks: list[tuple[str, tuple[int, ...], int, int]] = []  # text, element numbers around, kind of main: 0 none, 1 main, 2 article; owner
@@ -104,8 +108,13 @@ def dissect(page: str) -> tuple[list[tuple[str, list[int]]], list[int], int]:
         value = int.from_bytes(e.digest.digest(), "big") >> 1
         stack[-1].digest.update(value.to_bytes(8, "big"))
         stack[-1].size += e.size
+        stack[-1].linked += e.linked
         sizes[e.id] = e.size
-        if e.name in _BLOCKS and not (e.main and e.name in _TEXTUAL) and e.name not in ("html", "body", "article", "main"):
+        if e.main and not e.skip:
+            able = not e.prose and (e.name in _SECTIONS or e.name in _LISTS and 2 * e.linked > e.size)
+        else:
+            able = e.name in _BLOCKS and e.name not in ("html", "body", "article", "main")
+        if able:
             hashes[e.id] = value or 1
 
     def text(part: str) -> None:
@@ -114,7 +123,10 @@ def dissect(page: str) -> tuple[list[tuple[str, list[int]]], list[int], int]:
         top.digest.update(line.encode("utf-8", "surrogatepass"))
         if not top.skip:
             buffer.append(part)
-            top.size += len(line.strip())
+            n = len(line.strip())
+            top.size += n
+            if top.link:
+                top.linked += n
 
     at = 0
     lower = None
@@ -161,7 +173,8 @@ def dissect(page: str) -> tuple[list[tuple[str, list[int]]], list[int], int]:
             owners.append(of)
             sizes.append(0)
             hashes.append(0)
-            stack.append(_Element(name, skip, max(parent.main, kind), of, len(hashes) - 1))
+            prose = of > 0 and of == parent.of and (parent.prose or name in _PROSE)
+            stack.append(_Element(name, skip, max(parent.main, kind), of, prose, parent.link or name == "a", len(hashes) - 1))
             if name in _OPAQUE:
                 lower = page.lower() if lower is None else lower
                 end = lower.find(f"</{name}", at)

@@ -82,6 +82,18 @@ def test_copied_pages_with_wrappers_are_no_template(spark, page, others):
     assert all(got[9 + i] == f"Other story {i}" for i in range(others))
 
 
+def test_repeated_items_and_cells_of_articles_are_text(spark):
+    article = (
+        "<article><h1>Cake {i}</h1><p>Story {i} about a cake.</p><ul><li>1 cup of flour<li>{i} eggs</ul><ul><li>Salt</ul><dl><dt>Sweet<dd><div>Yes</div></dl>"
+        "<table><tr><th>Vegan<td><div>Yes</div></table><table><tr><td>1</table><figure><figcaption>A cake</figcaption></figure>"
+        "<div>Please support us</div><ul><li><a href=/a>More cakes</a><li><a href=/b>All</a></ul></article>"
+    )
+    rows = [(i, "http://a.example/", article.format(i=i)) for i in range(6)]
+    got = {tuple(r) for r in html_main.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).select("page_id", "text", "n_removed").collect()}
+    kept = "Cake {i}\nStory {i} about a cake.\n1 cup of flour\n{i} eggs\nSalt\nSweet\nYes\nVegan\nYes\n1\nA cake"
+    assert got == {(i, kept.format(i=i), 3) for i in range(6)}
+
+
 def test_teasers_in_articles_are_a_template_beside_the_main_article(spark):
     teasers = "<div><article><div><p>Read this</p></div></article></div>"
     own = "<div id=page><article><h1>Read</h1><div><p>Read this</p></div></article></div>"
