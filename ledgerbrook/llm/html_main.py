@@ -32,6 +32,8 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _RAW = frozenset("script style noscript template iframe svg math object textarea select option title xmp noembed noframes canvas video audio".split())
 #: Elements that hold raw text: nothing in them is markup.
 _OPAQUE = frozenset("script style textarea title xmp iframe noembed noframes".split())
+#: Their ends are searched in the page itself: lower() moves positions where a letter becomes two.
+_ENDS = {name: re.compile(f"</{name}", re.I | re.ASCII) for name in _OPAQUE}
 _NEVER = _RAW | frozenset("head nav header footer aside form menu dialog button fieldset".split())
 _BLOCKS = frozenset("address article blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul aside dialog menu".split())
 #: Elements of prose: in an article neither they nor what is inside of them is a template.
@@ -129,7 +131,6 @@ def dissect(page: str) -> tuple[list[tuple[str, list[int]]], list[int], int]:
                 top.linked += n
 
     at = 0
-    lower = None
     while True:
         m = _TOKEN.search(page, at)
         if m is None:
@@ -176,9 +177,8 @@ def dissect(page: str) -> tuple[list[tuple[str, list[int]]], list[int], int]:
             prose = of > 0 and of == parent.of and (parent.prose or name in _PROSE)
             stack.append(_Element(name, skip, max(parent.main, kind), of, prose, parent.link or name == "a", len(hashes) - 1))
             if name in _OPAQUE:
-                lower = page.lower() if lower is None else lower
-                end = lower.find(f"</{name}", at)
-                at = len(page) if end < 0 else end
+                end = _ENDS[name].search(page, at)
+                at = end.start() if end else len(page)
         else:
             if name in _BLOCKS:
                 flush()

@@ -44,6 +44,11 @@ def test_main_text(page, text):
     assert "\n".join(t for t, _ in blocks) == text
 
 
+def test_letters_that_grow_in_lower_case_move_no_end():
+    page = "<article><p>İİİİİİİİİİİİ</p><SCRIPT>if (a < b) {}</Script><p>rest</p><style>p{}</STYLE><p>end</p></article>"
+    assert [t for t, _ in html_main.parse(page)[0]] == ["İİİİİİİİİİİİ", "rest", "end"]
+
+
 def test_templates_are_deleted_per_host(spark):
     def page(i, host):
         return (i, f"http://{host}/p{i}", f"<div><b>Menu of {host}</b><p>links</p></div><div><p>Story {i}</p><p>Same line</p></div><div class='x'>Imprint</div>")
