@@ -8,7 +8,9 @@ in the two stages that decide by doc_id (near-duplicates, decontamination). An e
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -17,6 +19,8 @@ from ledgerbrook.llm.common import table, written
 
 SHARDS = 40
 TOXIC = 0.5
+#: Rows of a bucket when rows that share copies are numbered.
+EACH = 1024
 
 
 def fresh(docs: DataFrame, name: str) -> str:
@@ -52,20 +56,43 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it. Rows equal in doc_id, source and size share their copies evenly."""
+    """Every document as often as the mix takes it. Rows equal in doc_id, source and size share their copies evenly: where
+    they don't divide, the rows are numbered by a hash of their columns and the first ones get one more."""
     columns = docs.columns
     mixed = mixing.mix(docs).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
     size, times, rows = fresh(docs, "mix_size"), fresh(docs, "mix_copies"), fresh(docs, "mix_rows")
     names = [fresh(docs, f"mix_{c}") for c in ("doc_id", "source", "of_size")]
-    plan = mixed.toDF(*names, times, rows)
+    plan = written(mixed.toDF(*names, times, rows))
     sized = docs.withColumn(size, mixing.n_words("text"))
-    joined = sized.join(
-        plan,
-        F.col("doc_id").eqNullSafe(F.col(names[0])) & F.col("source").eqNullSafe(F.col(names[1])) & (F.col(size) == F.col(names[2])),
+
+    def planned(some: DataFrame) -> DataFrame:
+        same = F.col("doc_id").eqNullSafe(F.col(names[0])) & F.col("source").eqNullSafe(F.col(names[1])) & (F.col(size) == F.col(names[2]))
+        return sized.join(some, same)
+
+    def taken(joined: DataFrame, extra: Column) -> DataFrame:
+        own = F.floor(F.col(times) / F.col(rows)) + extra
+        return joined.withColumn(times, F.explode(F.array_repeat(F.lit(1), own.cast("int")))).select(*(F.col(f"`{c}`") for c in columns))
+
+    divided = F.col(times) % F.col(rows) == 0
+    even, uneven = taken(planned(plan.filter(divided)), F.lit(0)), plan.filter(~divided)
+    n = uneven.count()
+    if not n:
+        return even
+    # rows without doc_id can be many in one group, so they are numbered in buckets of about EACH
+    row, bucket, number, before = fresh(docs, "mix_row"), fresh(docs, "mix_bucket"), fresh(docs, "mix_number"), fresh(docs, "mix_before")
+    hashed = F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if not re.search("map<|variant", kind)))
+    shared = written(
+        planned(F.broadcast(uneven) if n <= mixing.BROADCAST_ROWS else uneven)
+        .withColumn(row, hashed).withColumn(bucket, F.pmod(F.col(row), F.ceil(F.col(rows) / EACH)))
     )
-    extra = F.pmod(F.monotonically_increasing_id(), F.col(rows)) < F.col(times) % F.col(rows)
-    own = F.floor(F.col(times) / F.col(rows)) + extra.cast("long")
-    return joined.withColumn(times, F.explode(F.array_repeat(F.lit(1), own.cast("int")))).select(*(F.col(f"`{c}`") for c in columns))
+    others = [fresh(docs, f"mix_other_{i}") for i in range(4)]
+    counts = shared.groupBy(*names, bucket).agg(F.count("*").alias(number))
+    starts = counts.withColumn(before, F.coalesce(F.sum(number).over(Window.partitionBy(*names).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    starts = starts.select(*(F.col(c).alias(o) for c, o in zip([*names, bucket], others)), before)
+    numbered = shared.withColumn(number, F.row_number().over(Window.partitionBy(*names, bucket).orderBy(row, "text")))
+    same = [F.col(c).eqNullSafe(F.col(o)) for c, o in zip([*names, bucket], others)]
+    numbered = numbered.join(starts, same[0] & same[1] & same[2] & same[3])
+    return even.unionByName(taken(numbered, (F.col(before) + F.col(number) <= F.col(times) % F.col(rows)).cast("long")))
 
 
 def to_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

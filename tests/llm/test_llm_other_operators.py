@@ -199,6 +199,26 @@ def test_pipeline_stages(spark):
     assert frame.select("shard", "slot").distinct().count() == frame.count()
 
 
+def test_rows_that_share_copies_get_the_planned_ones(spark, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "EACH", 4)
+    # rows without words, ids or sources, exact copies, and rows that differ in their text alone
+    rows = [(i % 7 if i % 3 else None, f"w{i % 11} x", ("a", "b", None)[i % 5 % 3]) for i in range(300)] + [(1, None, "a")] * 5 + [(500 + i, "y " * i, "c") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7).withColumn("mix_row", F.lit("mine")).cache()
+    plan = corpus_pipeline.mixing.mix(docs).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("n")).filter("n > 0")
+    got = corpus_pipeline.mix_sources(spark, docs, "")
+    sized = got.withColumn("size", corpus_pipeline.mixing.n_words("text")).groupBy("doc_id", "source", "size").agg(F.count("*").alias("n"))
+    assert sorted(map(tuple, sized.collect()), key=str) == sorted(map(tuple, plan.collect()), key=str) and got.columns == docs.columns
+
+
+def test_two_equal_rows_take_one_planned_copy(spark, monkeypatch):
+    # a small plan is broadcast, so equal rows stay in two partitions, at the same place
+    plan = spark.range(80).selectExpr("id div 2 as doc_id", "'a' as source", "1L as size", "id % 2 as copies")
+    monkeypatch.setattr(corpus_pipeline.mixing, "mix", lambda docs: plan)
+    docs = spark.range(0, 8000, 1, 2).selectExpr("id % 4000 as doc_id", "'w' as text", "'a' as source")
+    got = corpus_pipeline.mix_sources(spark, docs, "").groupBy("doc_id").count().collect()
+    assert sorted(map(tuple, got)) == [(i, 1) for i in range(40)]
+
+
 def test_registered_names():
     import __spark_entry__ as entry
 
