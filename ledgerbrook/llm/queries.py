@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprint, html_main, mixing, sharding, simhash, suffix, superkmer, toxicity
+from . import alignment, chat, decontaminate, fingerprint, html_main, mixing, sanitise, sharding, simhash, suffix, superkmer, toxicity, whitening
 from .common import table
 
 SHARDS = 40
+#: Tokenizer files of op11: byte-level BPE (A), sentence pieces (B).
+TOKENIZERS = ("/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model")
 
 
 def op1_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,11 +68,23 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), *TOKENIZERS)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.counts_and_digests(sanitise.personal_data(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_html_main, op2_suffix, op3_toxicity, op4_decontaminate, op5_fingerprint, op6_simhash, op7_superkmer, op8_mixing,
-        op9_chat, op10_sharding,
+        op9_chat, op10_sharding, op11_alignment, op12_whitening, op13_sanitise,
     )
 }
 #: The same results in DuckDB SQL. Trained models, html, sketches, random rounding and packing have none.

@@ -223,7 +223,7 @@ def test_registered_names():
     import __spark_entry__ as entry
 
     names = [n.split("_")[0] for n in entry.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(names) == sorted(f"op{i}" for i in range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(names) == sorted(f"op{i}" for i in range(1, 14)) and "pipeline" in entry.queries()
     assert set(queries.ORACLES) <= set(queries.QUERIES)
     assert importlib.import_module("corpus_pipeline").ORACLE_SQL is None
 
