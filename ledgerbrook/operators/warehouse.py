@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerbrook.functions import columns as fx
+from ledgerbrook.operators import temporal
 from ledgerbrook.operators.lookup import lookup
 from ledgerbrook.settings import END_OF_TIME
 
@@ -57,7 +58,9 @@ def scd2(current: DataFrame, incoming: DataFrame, key: str, as_of: dt.datetime |
 
     A changed row closes its active version at `as_of` and opens another; a new
     key opens its first; unchanged keys and keys missing from the snapshot stay.
-    Both sides of the join have one row per key, so it cannot be skewed.
+    Both sides of the join have one row per key, so it cannot be skewed. A snapshot
+    that changes a version begun at or after `as_of` fails: for snapshots in any order
+    there is `temporal.observe`.
     """
     columns = [c for c in current.columns if c not in VERSIONING]
     tracked = [c for c in columns if c != key]
@@ -74,7 +77,9 @@ def scd2(current: DataFrame, incoming: DataFrame, key: str, as_of: dt.datetime |
     changed = has_old & has_new & ~same
     closed = F.struct(*[
         F.lit(False).alias(c) if c == "is_active"
-        else _moment(as_of).alias(c) if c == "valid_to"
+        else F.when(F.col("old.valid_from") < _moment(as_of), _moment(as_of))
+        .otherwise(F.raise_error(F.lit(f"a version of {key} begins after the snapshot of {as_of}")).cast("timestamp_ntz")).alias(c)
+        if c == "valid_to"
         else F.col(f"old.{c}").alias(c)
         for c in current.columns
     ])
@@ -114,6 +119,22 @@ def fact_transactions(transactions: DataFrame, accounts: DataFrame, customers: D
     )
 
 
+def fact_as_of(transactions: DataFrame, accounts: DataFrame, customers: DataFrame, before_first: bool = False) -> DataFrame:
+    """As `fact_transactions`, with the versions in force when the transaction happened.
+
+    `accounts` and `customers` are all versions. `before_first` takes a key's first version for times before it.
+    """
+    at = "transaction_timestamp"
+    owned = temporal.in_force(transactions, accounts, "account_id", at, ["customer_id", "branch_id"], before_first)
+    known = customers.select("customer_id", "valid_from", "valid_to", F.col("customer_id").alias("known_customer_id"))
+    return (
+        temporal.in_force(owned, known, "customer_id", at, ["known_customer_id"], before_first)
+        .drop("customer_id").withColumnRenamed("known_customer_id", "customer_id")
+        .withColumn("date_id", fx.date_id(at))
+        .select(*FACT, *[c for c in ("ingestion_timestamp",) if c in transactions.columns])
+    )
+
+
 def loaded(fact: DataFrame, run_id: str, loaded_at: dt.datetime) -> DataFrame:
     """Add the audit columns."""
     return fact.withColumns({"pipeline_run_id": F.lit(run_id), "loaded_at": F.lit(loaded_at)})

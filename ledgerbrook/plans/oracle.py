@@ -318,6 +318,38 @@ select {shown}, true, '{second}', '{last}' from n join pairs on n.{key} = pairs.
 where old_key is null or not same"""
 
 
+_CUSTOMER_COLUMNS = ["name", "age", "gender", "city", "state", "income", "account_open_date", "customer_segment"]
+
+
+def _versions(name: str, seen: str, key: str, columns: list[str]) -> str:
+    """Common table expressions that turn snapshots (`seen` has key, columns and as_of) into versions."""
+    values = ", ".join(columns)
+    return f""",
+{name}_seen as ({seen}),
+{name}_starts as (select * from (select *, row({values}) is distinct from lag(row({values})) over w
+                      or lag(as_of) over w is null fresh from {name}_seen window w as (partition by {key} order by as_of)) where fresh),
+{name} as (select {key}, {values}, lead(as_of) over w is null is_active, as_of valid_from,
+                  coalesce(lead(as_of) over w, timestamp '9999-12-31') valid_to
+           from {name}_starts window w as (partition by {key} order by as_of))"""
+
+
+_CUSTOMER_VERSIONS = _versions("customer_versions", """
+  select * replace (case when as_of = timestamp '1997-01-01' and n % 10 = 1 then null
+                         when as_of in (timestamp '1995-03-01', timestamp '1997-01-01') and n % 10 = 0 then 'Premium'
+                         else customer_segment end as customer_segment)
+  from (select *, cast(substring(customer_id, 6) as bigint) n from clean_customers),
+       (values (timestamp '1993-01-01', 25), (timestamp '1995-03-01', 0), (timestamp '1996-01-01', 7), (timestamp '1997-01-01', 17)) s(as_of, without)
+  where without = 0 or n % without <> 0""", "customer_id", _CUSTOMER_COLUMNS)
+
+_ACCOUNT_VERSIONS = _versions("account_versions", """
+  select account_id, as_of,
+         case when as_of = timestamp '1997-01-01' and n % 10 = 1 then 'CUST-0000001' else customer_id end customer_id,
+         case when as_of = timestamp '1995-03-01' and n % 10 = 0 then 'BRN-0000' else branch_id end branch_id
+  from (select *, cast(substring(account_id, 5) as bigint) n from clean_accounts),
+       (values (timestamp '1993-01-01', 25), (timestamp '1995-03-01', 0), (timestamp '1997-01-01', 17)) s(as_of, without)
+  where without = 0 or n % without <> 0""", "account_id", ["customer_id", "branch_id"])
+
+
 ORACLES: dict[str, str] = {
     "clean_customers": _with("clean_customers", f"select {_CUSTOMER} from clean_customers"),
     "clean_accounts": _with("clean_accounts", f"select {_ACCOUNT} from clean_accounts"),
@@ -451,6 +483,29 @@ from days"""),
         ["customer_id", "account_type", "branch_id", "balance", "account_status"], _ACCOUNT, "balance",
         """cast(case when cast(substring(account_id, 5) as bigint) % 10 = 0 then balance + 1
            else balance end as decimal(15,2))""")),
+    "scd2_late": _with("clean_customers", _CUSTOMER_VERSIONS + f"""
+select customer_id, name, age, gender, city, state, cast(income as double) income, strftime(account_open_date, '%Y-%m-%d') account_open_date,
+       customer_segment, is_active, {_ts('valid_from')}, {_ts('valid_to')} from customer_versions"""),
+    "fact_as_of": _with("clean_tx clean_accounts clean_customers", _ACCOUNT_VERSIONS + _CUSTOMER_VERSIONS + f"""
+select transaction_id, t.account_id, c.customer_id, merchant_id, a.branch_id,
+       cast(strftime(transaction_timestamp, '%Y%m%d') as int) date_id, transaction_type, cast(amount as double) amount,
+       {_ts('transaction_timestamp')}, status, payment_method, channel, "location"
+from clean_tx t
+asof left join account_versions a on t.account_id = a.account_id and t.transaction_timestamp >= a.valid_from
+asof left join customer_versions c on a.customer_id = c.customer_id and t.transaction_timestamp >= c.valid_from"""),
+    "customers_in_force": _with("clean_tx clean_accounts clean_customers", _ACCOUNT_VERSIONS + _CUSTOMER_VERSIONS + f"""
+, first_account as (select account_id, arg_min(customer_id, valid_from) customer_id from account_versions group by 1),
+first_customer as (select customer_id, arg_min(row(customer_segment, valid_from), valid_from) f from customer_versions group by 1),
+owned as (select t.transaction_id, t.account_id, t.transaction_timestamp, coalesce(a.customer_id, f.customer_id) customer_id
+          from clean_tx t
+          asof left join account_versions a on t.account_id = a.account_id and t.transaction_timestamp >= a.valid_from
+          left join first_account f on t.account_id = f.account_id)
+select transaction_id, account_id, {_ts('transaction_timestamp')}, o.customer_id,
+       case when c.customer_id is null then f.f[1] else c.customer_segment end customer_segment,
+       {_ts('coalesce(c.valid_from, f.f[2])', 'valid_from')}
+from owned o
+asof left join customer_versions c on o.customer_id = c.customer_id and o.transaction_timestamp >= c.valid_from
+left join first_customer f on o.customer_id = f.customer_id"""),
     "scd1_merchant": _with("risky_merchants", """
 select merchant_id, case when n % 3 <> 0 then upper(merchant_name) else merchant_name end merchant_name,
        merchant_category, city, risk_category

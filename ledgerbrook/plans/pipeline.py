@@ -10,22 +10,19 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerbrook.operators import analytics, cleansing, fraud, incremental, quality, warehouse
+from ledgerbrook.operators import analytics, cleansing, fraud, incremental, quality, temporal, warehouse
 from ledgerbrook.operators.dedup import extra_copies, latest_per_key
 from ledgerbrook.operators.lookup import lookup
 from ledgerbrook.settings import EPOCH, Settings
-from ledgerbrook.sources import lake, state
-from ledgerbrook.sources.schemas import FACT, RAW
+from ledgerbrook.sources import deliveries, facts, lake, state
+from ledgerbrook.sources.facts import day_number, in_days, read_fact
+from ledgerbrook.sources.schemas import FACT, OPTIONAL, RAW
 
-DAY_PARTITIONS = ("year", "month", "day")
 STAMPS = ("ingestion_timestamp", "ingestion_text", "batch_id")
 FILE_CLOCK_SLACK = dt.timedelta(days=1)
-#: Columns a delivery may leave out: stamps are added, and risk classes follow from the category.
-OPTIONAL = ("ingestion_timestamp", "risk_category", "occupation", "created_at")
 
 
 @dataclass(frozen=True)
@@ -49,15 +46,12 @@ def run(spark: SparkSession, raw_dir: str, root: str, run_id: str, as_of: dt.dat
     folder = {name: f"{raw_dir.rstrip('/')}/{name}" for name in ("branches", "merchants", "customers", "accounts", "transactions")}
 
     def work() -> dict:
-        for name, path in folder.items():
-            cleansing.require_columns(lake.delivered_schema(spark, path, fmt), RAW[name], name, OPTIONAL)
-        raw = {name: lake.with_file_time(lake.read_raw(spark, path, name, fmt))
-               for name, path in folder.items() if name != "transactions"}
-        load_dimensions(spark, this, raw)
         since = state.get_last_watermark(spark, root, "transactions")
         oldest = incremental.effective_watermark(since, settings.incremental) - FILE_CLOCK_SLACK
-        new = lake.read_raw(spark, folder["transactions"], "transactions", fmt, oldest if since > EPOCH else None)
-        stamped = lake.stamped(lake.with_file_time(new), run_id, this.as_of)
+        raw = {name: delivered(spark, this, path, name, fmt, oldest if name == "transactions" and since > EPOCH else None)
+               for name, path in folder.items()}
+        load_dimensions(spark, this, raw)
+        stamped = lake.stamped(raw["transactions"], run_id, this.as_of)
         # a malformed stamp has no time to compare: the gate sees it as long as its file is read
         fresh = incremental.newer_or_late(stamped, since, settings.incremental)
         return load_transactions(spark, this, fresh.unionByName(stamped.where("ingestion_timestamp is null")))
@@ -65,6 +59,18 @@ def run(spark: SparkSession, raw_dir: str, root: str, run_id: str, as_of: dt.dat
     return recorded(spark, this, work)
 
 
+def delivered(spark: SparkSession, this: Run, path: str | list[str], name: str, fmt: str = "csv",
+              modified_after: dt.datetime | None = None) -> DataFrame:
+    """A dataset's files bound by their own columns; what differs from the declared ones is filed as findings."""
+    if fmt != "csv":
+        cleansing.require_columns(lake.delivered_schema(spark, path, fmt), RAW[name], name, OPTIONAL)
+        return deliveries.read(spark, path, name, fmt, modified_after)
+    found = deliveries.layouts(spark, path, modified_after)
+    state.write_run(deliveries.findings(spark, found, RAW[name]).coalesce(1), this.root, "schema_findings", this.run_id, name)
+    deliveries.require_columns(found, RAW[name], name)
+    return deliveries.read_layouts(spark, found, RAW[name])
+
+
 def recorded(spark: SparkSession, this: Run, work) -> dict:
     """Run `work` and append its record, also where it fails."""
     started = dt.datetime.now(dt.timezone.utc)
@@ -83,18 +89,26 @@ def recorded(spark: SparkSession, this: Run, work) -> dict:
 # ---- quality gate --------------------------------------------------------------------
 
 
-def _gate(this: Run, df: DataFrame, rules: list[quality.Rule], dataset: str, key: str) -> tuple[DataFrame, DataFrame]:
-    """Judge a dataset once, file its results and rejects; return (good rows, rejects).
+#: What a delivery adds to its rows and only the gate needs.
+DELIVERED = ("file_path", "raw_text", "defect")
+
+
+def _gate(this: Run, df: DataFrame, rules: list[quality.Rule], dataset: str, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Judge a dataset once, file its results and rejects; return (good rows, rejects, all rows).
 
     The conformed rows are written before the rules read them, so raw text is parsed once and key rules read
     their columns only; the judged rows are written before they are used three times. Good rows hold
-    one row per key; what deduplication leaves out is filed as DUPLICATE.
+    one row per key; what deduplication leaves out is filed as DUPLICATE. Rows that could not be read are
+    filed with their raw text; no rule sees them.
     """
     spark = df.sparkSession
     conformed = f"{this.root}/processed/conformed/{dataset}/run_id={this.run_id}"
     df.write.mode("overwrite").parquet(conformed)
+    landed = spark.read.schema(df.schema).parquet(conformed)
+    broken = landed.where("defect is not null") if "defect" in df.columns else None
+    readable = landed if broken is None else landed.where("defect is null")
     path = f"{this.root}/processed/checked/{dataset}/run_id={this.run_id}"
-    quality.evaluate(spark.read.schema(df.schema).parquet(conformed), rules).write.mode("overwrite").parquet(path)
+    quality.evaluate(readable.drop(*DELIVERED), rules).write.mode("overwrite").parquet(path)
     checked = spark.read.parquet(path)
 
     results = quality.results(checked, rules, dataset, this.settings.quality.warn_from)
@@ -110,14 +124,21 @@ def _gate(this: Run, df: DataFrame, rules: list[quality.Rule], dataset: str, key
         F.lit("DUPLICATE").alias("failed_rule"),
         F.to_json(F.struct("*")).alias("raw_data"),
     ))
+    if broken is not None:
+        rejects = rejects.unionByName(deliveries.defects(broken))
     state.write_run(
         quality.quarantined(rejects, dataset, this.run_id, this.as_of),
         this.root, "rejected_records", this.run_id, dataset,
     )
     lake.write_files(latest_per_key(passed, key), f"{this.root}/processed/{dataset}/run_id={this.run_id}")
     good = spark.read.parquet(f"{this.root}/processed/{dataset}/run_id={this.run_id}")
-    left_out = checked.where(quality.is_rejected(rules)).withColumn("copies", F.lit(1).cast("bigint"))
-    return good, lake.union_batches([left_out.drop("failed_rules"), copies])
+    once = F.lit(1).cast("bigint").alias("copies")
+    left_out = [checked.where(quality.is_rejected(rules)).drop("failed_rules").select("*", once), copies]
+    everything = [checked]
+    if broken is not None:
+        left_out.append(broken.drop(*DELIVERED).select("*", once))
+        everything.append(broken.drop(*DELIVERED))
+    return good, lake.union_batches(left_out), lake.union_batches(everything)
 
 
 # ---- dimensions ------------------------------------------------------------------------
@@ -129,17 +150,28 @@ def _published(spark: SparkSession, this: Run, table: str, merged_from, incoming
     return state.publish(merged_from(current, incoming), this.root, table, this.run_id)
 
 
+def _versioned(spark: SparkSession, this: Run, table: str, snapshot: DataFrame, key: str) -> DataFrame:
+    """Publish the versions of a dimension with this run's snapshot taken in, which may be older than others.
+
+    What was observed when is kept beside the versions, so the order in which snapshots arrive makes no difference.
+    """
+    root, observed = this.root, f"{table}_observed"
+    runs = state.read_published(spark, root, observed, not_by=this.run_id)
+    log = state.read_state(spark, root, "snapshots").where((F.col("dataset") == table) & (F.col("run_id") != this.run_id))
+    taken = [r["as_of"] for r in log.select("as_of").distinct().collect()]
+    versions = state.read_published(spark, root, table, not_by=this.run_id)
+    if runs is None and versions is not None:  # loaded before observations were kept
+        runs = temporal.runs_of(versions)
+        taken += [r["valid_from"] for r in versions.select("valid_from").distinct().collect()]
+    state.append_row(spark, root, "snapshots", dataset=table, run_id=this.run_id, as_of=this.as_of)
+    runs = state.publish(temporal.observe(runs, taken, snapshot, key, this.as_of), root, observed, this.run_id)
+    return state.publish(temporal.history(runs, key), root, table, this.run_id)
+
+
 def load_dimensions(spark: SparkSession, this: Run, raw: dict[str, DataFrame]) -> None:
     def overwritten(key: str):
         return lambda old, new: new if old is None else warehouse.upsert(old, new, key)
 
-    def versioned(key: str):
-        def merge(old, new):
-            if old is None:
-                return warehouse.first_version(new, this.as_of)
-            return warehouse.scd2(old, new, key, this.as_of)
-        return merge
-
     def gated(name: str, conform, rules: list[quality.Rule], key: str) -> DataFrame:
         rows = raw[name].drop("file_time")
         return _gate(this, conform(rows), rules, name, key)[0]
@@ -151,17 +183,13 @@ def load_dimensions(spark: SparkSession, this: Run, raw: dict[str, DataFrame]) -
 
     rules = this.settings.quality
     customers = cleansing.conform_customers(lake.stamped(raw["customers"], this.run_id, this.as_of))
-    people, _ = _gate(this, customers, quality.customer_rules(rules), "customers", "customer_id")
-    known = _published(
-        spark, this, "dim_customer", versioned("customer_id"), people.drop(*STAMPS)
-    )
+    people, *_ = _gate(this, customers, quality.customer_rules(rules), "customers", "customer_id")
+    known = _versioned(spark, this, "dim_customer", people.drop(*STAMPS), "customer_id")
     accounts = cleansing.conform_accounts(lake.stamped(raw["accounts"], this.run_id, this.as_of))
-    owned, _ = _gate(
+    owned, *_ = _gate(
         this, accounts, quality.account_rules(rules, known.where("is_active")), "accounts", "account_id"
     )
-    _published(
-        spark, this, "dim_account", versioned("account_id"), owned.drop(*STAMPS)
-    )
+    _versioned(spark, this, "dim_account", owned.drop(*STAMPS), "account_id")
 
 
 def active(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -182,18 +210,18 @@ def load_transactions(spark: SparkSession, this: Run, raw: DataFrame) -> dict:
         active(spark, root, name) for name in ("dim_account", "dim_customer", "dim_merchant")
     )
     rules = quality.transaction_rules(settings.quality, accounts, this.as_of, landed=True)
-    good, left_out = _gate(
+    good, left_out, source = _gate(
         this, cleansing.conform_transactions(raw), rules,
         "transactions", settings.incremental.dedup_key,
     )
-    fact = fraud.calculate_fraud_score(fraud.apply_rules(
-        warehouse.fact_transactions(good, accounts, customers), settings.fraud), settings.fraud)
+    # the versions in force at the time of each transaction; what is older than the first snapshot gets the first version
+    dated = warehouse.fact_as_of(good, *(state.read_published(spark, root, t) for t in ("dim_account", "dim_customer")), before_first=True)
+    fact = fraud.calculate_fraud_score(fraud.apply_rules(dated, settings.fraud), settings.fraud)
     days = merge_fact(spark, this, warehouse.loaded(fact, this.run_id, this.as_of))
     refresh_alerts(spark, this, good, owners(accounts, customers))
     refresh_summaries(spark, this, days, accounts, customers, merchants)
 
-    source = spark.read.parquet(f"{root}/processed/checked/transactions/run_id={this.run_id}")
-    target = _in_days(read_fact(spark, root), days).where(F.col("pipeline_run_id") == this.run_id)
+    target = read_fact(spark, root, days).where(F.col("pipeline_run_id") == this.run_id)
     verdict = analytics.reconcile(source, target, left_out, "transactions")
     state.write_run(verdict.withColumn("run_timestamp", F.lit(this.as_of)),
                     root, "reconciliation_results", this.run_id, "transactions")
@@ -203,7 +231,8 @@ def load_transactions(spark: SparkSession, this: Run, raw: DataFrame) -> dict:
     newest = incremental.next_watermark(good, known, settings.incremental).first()["last_processed"]
     if newest > dt.datetime.fromisoformat(known):
         state.update_watermark(spark, root, "transactions", newest, this.run_id)
-    failed = source.where(F.size("failed_rules") > 0).where(quality.is_rejected(rules)).count()
+    # rows that could not be read were not judged by rules, but they count
+    failed = source.where(F.col("failed_rules").isNull() | quality.is_rejected(rules)).count()
     return {
         "records_read": outcome["source_count"],
         # what was judged by itself: all rows but the copies that deduplication left out
@@ -213,69 +242,21 @@ def load_transactions(spark: SparkSession, this: Run, raw: DataFrame) -> dict:
     }
 
 
-def fact_path(root: str) -> str:
-    return lake.layer_path(root, "curated", "fact_transactions")
-
-
-def read_fact(spark: SparkSession, root: str) -> DataFrame:
-    """The fact table under its declared schema; empty before its first row."""
-    if not _exists(spark, fact_path(root)):
-        return spark.createDataFrame([], FACT)
-    return spark.read.schema(FACT).parquet(fact_path(root))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-        return True
-    except AnalysisException as missing:
-        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return False
-
-
-def _day_number():
-    return F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
-
-
-def _in_days(df: DataFrame, days: list[int]) -> DataFrame:
-    """Rows of the given days (yyyyMMdd); a condition on partition columns alone."""
-    return df.where(_day_number().isin(days))
-
-
 def merge_fact(spark: SparkSession, this: Run, incoming: DataFrame) -> list[int]:
     """Upsert into the fact table, rewriting only the days concerned; return those days.
 
-    The rewritten days are staged first: the target is then replaced from files
-    that do not depend on it, and a run that fails in between can be repeated.
-    The list of days is the only thing brought to the driver.
+    These are the days of the incoming rows and those that the index names for their keys: nothing of the fact
+    table is read to find them. The list of days is the only thing brought to the driver. A run that
+    fails in between can be repeated.
     """
-    path, staged = fact_path(this.root), f"{this.root}/processed/staged_fact/run_id={this.run_id}"
-    key = this.settings.incremental.dedup_key
-    incoming = warehouse.by_day(incoming)
-    landing = f"{this.root}/processed/incoming_fact/run_id={this.run_id}"
-    incoming.write.mode("overwrite").parquet(landing)
+    root, key = this.root, this.settings.incremental.dedup_key
+    landing = f"{root}/processed/incoming_fact/run_id={this.run_id}"
+    warehouse.by_day(incoming).write.mode("overwrite").parquet(landing)
     incoming = spark.read.parquet(landing)
-    touched = incoming.select(_day_number().alias("d"))
-    if _exists(spark, path):
-        current = read_fact(spark, this.root)
-        moved = lookup(current.select(key, *DAY_PARTITIONS), incoming.select(key), key, "left_semi")
-        touched = touched.unionByName(moved.select(_day_number().alias("d")))
-        days = [r["d"] for r in touched.distinct().collect()]
-        merged = warehouse.upsert(_in_days(current, days), incoming, key)
-    else:
-        days = [r["d"] for r in touched.distinct().collect()]
-        merged = incoming
-    lake.write_files(merged, staged)
-    ready = spark.read.parquet(staged)
-    lake.write_files(ready, path, partition_by=DAY_PARTITIONS)
-
-    # A day all of whose rows moved elsewhere gets no new files above.
-    filled = {r["d"] for r in ready.select(_day_number().alias("d")).distinct().collect()}
-    for d in set(days) - filled:
-        year, month, day = d // 10000, d // 100 % 100, d % 100
-        nothing = ready.limit(0).drop(*DAY_PARTITIONS)
-        nothing.write.mode("overwrite").parquet(f"{path}/year={year}/month={month}/day={day}")
+    new = incoming.select(day_number().cast("int").alias("day"))
+    days = sorted(r["day"] for r in new.unionByName(facts.days_of(spark, root, incoming, key)).distinct().collect())
+    facts.index_days(incoming, root, key)
+    facts.replace_days(warehouse.upsert(read_fact(spark, root, days), incoming, key), root, days, this.run_id)
     return days
 
 
@@ -321,7 +302,7 @@ def refresh_summaries(spark: SparkSession, this: Run, days: list[int], accounts:
     """Recompute the summary rows of the given days and of their months."""
     root = this.root
     fact = read_fact(spark, root)
-    concerned = _in_days(fact, days)
+    concerned = in_days(fact, days)
     daily = analytics.daily_branch_metrics(concerned)
     frauds = analytics.fraud_summary(concerned, merchants)
     in_months = fact.where((F.col("year") * 100 + F.col("month")).isin(sorted({d // 100 for d in days})))

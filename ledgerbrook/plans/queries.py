@@ -16,7 +16,7 @@ from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, Timestamp
 
 from ledgerbrook.functions import columns as fx
 from ledgerbrook.operators import (
-    analytics, cleansing, enrichment, fraud, incremental, quality, warehouse,
+    analytics, cleansing, enrichment, fraud, incremental, quality, temporal, warehouse,
 )
 from ledgerbrook.operators.dedup import latest_per_key, repeated_keys
 from ledgerbrook.plans import views
@@ -415,6 +415,60 @@ def scd2_account(spark, d):
     return warehouse.scd2(first, second, "account_id", SNAPSHOT_2)
 
 
+def _taken(snapshots: list[tuple[str, object]], key: str):
+    """The runs of observations after some snapshots have arrived in the given order."""
+    runs, taken = None, []
+    for time, frame in snapshots:
+        as_of = dt.datetime.fromisoformat(time)
+        runs = temporal.observe(runs, taken, frame, key, as_of)
+        taken.append(as_of)
+    return runs
+
+
+def _customer_versions(spark, d):
+    """Four yearly snapshots: the latest before the first, one of them without a seventh of the customers."""
+    customers = cleansing.clean_customers(views.customers(spark, d))
+    n = _number("customer_id", 5)
+    premium = F.when(n % 10 == 0, "Premium").otherwise(F.col("customer_segment"))
+    nulled = F.when(n % 10 == 1, F.lit(None)).otherwise(premium)
+    frames = {
+        "1993-01-01 00:00:00": customers.where(n % 25 != 0), "1995-03-01 00:00:00": customers.withColumn("customer_segment", premium),
+        "1996-01-01 00:00:00": customers.where(n % 7 != 0), "1997-01-01 00:00:00": customers.where(n % 17 != 0).withColumn("customer_segment", nulled),
+    }
+    return temporal.history(_taken([(t, frames[t]) for t in sorted(frames, key=lambda t: t[3] not in "57")], "customer_id"), "customer_id")
+
+
+def _account_versions(spark, d):
+    accounts = cleansing.clean_accounts(views.accounts(spark, d)).select("account_id", "customer_id", "branch_id")
+    n = _number("account_id", 4)
+    moved = F.when(n % 10 == 0, F.lit("BRN-0000")).otherwise(F.col("branch_id"))
+    sold = F.when(n % 10 == 1, F.lit("CUST-0000001")).otherwise(F.col("customer_id"))
+    return temporal.history(_taken([
+        ("1997-01-01 00:00:00", accounts.where(n % 17 != 0).withColumn("customer_id", sold)),
+        ("1993-01-01 00:00:00", accounts.where(n % 25 != 0)), ("1995-03-01 00:00:00", accounts.withColumn("branch_id", moved)),
+    ], "account_id"), "account_id")
+
+
+@query
+def scd2_late(spark, d):
+    return _customer_versions(spark, d)
+
+
+@query
+def fact_as_of(spark, d):
+    tx = cleansing.clean_transactions(views.tx_bulk(spark, d))
+    return warehouse.fact_as_of(tx, _account_versions(spark, d), _customer_versions(spark, d)).select(*warehouse.FACT)
+
+
+@query
+def customers_in_force(spark, d):
+    """The segment of each account's owner when a transaction happened, or the first one known."""
+    tx = cleansing.clean_transactions(views.tx_bulk(spark, d)).select("transaction_id", "account_id", "transaction_timestamp")
+    at = "transaction_timestamp"
+    owned = temporal.in_force(tx, _account_versions(spark, d), "account_id", at, ["customer_id"], before_first=True)
+    return temporal.in_force(owned, _customer_versions(spark, d), "customer_id", at, ["customer_segment", "valid_from"], before_first=True)
+
+
 @query
 def scd1_merchant(spark, d):
     merchants = _clean_merchants(spark, d)

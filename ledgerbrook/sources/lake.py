@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -27,20 +27,26 @@ def _known(fmt: str) -> str:
     return fmt
 
 
+def reader_of(spark: SparkSession, modified_after: dt.datetime | None = None) -> DataFrameReader:
+    """`modified_after` (UTC) leaves out older files when they are listed, so they are never opened."""
+    if modified_after is None:
+        return spark.read
+    return spark.read.option("modifiedAfter", modified_after.isoformat(timespec="seconds")).option("timeZone", "UTC")
+
+
 def read_raw(spark: SparkSession, path: str, dataset: str, fmt: str = "csv",
              modified_after: dt.datetime | None = None) -> DataFrame:
     """The files of a dataset under its declared schema; nothing is inferred.
 
-    `modified_after` (UTC) leaves out older files when they are listed, so they are never opened.
+    For CSV all files have the declared columns, in their order, or reading fails: `deliveries.read` takes
+    any layout and keeps broken rows.
     """
     return read_files(spark, path, RAW[dataset], fmt, modified_after)
 
 
-def read_files(spark: SparkSession, path: str, schema: StructType, fmt: str = "csv",
+def read_files(spark: SparkSession, path: str | list[str], schema: StructType, fmt: str = "csv",
                modified_after: dt.datetime | None = None) -> DataFrame:
-    reader = spark.read.schema(schema)
-    if modified_after is not None:
-        reader = reader.option("modifiedAfter", modified_after.isoformat(timespec="seconds")).option("timeZone", "UTC")
+    reader = reader_of(spark, modified_after).schema(schema)
     if _known(fmt) == "csv":
         reader = reader.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
     elif fmt == "json":
@@ -58,11 +64,8 @@ def union_batches(batches: list[DataFrame]) -> DataFrame:
 
 
 def delivered_schema(spark: SparkSession, path: str, fmt: str) -> StructType | None:
-    """The columns that the files bring, from headers or footers; None for JSON, where absent fields are NULL."""
-    if _known(fmt) == "json":
-        return None
-    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
-    return reader.format(fmt).load(path).schema
+    """The columns that Parquet files bring, from a footer; None for formats bound row by row or header by header."""
+    return spark.read.parquet(path).schema if _known(fmt) == "parquet" else None
 
 
 def stamped(df: DataFrame, batch_id: str, ingested_at: dt.datetime) -> DataFrame:

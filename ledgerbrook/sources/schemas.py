@@ -54,6 +54,9 @@ RAW = {
     .add("ingestion_timestamp", "string"),
 }
 
+#: Columns a delivery may leave out: stamps are added, and risk classes follow from the category.
+OPTIONAL = ("ingestion_timestamp", "risk_category", "occupation", "created_at")
+
 # ---- fact table, as it is stored ------------------------------------------------
 
 FACT = (
@@ -138,6 +141,23 @@ STATE = {
     .add("amount_status", "string")
     .add("overall_status", "string")
     .add("run_timestamp", "timestamp"),
+    "fact_days": StructType()
+    .add("day", "integer")
+    .add("version", "string")
+    .add("records", "long")
+    .add("run_id", "string")
+    .add("put_at", "timestamp"),
+    "snapshots": StructType()
+    .add("dataset", "string")
+    .add("run_id", "string")
+    .add("as_of", "timestamp_ntz"),
+    "schema_findings": StructType()
+    .add("run_id", "string")
+    .add("dataset", "string")
+    .add("column_name", "string")
+    .add("finding", "string")
+    .add("files", "long")
+    .add("example_file", "string"),
     "published": StructType()
     .add("dataset", "string")
     .add("run_id", "string")
