@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from ledgerbrook.llm import decontaminate, fingerprint, mixing, sharding, simhash, suffix, superkmer
 
@@ -259,6 +260,18 @@ def test_shards_are_even_and_keep_groups(spark):
     assert all(s == set(range(len(s))) for s in slots.values())
 
 
+@pytest.mark.parametrize("ids", ["null", "7", "id % 3"])
+def test_equal_rows_without_own_ids_are_dealt_evenly(spark, monkeypatch, ids):
+    monkeypatch.setattr(sharding, "STRETCH", 500)
+    docs = spark.range(0, 20000, 1, 6).selectExpr(f"if(id < 10000, {ids}, id) doc_id", "if(id < 10000, 'the same text', concat(id, repeat(' word', cast(id % 30 as int)))) text", "id row")
+    words = docs.selectExpr("crc32(cast(text as binary)) text_crc32", "size(split(text, ' ')) n").distinct()
+    got = sharding.shard(docs, 8).join(words, "text_crc32").groupBy("shard").agg(
+        F.sum("size"), F.sum("n"), F.count("*"), F.countDistinct("slot"), F.min("slot"), F.max("slot")).collect()
+    assert len(got) == 8 and all(r[3] == r[4] == r[6] + 1 and r[5] == 0 for r in got) and sum(r[3] for r in got) == 20000
+    for resource, most in ((1, 1.02), (2, 1.05), (3, 1.05)):
+        assert max(r[resource] for r in got) <= most * min(r[resource] for r in got)
+
+
 def test_packing_prefers_the_complement():
     items = np.array([[10, 1, 1], [1, 10, 1], [10, 1, 1], [1, 10, 1]], dtype=float)
     found = sharding.pack(items, 2)
