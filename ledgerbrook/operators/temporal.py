@@ -116,7 +116,7 @@ def in_force(facts: DataFrame, versions: DataFrame, key: str, at: str, attribute
     def sliced(column: str) -> Column:
         return fx.floor_to(fx.micros(column), width).alias("__slice")
 
-    version = F.struct("valid_from", "valid_to", *attributes)
+    version = F.struct(F.col("valid_from").alias("__from"), F.col("valid_to").alias("__to"), *attributes)
     own = (
         versions.where(F.col(key).isNotNull() & (F.col("valid_from") < F.col("valid_to")))
         .select(key, sliced("valid_from"), version.alias("version"))
@@ -133,11 +133,11 @@ def in_force(facts: DataFrame, versions: DataFrame, key: str, at: str, attribute
         F.first(F.try_element_at("own", F.lit(1)), ignorenulls=True).over(whole).alias("__first"),
     ).where("wanted").drop("wanted")
     joined = lookup(facts.withColumn("__slice", sliced(at)), lists, [key, "__slice"])
-    begun = F.filter("__versions", lambda v: v["valid_from"] <= F.col(at))
+    begun = F.filter("__versions", lambda v: v["__from"] <= F.col(at))
     found = F.try_element_at(begun, F.lit(-1))
-    holding = F.when(F.col(at) < found["valid_to"], found)
+    holding = F.when(F.col(at) < found["__to"], found)
     if before_first:
-        holding = F.coalesce(holding, F.when(F.col(at) < F.col("__first")["valid_from"], F.col("__first")))
+        holding = F.coalesce(holding, F.when(F.col(at) < F.col("__first")["__from"], F.col("__first")))
     return joined.withColumn("__version", holding).select(
         *[F.col(c) for c in facts.columns], *[F.col("__version")[c].alias(c) for c in attributes]
     )
