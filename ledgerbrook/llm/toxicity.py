@@ -75,6 +75,16 @@ def subwords(code: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.nd
     return starts, pairs
 
 
+def stretches(own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word of each text, start and end of all stretches: one begins at every word that has enough words behind it, and one
+    at the start of a shorter text. `own` is the text of each word, in order."""
+    first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+    lengths = np.diff(np.r_[first, len(own)])
+    left = np.repeat(first + lengths, lengths) - np.arange(len(own))
+    heads = np.flatnonzero((left >= STRETCH) | (np.repeat(first, lengths) == np.arange(len(own))))
+    return first, heads, heads + np.minimum(left[heads], STRETCH)
+
+
 @dataclass
 class Model:
     """One number per bucket (embedding times the difference of the softmax rows), the bias, the rate of the sample."""
@@ -103,10 +113,9 @@ class Model:
             total += np.bincount(word, self.weights[bucket], len(starts))
             count += np.bincount(word, minlength=len(starts))
         own = owner[starts]
-        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        place = np.arange(len(own)) - np.repeat(first, np.diff(np.r_[first, len(own)]))
-        heads = np.flatnonzero(place % STRETCH == 0)
-        value = np.add.reduceat(total, heads) / np.add.reduceat(count, heads)
+        first, heads, ends = stretches(own)
+        total, count = np.r_[0, np.cumsum(total)], np.r_[0, np.cumsum(count)]
+        value = (total[ends] - total[heads]) / (count[ends] - count[heads])
         top = np.maximum.reduceat(value, np.searchsorted(heads, first))
         out[own[first]] = 1 / (1 + np.exp(-np.clip(top + self.bias, -40, 40)))
         return out
@@ -141,11 +150,8 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, seed: int = 0,
     flat, n_grams = np.concatenate(flats), np.concatenate(counts)
     del flats
     gram_start = np.r_[0, np.cumsum(n_grams)]
-    first = np.flatnonzero(np.r_[True, of_word[1:] != of_word[:-1]])
-    place = np.arange(len(of_word)) - np.repeat(first, np.diff(np.r_[first, len(of_word)]))
-    heads = np.flatnonzero(place % STRETCH == 0)
-    own, seg_start = of_word[heads], np.r_[heads, len(of_word)]
-    seg_len = np.diff(seg_start)
+    _, seg_start, seg_end = stretches(of_word)
+    own, seg_len = of_word[seg_start], seg_end - seg_start
     first_of = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
     docs = own[first_of]
     per_doc = np.diff(np.r_[first_of, len(own)])
@@ -153,7 +159,10 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, seed: int = 0,
     softmax = np.zeros((DIMENSIONS, 2), np.float32)
     bias = np.zeros(2, np.float32)
     g_embedding, g_softmax, g_bias = np.full_like(embedding, 1e-6), np.full_like(softmax, 1e-6), np.full_like(bias, 1e-6)
-    seg_grams = np.add.reduceat(n_grams[seg_words], seg_start[:-1])
+    grams_to = np.r_[0, np.cumsum(n_grams[seg_words])]
+    seg_grams = grams_to[seg_end] - grams_to[seg_start]
+    # both classes weigh the same, however many rows of them there are, so that 0.5 means the same at every size
+    weight = np.where(y == 1, len(y) / 2 / max(1, y.sum()), len(y) / 2 / max(1, (1 - y).sum()))
     # the softmax starts on a random direction, so that embeddings get a gradient from the first step
     softmax[:, 1] = rng.normal(0, 0.5, DIMENSIONS)
     softmax[:, 0] = -softmax[:, 1]
@@ -167,9 +176,10 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, seed: int = 0,
         if epoch:
             line = embedding @ (softmax[:, 1] - softmax[:, 0])
             per_word = np.add.reduceat(line[flat], gram_start[:-1])  # one float32 per n-gram of the vocabulary
-            value = np.add.reduceat(per_word[seg_words], seg_start[:-1]) / seg_grams
-            order = np.lexsort((-value, own))
-            top = order[first_of]
+            values_to = np.r_[0, np.cumsum(per_word[seg_words].astype(float))]
+            value = (values_to[seg_end] - values_to[seg_start]) / seg_grams
+            highest = np.flatnonzero(value == np.repeat(np.maximum.reduceat(value, first_of), per_doc))
+            top = highest[np.unique(own[highest], return_index=True)[1]]
         else:
             top = first_of + (rng.random(len(first_of)) * per_doc).astype(int)
         clean = y[docs] == 0
@@ -188,7 +198,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, seed: int = 0,
             p = np.exp(z)
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(s)), y[own[s]]] -= 1
-            p /= len(s)
+            p *= weight[own[s]][:, None] / len(s)
             d_softmax, d_bias = mean.T @ p, p.sum(axis=0)
             d_mean = (p @ softmax.T) / seg_grams[s][:, None]
             buckets, inverse = np.unique(f, return_inverse=True)

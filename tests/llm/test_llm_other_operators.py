@@ -3,6 +3,7 @@
 import hashlib
 import importlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,6 +159,26 @@ def test_held_out_accuracy(spark):
     assert n[1, 1] >= 0.85 * (n[1, 1] + n.get((1, 0), 0)) and n.get((0, 1), 0) <= 0.01 * n[0, 0]
 
 
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_predictions_do_not_depend_on_place(spark, size):
+    d = f"/root/testdata/{size}"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    texts = [r.text or "" for r in docs.join(labels.filter("toxic = 1"), "doc_id").orderBy("doc_id").collect()]
+    texts += [r.text or "" for r in docs.join(labels.filter("toxic = 0"), "doc_id").orderBy("doc_id").limit(400).collect()]
+    before = model.score(texts) >= 0.5
+    for words in ("meadow", "meadow river", "meadow river stone"):
+        assert ((model.score([f"{words} {t}" for t in texts]) >= 0.5) == before).mean() >= 0.98
+    held = docs.join(labels, "doc_id").filter(toxicity.held_out()).select("text", "toxic").collect()
+    found, toxic = model.score([r.text or "" for r in held]) >= 0.5, [r.toxic == 1 for r in held]
+    assert found[toxic].mean() >= 0.8 and found[[not t for t in toxic]].mean() <= 0.04
+
+
+def test_stretches_begin_at_every_word():
+    first, heads, ends = toxicity.stretches(np.array([0] * 6 + [3] * 2 + [4] * 4))
+    assert (first.tolist(), list(zip(heads.tolist(), ends.tolist()))) == ([0, 6, 8], [(0, 4), (1, 5), (2, 6), (6, 8), (8, 12)])
+
+
 def test_misspellings_and_awkward_rows(spark):
     clean = [f"a calm line {i} you friendlyperson about gardens" for i in range(120)]
     foul = [f"a calm line {i} you dreadfulwretch about gardens" for i in range(120)]
