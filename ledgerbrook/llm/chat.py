@@ -3,8 +3,9 @@
 A visitor turns the parts of a message into text in their order: text parts are escaped, image, audio
 and document parts become a placeholder each. Per turn it records the attachments (where their placeholder
 stands, what they refer to, how many tokens they expand to) and the characters under the loss mask.
-A conversation is the pieces of its turns, one after the other; pieces stay separate rows in
-order, so that a conversation of any length is formatted and read back as a stream.
+Text parts that follow one another are one text. A conversation is the pieces of its turns, one after the other; pieces
+stay separate rows in order, so that a conversation of any length is formatted and read back as a stream: a reader finds
+the turns by their marks alone.
 
 Template: `[INST] text [/INST]` for the user, `text</s>` for the assistant, `[ROLE] role [/ROLE] text</s>`
 for any other role. A control string inside a text (or a role) gets a backslash behind its first character, one more
@@ -42,6 +43,20 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, F.lit(UNESCAPE), F.lit("$1$2$3"))
 
 
+def _joined(parts: Column) -> Column:
+    """The parts with neighbouring texts put together, so that no control string can hide in two of them."""
+    is_text = lambda p: ~F.coalesce(p["type"], F.lit("text")).isin("image", "audio", "document")
+
+    def added(done: Column, p: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        both = p.withField("text", F.concat(F.coalesce(last["text"], F.lit("")), F.coalesce(p["text"], F.lit(""))))
+        return F.when(
+            (F.size(done) > 0) & is_text(last) & is_text(p), F.array_append(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), both)
+        ).otherwise(F.array_append(done, p))
+
+    return F.when(F.size(parts) < 2, parts).otherwise(F.aggregate(parts, F.slice(parts, 1, 0), added))
+
+
 def _visit(part: Column) -> Column:
     """struct(text, type, ref, tokens) of a part: its text in the template; what it refers to and expands to, null for text."""
     kind = F.coalesce(part["type"], F.lit("text"))
@@ -73,11 +88,11 @@ def format_chat(messages: DataFrame) -> DataFrame:
     loss_start .. loss_start + loss_chars of it are trained on (assistant only, else 0 chars). attachments is
     an array of struct(position, type, ref, tokens), position a code point of the piece; extra_tokens their sum.
     Null role, content, part text: empty; a null or unknown part type is text. Null conv_id is a conversation, a null
-    turn comes first. Repeated rows and equal turns stay, ordered by turn, role, piece. Empty tables give no row.
+    turn comes first. Repeated rows and equal turns stay. Empty tables give no row.
     """
     parts = F.filter(F.coalesce("content", F.from_json(F.lit("[]"), f"array<{PART}>")), lambda p: p.isNotNull())
     role = F.coalesce("role", F.lit(""))
-    seen = messages.select("conv_id", F.col("turn").cast("long").alias("turn"), role.alias("role"), F.transform(parts, _visit).alias("flat"))
+    seen = messages.select("conv_id", F.col("turn").cast("long").alias("turn"), role.alias("role"), F.transform(_joined(parts), _visit).alias("flat"))
     body = F.array_join(F.transform("flat", lambda p: p["text"]), "")
     head = (
         F.when(F.col("role") == "user", "[INST] ").when(F.col("role") == "assistant", "")
@@ -105,24 +120,53 @@ def _plain(text: str) -> str:
     return _UNESCAPE.sub(r"\1\2\3", text)
 
 
-def read_turn(piece: str) -> tuple[str, str]:
-    """Role and text of a piece, from the template alone (placeholders stay as they are)."""
-    if piece.startswith("[INST] "):
-        return "user", _plain(piece[7:-8])
-    if piece.startswith("[ROLE] "):
-        role, _, text = piece[7:-4].partition(" [/ROLE] ")
-        return _plain(role), _plain(text)
-    return "assistant", _plain(piece[:-4])
+class Reader:
+    """Turns of a conversation from its text, fed in any portions; it holds what has not ended yet."""
+
+    def __init__(self):
+        self.rest = ""
+
+    def feed(self, text: str) -> Iterator[tuple[str, str]]:
+        self.rest += text
+        while turn := self._next():
+            yield turn
+
+    def _next(self) -> tuple[str, str] | None:
+        rest, role, start, end = self.rest, "assistant", 0, "</s>"
+        if rest.startswith("[INST] "):
+            role, start, end = "user", 7, " [/INST]"
+        elif rest.startswith("[ROLE] "):
+            stop = rest.find(" [/ROLE] ", 7)
+            if stop < 0:
+                return None
+            role, start = _plain(rest[7:stop]), stop + 9
+        # an end can't be inside a text, where it has a backslash
+        stop = rest.find(end, start)
+        if stop < 0:
+            return None
+        self.rest = rest[stop + len(end) :]
+        return role, _plain(rest[start:stop])
+
+
+def read_turns(text: str) -> list[tuple[str, str]]:
+    """Role and text of the turns of a formatted conversation (placeholders stay as they are)."""
+    reader = Reader()
+    turns = list(reader.feed(text))
+    if reader.rest:
+        raise ValueError("the text ends inside a turn")
+    return turns
 
 
 SUMMARY = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
 def _digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Read sorted pieces back, one conversation after the other; keeps two running digests and no text."""
+    """Read sorted pieces back, one conversation after the other; keeps two running digests and the turn it is in."""
     at, state = None, None
 
     def row():
+        if state[5].rest:
+            raise ValueError(f"conversation {at[0]} ends inside a turn")
         return (at[0], state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4])
 
     for frame in frames:
@@ -132,10 +176,10 @@ def _digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if key != at:
                 if at:
                     out.append(row())
-                at, state = key, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-            role, text = read_turn(piece)
-            state[0] += 1
-            state[1].update(f"{role}\n{text}\n".encode())
+                at, state = key, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, Reader()]
+            for role, text in state[5].feed(piece):
+                state[0] += 1
+                state[1].update(f"{role}\n{text}\n".encode())
             loss = _plain(piece[start : start + n])
             state[2] += len(loss)
             state[3].update(loss.encode())
@@ -152,7 +196,7 @@ def _summary(rows: list[tuple]) -> pd.DataFrame:
 
 def read_back(pieces: DataFrame) -> DataFrame:
     """What SUMMARY names, per conversation, from the formatted pieces. One conversation is one stream in one task,
-    as a digest of its turns in order has to be; the task's memory doesn't grow with it."""
+    as a digest of its turns in order has to be; the task's memory doesn't grow with it. Equal turns go by length of the trained text, then by piece."""
     return (
         pieces.select("conv_id", "turn", "piece", "loss_start", "loss_chars")
         .repartition("conv_id")
