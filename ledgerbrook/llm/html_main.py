@@ -35,6 +35,8 @@ _OPAQUE = frozenset("script style textarea title xmp iframe noembed noframes".sp
 #: Their ends are searched in the page itself: lower() moves positions where a letter becomes two.
 _ENDS = {name: re.compile(f"</{name}", re.I | re.ASCII) for name in _OPAQUE}
 _NEVER = _RAW | frozenset("head nav header footer aside form menu dialog button fieldset".split())
+#: Of these, and of marked elements, one that encloses the main element is no reason to skip it.
+_SOFT = frozenset("header form fieldset".split())
 _BLOCKS = frozenset("address article blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul aside dialog menu".split())
 #: Elements of prose: in an article neither they nor what is inside of them is a template.
 _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dt dd tr td th caption figure figcaption summary".split())
@@ -44,12 +46,19 @@ _LISTS = frozenset("ul ol dl table".split())
 _CLOSES_P = _BLOCKS - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "li", "dd", "dt"}
 _CLOSERS = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _SCOPES = frozenset("html body article main section div nav aside header footer form ul ol dl table blockquote td th li".split())
-#: Words of a class or id that mark what is not main text.
+#: Words of a class or id that mark what is not main text. In a name of several words the last one counts, or the first if all
+#: others are words of layout; a name that begins with one of _ABOUT tells whether something is there.
 _MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr "
     "header masthead menu menus modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promoted promotion "
     "related reply replies respond share sharing sidebar social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+_LAYOUT = frozenset(
+    "area articles bar block blocks body bottom box button buttons column container content form group holder icons inner item items left link "
+    "links list main message outer page pages panel placeholder popup posts primary right row secondary section site slot small stories top unit "
+    "widget widgets wrap wrapper".split()
+)
+_ABOUT = frozenset("has no not with without".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 _SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
@@ -57,26 +66,38 @@ _SPACE = re.compile(r"\s+")
 _LESSER = 0x5DEECE66D5DEECE6
 
 
+def _marks(name: str, inside: bool) -> bool:
+    """Whether a class name or id is one of what is not main text; inside an article a header is its own."""
+    words = [w.lower() for w in _SPLIT.split(name) if w]
+    words = [w for w in words if not w.isdigit()]
+    if not words or words[0] in _ABOUT:
+        return False
+    marks = _MARKS - {"header"} if inside else _MARKS
+    return words[-1] in marks or words[0] in marks and all(w in _LAYOUT or w in _MARKS for w in words[1:])
+
+
 def _marked(name: str, attrs: str, inside: bool) -> bool:
-    """Whether class, id, role or style say that an element isn't main text; inside an article a header is its own."""
-    if name in ("html", "body", "article", "main"):
+    """Whether class, id, role or style say that an element isn't main text."""
+    if name in ("html", "body", "article", "main") or not attrs:
         return False
     for key, *values in _ATTR.findall(attrs):
         value, key = "".join(values), key.lower()
-        if key in ("class", "id"):
-            found = _MARKS.intersection(w.lower() for w in _SPLIT.split(value))
-            if found - {"header"} if inside else found:
-                return True
+        if key == "class" and any(_marks(c, inside) for c in value.split()) or key == "id" and _marks(value, inside):
+            return True
         if key == "role" and value.lower() in _ROLES or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
             return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", attrs))
+        if key == "hidden":
+            return True
+    return "hidden" in attrs and "hidden" in _ATTR.sub(" ", attrs).lower().split()
 
 
 class _Element:
-    __slots__ = ("name", "skip", "main", "of", "prose", "link", "digest", "id", "size", "linked")
+    __slots__ = ("name", "skip", "soft", "main", "of", "prose", "link", "digest", "id", "size", "linked", "full")
 
-    def __init__(self, name, skip, main, of, prose, link, id_):
+    def __init__(self, name, skip, soft, main, of, prose, link, id_):
         self.name, self.skip, self.main, self.of, self.prose, self.link, self.id, self.size, self.linked = name, skip, main, of, prose, link, id_, 0, 0
+        # the elements that alone are the reason to skip this one, None where there is a firm one; length of its whole text
+        self.soft, self.full = soft, 0
         self.digest = hashlib.blake2b(name.encode(), digest_size=8)
 
 
@@ -85,14 +106,19 @@ def parse(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
     return dissect(page)[:2]
 
 
-def dissect(page: str) -> tuple[list[tuple[str, list[int]]], list[int], int]:
+def dissect(page: str, kept: frozenset[int] = frozenset()) -> tuple[list[tuple[str, list[int]]], list[int], int]:
     """Blocks with the hashes of the containers around them, hashes of all containers that count, and a hash of the content.
 
     The page's main element is its longest article (else its longest `main`). What encloses it, or holds more than half of its
     text, is no template. Shorter articles (teasers) have hashes of their own: a text that is listed on many
     pages is not a template where it is the main element. The content is the text of the main element, else of the page.
+    Articles less than half as long as the main element are teasers and no main text. A form, header or marked element that
+    encloses the only main element of a page, or most of a page without one, counts for nothing: such elements are found on a first
+    look and `kept` (by number) on a second one.
     """
-    stack: list[_Element] = [_Element("#root", False, 0, 0, False, False, 0)]
+    stack: list[_Element] = [_Element("#root", False, (), 0, 0, False, False, 0)]
+    hidden: list[tuple[int, tuple[int, ...]]] = []  # length and reasons of the articles, else mains, that are skipped
+    fulls: dict[int, int] = {}  # length of the text in elements that may be kept
     hashes: list[int] = [0]  # by element number, 0 for elements that can't be a template
     parents, owners, sizes = [0], [0], [0]  # by element number; an owner is the article or main that an element is in
     blocks: list[tuple[str, tuple[int, ...], int, int]] = []  # text, element numbers around, kind of main: 0 none, 1 main, 2 article; owner
@@ -100,7 +126,7 @@ def dissect(page: str) -> tuple[list[tuple[str, list[int]]], list[int], int]:
 
     def flush() -> None:
         if buffer:
-            text = _SPACE.sub(" ", html.unescape("".join(buffer))).strip()
+            text = _SPACE.sub(" ", "".join(buffer)).strip()
             buffer.clear()
             if text:
                 blocks.append((text, tuple(e.id for e in stack), stack[-1].main, stack[-1].of))
@@ -110,7 +136,12 @@ def dissect(page: str) -> tuple[list[tuple[str, list[int]]], list[int], int]:
         value = int.from_bytes(e.digest.digest(), "big") >> 1
         stack[-1].digest.update(value.to_bytes(8, "big"))
         stack[-1].size += e.size
+        stack[-1].full += e.full
         stack[-1].linked += e.linked
+        if e.soft:
+            fulls[e.id] = e.full
+            if e.name in ("article", "main"):
+                hidden.append((e.full, e.soft))
         sizes[e.id] = e.size
         if e.main and not e.skip:
             able = not e.prose and (e.name in _SECTIONS or e.name in _LISTS and 2 * e.linked > e.size)
@@ -123,9 +154,11 @@ def dissect(page: str) -> tuple[list[tuple[str, list[int]]], list[int], int]:
         top = stack[-1]
         line = _SPACE.sub(" ", part)
         top.digest.update(line.encode("utf-8", "surrogatepass"))
+        n = len(line.strip())
+        if top.soft is not None:
+            top.full += n
         if not top.skip:
-            buffer.append(part)
-            n = len(line.strip())
+            buffer.append(html.unescape(part) if "&" in part else part)
             top.size += n
             if top.link:
                 top.linked += n
@@ -166,7 +199,13 @@ def dissect(page: str) -> tuple[list[tuple[str, list[int]]], list[int], int]:
             parent = stack[-1]
             kind = 2 if name == "article" else 1 if name == "main" else 0
             # the outermost article counts: comments are often articles inside of it
-            skip = parent.skip or name in _NEVER and not (name == "header" and parent.main) or name == "article" and parent.main == 2 or _marked(name, attrs, parent.main > 0)
+            number, soft = len(hashes), parent.soft
+            firm = name in _NEVER and name not in _SOFT or name == "article" and parent.main == 2
+            skip = parent.skip or firm
+            if soft is None or firm:
+                soft = None
+            elif number not in kept and (name in _SOFT and not (name == "header" and parent.main) or _marked(name, attrs, parent.main > 0)):
+                soft, skip = (*soft, number), True
             if attrs.rstrip().endswith("/") and name in _RAW:
                 continue
             of = len(hashes) if kind > parent.main else parent.of
@@ -175,7 +214,7 @@ def dissect(page: str) -> tuple[list[tuple[str, list[int]]], list[int], int]:
             sizes.append(0)
             hashes.append(0)
             prose = of > 0 and of == parent.of and (parent.prose or name in _PROSE)
-            stack.append(_Element(name, skip, max(parent.main, kind), of, prose, parent.link or name == "a", len(hashes) - 1))
+            stack.append(_Element(name, skip, soft, max(parent.main, kind), of, prose, parent.link or name == "a", len(hashes) - 1))
             if name in _OPAQUE:
                 end = _ENDS[name].search(page, at)
                 at = end.start() if end else len(page)
@@ -193,8 +232,14 @@ def dissect(page: str) -> tuple[list[tuple[str, list[int]]], list[int], int]:
     while len(stack) > 1:
         close()
     best = max((b[2] for b in blocks), default=0)
+    if not best and not kept:
+        root = stack[0]
+        reasons = max(hidden, default=(0, ()))[1] if any(n for n, _ in hidden) else tuple(i for i, n in fulls.items() if 2 * n > root.full)
+        if reasons:
+            return dissect(page, frozenset(reasons))
     found = [b for b in blocks if b[2] == best]
     chosen = max(sorted({b[3] for b in found}), key=lambda i: sizes[i], default=0)
+    found = [b for b in found if b[3] == chosen or 2 * sizes[b[3]] >= sizes[chosen]]
     if chosen:
         for i, of in enumerate(owners):
             if of == chosen:

@@ -45,6 +45,56 @@ def test_main_text(page, text):
     assert "\n".join(t for t, _ in blocks) == text
 
 
+ARTICLE = "<article><h1>Own</h1><p>A story that goes on for a while.</p></article>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<form id=aspnetForm><nav>Menu</nav>{ARTICLE}<footer>end</footer></form>",
+    f'<div class="content no-sidebar"><div class=sidebar>side</div>{ARTICLE}</div>',
+    f'<div id="related-work">{ARTICLE}</div>', f'<section id="social-policy">{ARTICLE}</section>',
+    f'<div class="overflow hidden md:block">{ARTICLE}</div>',
+    f'<div title="the hidden truth">{ARTICLE}</div>', f'<div class="page menu">{ARTICLE}</div><div class="sidebar">much longer text beside it, on and on and on and on</div>',
+    '<article class=x><div class="entry has-comments"><h1>Own</h1><p>A story that goes on for a while.</p></div></article>',
+    f"{ARTICLE}<div><article><p>Teaser</p></article><article><p>One more</p></article></div>",
+    '<form id=all><div class="nav">Menu</div><h1>Own</h1><p>A story that goes on for a while.</p></form>',
+    f'{ARTICLE}<div id="comments"><article><p>A comment that is longer than the story, written by someone else entirely.</p></article></div>',
+    f'<header class="site-header">Site</header><div class="ad-slot-3">Buy</div>{ARTICLE}<p hidden>no</p><div HIDDEN="">no</div>',
+])
+def test_what_encloses_the_article_does_not_hide_it(page):
+    assert "\n".join(t for t, _ in html_main.parse(page)[0]) == "Own\nA story that goes on for a while."
+
+
+def test_references_end_at_tags():
+    assert html_main.parse("<p>&<i>amp;</i> &lt;b&gt; &am<b>p;</b></p>")[0][0][0] == "&amp; <b> &amp;"
+
+
+def test_templates_equal_a_count_over_all_pages(spark):
+    """Random pages of two hosts; which containers go is counted anew from the pages' parts."""
+    import collections
+    import random
+
+    draw = random.Random(11)
+    parts = [f"Part {i} of the site" for i in range(14)]
+    pages = []
+    for i in range(60):
+        host = draw.choice(["a.example", "b.example"])
+        chosen = draw.sample(range(14), 5) if host == "a.example" else draw.choices(range(14), weights=[9] * 3 + [1] * 11, k=4)
+        own = f"Story {i if i % 10 else 0}"
+        pages.append((i, host, own, list(dict.fromkeys(chosen))))
+    html = lambda own, chosen: "".join(f"<div>{parts[c]}</div>" for c in chosen) + f"<div><p>{own}</p><p>{own} ends with a longer text than all its parts have together, as pages do, on and on and on and on</p></div>"
+    rows = [(i, f"http://{host}/{i}", html(own, chosen)) for i, host, own, chosen in pages]
+    contents = {h: {(own, tuple(c)) for _, host, own, c in pages if host == h} for h in ("a.example", "b.example")}
+    n = {h: collections.Counter(c for _, chosen in contents[h] for c in chosen) for h in contents}
+    got = {r.page_id: r.text.split("\n") for r in html_main.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, host, own, chosen in pages:
+        kept = [parts[c] for c in chosen if not (n[host][c] >= 3 and n[host][c] >= 0.3 * len(contents[host]))]
+        assert got[i][: len(kept)] == kept and len(got[i]) == len(kept) + 2, (i, host, chosen)
+
+
+def test_no_pages(spark):
+    assert html_main.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
 def test_letters_that_grow_in_lower_case_move_no_end():
     page = "<article><p>İİİİİİİİİİİİ</p><SCRIPT>if (a < b) {}</Script><p>rest</p><style>p{}</STYLE><p>end</p></article>"
     assert [t for t, _ in html_main.parse(page)[0]] == ["İİİİİİİİİİİİ", "rest", "end"]
