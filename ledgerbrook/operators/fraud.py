@@ -17,6 +17,9 @@ the join in step 4.
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,6 +67,42 @@ def calculate_fraud_score(df: DataFrame, settings: FraudSettings = DEFAULTS) ->
 
 _TOTAL = "decimal(28,2)"
 
+
+# ---- mergeable history ---------------------------------------------------------
+
+
+def account_days(transactions: DataFrame) -> DataFrame:
+    """What later days need to know of a day: per account its rows, and count, sum and first instant of its amounts."""
+    known = F.col("amount").isNotNull()
+    return (
+        timed(transactions).withColumn("tx_date", F.to_date("transaction_timestamp"))
+        .where(F.col("account_id").isNotNull() & F.col("tx_date").isNotNull())
+        .groupBy("account_id", "tx_date")
+        .agg(F.count("*").alias("day_count"), F.count_if(known).alias("n"),
+             F.sum("amount").cast(_TOTAL).alias("total"), F.min(F.when(known, F.col("at"))).alias("first_at"))
+    )
+
+
+def merged_totals(parts: DataFrame, key: str) -> DataFrame:
+    """Totals per key from totals of disjoint times: counts and sums add, the first instant is the earliest."""
+    return parts.groupBy(key).agg(
+        F.sum("n").alias("n"), F.sum("total").cast(_TOTAL).alias("total"), F.min("first_at").alias("first_at")
+    )
+
+
+@dataclass(frozen=True)
+class History:
+    """What rules need of the time before the day `since`, so that only rows from that day on are scored.
+
+    `totals` are the merged totals per party_id of all earlier days, `days` the account_days from the frequency look-back
+    before `since` on. The transactions that go with it reach back one day before `since`, which covers
+    the look-backs in minutes.
+    """
+
+    since: dt.date
+    totals: DataFrame
+    days: DataFrame
+
 # ---- window rules ------------------------------------------------------------
 
 
@@ -148,8 +187,8 @@ def recent_activity(transactions: DataFrame, settings: FraudSettings = DEFAULTS)
     ).distinct()
 
 
-def history_before(transactions: DataFrame, party: str) -> DataFrame:
-    """Totals of each (party, instant) over strictly earlier instants.
+def history_before(transactions: DataFrame, party: str, carried: DataFrame | None = None) -> DataFrame:
+    """Totals of each (party, instant) over strictly earlier instants; `carried` are those before all transactions given.
 
     Columns: `at`, `largest` (largest amount at the instant), `prior_count`,
     `prior_amount`, `first_at`. Running totals are carried from days to hours to instants: each level
@@ -169,11 +208,12 @@ def history_before(transactions: DataFrame, party: str) -> DataFrame:
         return rows.groupBy(party, *keys).agg(
             F.sum("n").alias("n"), F.sum("total").cast(_TOTAL).alias("total"), F.min("first").alias("first"))
 
-    def before(rows: DataFrame, part: list[str], order: str, start: DataFrame | None = None) -> DataFrame:
+    def before(rows: DataFrame, part: list[str], order: str, start: DataFrame | None = None, place: Column | None = None) -> DataFrame:
         """Totals before each row of a part, `start` giving those before its first row."""
         rows = rows.withColumn("real", F.lit(True))
         if start is not None:
-            first = start.select(*part, (F.col(part[-1]) - 1).alias(order), F.col("prior_count").alias("n"),
+            at = F.col(part[-1]) - 1 if place is None else place
+            first = start.select(*part, at.alias(order), F.col("prior_count").alias("n"),
                                  F.col("prior_amount").alias("total"), F.col("first_at").alias("first"), F.lit(False).alias("real"))
             rows = rows.unionByName(first, allowMissingColumns=True)
         earlier = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -184,7 +224,9 @@ def history_before(transactions: DataFrame, party: str) -> DataFrame:
         }).where("real")
 
     hours = gathered(points, "day", "hour")
-    days = before(gathered(hours, "day"), [party], "day")
+    if carried is not None:
+        carried = carried.select(party, F.col("n").alias("prior_count"), F.col("total").alias("prior_amount"), "first_at")
+    days = before(gathered(hours, "day"), [party], "day", carried, F.lit(-(1 << 62)))
     hours = before(hours, [party, "day"], "hour", days)
     return before(points.drop("day"), [party, "hour"], "at", hours).select(
         party, "at", "largest", "prior_count", "prior_amount", "first_at")
@@ -196,11 +238,11 @@ def _is_large(amount: str, settings: FraudSettings) -> Column:
 
 
 def large_instants(transactions: DataFrame, settings: FraudSettings = DEFAULTS,
-                   party: str = "account_id") -> DataFrame:
+                   party: str = "account_id", carried: DataFrame | None = None) -> DataFrame:
     """Instants at which some amount exceeds the multiple of the party's earlier average."""
     old_enough = F.col("at") - F.col("first_at") >= settings.large_history_days * fx.DAY
     return (
-        history_before(transactions, party)
+        history_before(transactions, party, carried)
         .where((F.col("prior_count") > 0) & old_enough & _is_large("largest", settings))
         .select(party, "at", "prior_count", "prior_amount")
     )
@@ -209,11 +251,15 @@ def large_instants(transactions: DataFrame, settings: FraudSettings = DEFAULTS,
 def busy_days(transactions: DataFrame, settings: FraudSettings = DEFAULTS) -> DataFrame:
     """(account, day) pairs with more transactions than the multiple of the average
     over the active days among the days before."""
-    per_day = (
+    return busy_among(
         transactions.withColumn("tx_date", F.to_date("transaction_timestamp"))
         .where(F.col("account_id").isNotNull() & F.col("tx_date").isNotNull())
-        .groupBy("account_id", "tx_date").agg(F.count("*").alias("day_count"))
+        .groupBy("account_id", "tx_date").agg(F.count("*").alias("day_count")), settings
     )
+
+
+def busy_among(per_day: DataFrame, settings: FraudSettings = DEFAULTS) -> DataFrame:
+    """The same from counts per account and day."""
     before = Window.partitionBy("account_id").orderBy(F.unix_date("tx_date")).rangeBetween(
         -settings.frequency_days, -1
     )
@@ -276,16 +322,20 @@ def rule_flag(rule: str) -> str:
     return f"is_{rule.lower()}"
 
 
-def evaluate_rules(transactions: DataFrame, settings: FraudSettings = DEFAULTS) -> DataFrame:
-    """One boolean per window rule; every transaction stays."""
+def evaluate_rules(transactions: DataFrame, settings: FraudSettings = DEFAULTS, history: History | None = None) -> DataFrame:
+    """One boolean per window rule; every transaction stays, or those from `history.since` on."""
     activity = recent_activity(transactions, settings).where(
         (F.col("recent_count") >= settings.velocity_count)
         | (F.col("recent_failed") >= settings.failed_count)
         | F.col("city_changed")
     )
     tx = timed(party_of(transactions)).withColumn("tx_date", F.to_date("transaction_timestamp"))
-    large = large_instants(tx, settings, "party_id")
-    busy = busy_days(transactions, settings).select("account_id", "tx_date", "day_count")
+    if history is None:
+        large, busy = large_instants(tx, settings, "party_id"), busy_days(transactions, settings)
+    else:
+        tx = tx.where(F.col("tx_date") >= F.lit(history.since))
+        large, busy = large_instants(tx, settings, "party_id", history.totals), busy_among(history.days, settings)
+    busy = busy.select("account_id", "tx_date", "day_count")
     joined = lookup(tx, activity, ["account_id", "at"], keyed=False)
     joined = lookup(joined, large, ["party_id", "at"], keyed=False)
     joined = lookup(joined, busy, ["account_id", "tx_date"], keyed=False)

@@ -218,8 +218,9 @@ def load_transactions(spark: SparkSession, this: Run, raw: DataFrame) -> dict:
     dated = warehouse.fact_as_of(good, *(state.read_published(spark, root, t) for t in ("dim_account", "dim_customer")), before_first=True)
     fact = fraud.calculate_fraud_score(fraud.apply_rules(dated, settings.fraud), settings.fraud)
     days = merge_fact(spark, this, warehouse.loaded(fact, this.run_id, this.as_of))
-    refresh_alerts(spark, this, good, owners(accounts, customers))
-    refresh_summaries(spark, this, days, accounts, customers, merchants)
+    if days:
+        refresh_alerts(spark, this, good, owners(accounts, customers), days)
+        refresh_summaries(spark, this, days, accounts, customers, merchants)
 
     target = read_fact(spark, root, days).where(F.col("pipeline_run_id") == this.run_id)
     verdict = analytics.reconcile(source, target, left_out, "transactions")
@@ -255,6 +256,8 @@ def merge_fact(spark: SparkSession, this: Run, incoming: DataFrame) -> list[int]
     incoming = spark.read.parquet(landing)
     new = incoming.select(day_number().cast("int").alias("day"))
     days = sorted(r["day"] for r in new.unionByName(facts.days_of(spark, root, incoming, key)).distinct().collect())
+    if not days:
+        return days
     facts.index_days(incoming, root, key)
     facts.replace_days(warehouse.upsert(read_fact(spark, root, days), incoming, key), root, days, this.run_id)
     return days
@@ -268,33 +271,50 @@ def owners(accounts: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def refresh_alerts(spark: SparkSession, this: Run, batch: DataFrame, mapping: DataFrame) -> None:
-    """Score again all accounts of the parties in the batch and republish their alerts.
+def refresh_alerts(spark: SparkSession, this: Run, batch: DataFrame, mapping: DataFrame, days: list[int]) -> None:
+    """Score the accounts of the parties in the batch again from the first touched day on, and republish the alerts.
 
-    `mapping` gives the party of each account.
-
-    A late row changes the flags of later rows, and a customer's average spans
-    their accounts; so the whole history of a touched party is scored.
+    `mapping` gives the party of each account. A late row changes the flags of later rows, and a customer's average spans
+    their accounts; earlier days keep their alerts. What the rules need of the earlier time comes from totals per account
+    and day, so the fact table is read from the day before the first touched one on.
     """
     root, settings = this.root, this.settings.fraud
+    facts.add_account_days(spark, root, days, this.run_id)
     seen = lookup(batch.select("account_id").distinct(), mapping, "account_id").select(
         "account_id", F.coalesce("party_id", "account_id").alias("party_id")
     )
     touched = lookup(mapping, seen.select("party_id").distinct(), "party_id", "left_semi")
-    touched = touched.unionByName(seen).distinct()
-    # The rules read the history several times, so it is written once.
+    # The rules and the histories read it several times, so it is written once.
+    path = f"{root}/processed/touched/run_id={this.run_id}"
+    lake.write_files(touched.unionByName(seen).distinct(), path)
+    touched = spark.read.parquet(path)
+
+    first = dt.datetime.strptime(str(min(days)), "%Y%m%d").date()
+    number = lambda d: d.year * 10000 + d.month * 100 + d.day
+    recent = facts.read_days(spark, root, facts.FACTS, FACT, F.col("day") >= number(first - dt.timedelta(days=1)))
+    totals = lookup(facts.totals_before(spark, root, min(days), this.run_id), touched, "account_id", "inner")
+    counted = facts.read_account_days(spark, root, number(first - dt.timedelta(days=settings.frequency_days)))
+    history = fraud.History(
+        first, fraud.merged_totals(totals, "party_id"), lookup(counted, touched, "account_id", "left_semi").select("account_id", "tx_date", "day_count")
+    )
     path = f"{root}/processed/history/run_id={this.run_id}"
-    lake.write_files(lookup(read_fact(spark, root), touched, "account_id", "inner"), path)
-    scored = fraud.score_rules(fraud.evaluate_rules(spark.read.parquet(path), settings), settings)
+    lake.write_files(lookup(recent, touched, "account_id", "inner"), path)
+    scored = fraud.score_rules(fraud.evaluate_rules(spark.read.parquet(path), settings, history), settings)
     rows = fraud.fired(scored).select(
         "transaction_id", "account_id", "amount", "transaction_timestamp", "rule", "risk_score", "severity",
     )
     old = state.read_published(spark, root, "fraud_alerts", not_by=this.run_id)
     if old is not None:
-        kept = lookup(old.drop("alert_rank"), touched.select("account_id"), "account_id", "left_anti")
+        again = touched.select("account_id", F.lit(True).alias("again"))
+        kept = lookup(old.drop("alert_rank"), again, "account_id").where(
+            F.col("again").isNull() | (F.to_date("transaction_timestamp") < F.lit(first))
+        ).drop("again")
         kept = lookup(kept, batch.select("transaction_id"), "transaction_id", "left_anti")
         rows = kept.unionByName(rows)
-    state.publish(fraud.prioritized(rows), root, "fraud_alerts", this.run_id)
+    # alerts are ranked by their counts per score: written first, so that the rules run once
+    path = f"{root}/processed/alerts/run_id={this.run_id}"
+    lake.write_files(rows, path)
+    state.publish(fraud.prioritized(spark.read.parquet(path)), root, "fraud_alerts", this.run_id)
 
 
 def refresh_summaries(spark: SparkSession, this: Run, days: list[int], accounts: DataFrame,

@@ -86,6 +86,12 @@ FACT = (
     .add("day", "integer")
 )
 
+_PARTITIONS = (("year", "integer"), ("month", "integer"), ("day", "integer"))
+_TOTALS = (("n", "long"), ("total", "decimal(28,2)"), ("first_at", "long"))
+ACCOUNT_DAY, ACCOUNT_TOTAL = StructType().add("account_id", "string").add("tx_date", "date").add("day_count", "long"), StructType().add("account_id", "string")
+for _name, _kind in (*_TOTALS, *_PARTITIONS):
+    ACCOUNT_DAY, ACCOUNT_TOTAL = ACCOUNT_DAY.add(_name, _kind), ACCOUNT_TOTAL.add(_name, _kind)
+
 # ---- run state -----------------------------------------------------------------
 
 STATE = {
@@ -141,7 +147,8 @@ STATE = {
     .add("amount_status", "string")
     .add("overall_status", "string")
     .add("run_timestamp", "timestamp"),
-    "fact_days": StructType()
+    "days_in_force": StructType()
+    .add("dataset", "string")
     .add("day", "integer")
     .add("version", "string")
     .add("records", "long")

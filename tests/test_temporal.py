@@ -170,9 +170,9 @@ def test_days_are_replaced_as_a_whole(spark, tmp_path):
     assert held(facts.read_fact(spark, root)) == [("a", 20240102), ("b", 20240102)]
     assert held(facts.read_fact(spark, root, [20240101])) == []
     # files of a merge that failed before its entry are not seen
-    fact_rows(spark, [("z", 20240102, 9)]).write.partitionBy(*facts.DAY_PARTITIONS).parquet(f"{facts.fact_path(root)}/version=r3-dead")
+    fact_rows(spark, [("z", 20240102, 9)]).write.partitionBy(*facts.DAY_PARTITIONS).parquet(f"{facts.table_path(root, facts.FACTS)}/version=r3-dead")
     assert held(facts.read_fact(spark, root)) == [("a", 20240102), ("b", 20240102)]
-    assert len(state.read_state(spark, root, "fact_days").inputFiles()) == 2
+    assert len(state.read_state(spark, root, "days_in_force").inputFiles()) == 2
 
 
 def test_the_index_names_the_days_without_opening_the_fact(spark, tmp_path):
