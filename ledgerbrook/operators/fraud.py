@@ -187,6 +187,56 @@ def recent_activity(transactions: DataFrame, settings: FraudSettings = DEFAULTS)
     ).distinct()
 
 
+EARTH_KM = 6371.0
+
+
+def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    """Great-circle distance by the haversine formula; NULL where a coordinate is."""
+    half = lambda a, b: F.pow(F.sin((F.radians(b) - F.radians(a)) / 2), F.lit(2))
+    chord = half(lat1, lat2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half(lon1, lon2)
+    return F.asin(F.sqrt(F.least(chord, F.lit(1.0)))) * (2 * EARTH_KM)
+
+
+def far_apart(transactions: DataFrame, city_geo: DataFrame, settings: FraudSettings = DEFAULTS) -> DataFrame:
+    """(account, instant) pairs whose location window holds two cities at least `location_km` apart.
+
+    `city_geo` has city, lat and lon, one row per city; a city without coordinates is far from none. Of an account's slice the
+    distinct cities are compared, never its points: every point then marks the timelines of the cities far from its own that
+    the slice holds, and a running maximum gives each point the newest mark before it. So the cost grows with the points times the
+    cities of a slice that are far from one another. A window is flagged where the newest such mark lies inside it.
+    """
+    location = settings.location_minutes * fx.MINUTE
+    width = settings.slice_minutes * fx.MINUTE if settings.slice_minutes else location
+    at = F.col("at")
+    points = (
+        timed(transactions).where(F.col("account_id").isNotNull() & at.isNotNull())
+        .select("account_id", "at", F.col("location").alias("city")).distinct()
+    )
+    slices = F.sequence(fx.floor_to(at, width), fx.floor_to(at + location, width), F.lit(width).cast("bigint"))
+    everywhere = points.withColumn("slice", F.explode(slices))
+    sliced = everywhere.where("city is not null")
+    key = ["account_id", "slice"]
+    known = city_geo.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("city", "lat", "lon")
+    held = lookup(sliced.select(*key, "city").distinct(), known, "city", "inner")
+    other = held.select(*key, *[F.col(c).alias(f"other_{c}") for c in ("city", "lat", "lon")])
+    apart = distance_km(F.col("lat"), F.col("lon"), F.col("other_lat"), F.col("other_lon")) >= settings.location_km
+    far = held.join(other, key).where((F.col("city") != F.col("other_city")) & apart).select(*key, "other_city", "city")
+    marks = sliced.withColumnRenamed("city", "other_city").join(far, [*key, "other_city"]).select(
+        *key, "city", "at", F.col("at").alias("mark"), F.lit(False).alias("real"))
+    seen = sliced.join(far.select(*key, "city").distinct(), [*key, "city"], "left_semi").select(
+        *key, "city", "at", F.lit(None).cast("bigint").alias("mark"), F.lit(True).alias("real"))
+    timeline = Window.partitionBy(*key, "city").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    changes = seen.unionByName(marks).withColumn("changed_at", F.max("mark").over(timeline)).where("real and changed_at is not null")
+    latest = changes.groupBy(*key, "at").agg(F.max("changed_at").alias("changed_at"))
+    # points of other or unknown cities lie in the same windows: they join the timeline of their slice
+    instants = everywhere.select(*key, "at").distinct().withColumn("changed_at", F.lit(None).cast("bigint"))
+    hits = latest.select(*key).distinct()
+    line = latest.unionByName(lookup(instants, hits, key, "left_semi"))
+    whole = Window.partitionBy(*key).orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    flagged = line.withColumn("last_change", F.max("changed_at").over(whole))
+    return flagged.where((at >= F.col("slice")) & (F.col("last_change") >= at - location)).select("account_id", "at").distinct()
+
+
 def history_before(transactions: DataFrame, party: str, carried: DataFrame | None = None) -> DataFrame:
     """Totals of each (party, instant) over strictly earlier instants; `carried` are those before all transactions given.
 
@@ -288,9 +338,9 @@ def high_velocity(transactions: DataFrame, settings: FraudSettings = DEFAULTS) -
     return lookup(timed(transactions), hits.select("account_id", "at", "recent_count"), ["account_id", "at"], "inner", keyed=False)
 
 
-def impossible_location(transactions: DataFrame, settings: FraudSettings = DEFAULTS) -> DataFrame:
-    """Transactions whose trailing window holds two different cities."""
-    hits = recent_activity(transactions, settings).where("city_changed")
+def impossible_location(transactions: DataFrame, settings: FraudSettings = DEFAULTS, city_geo: DataFrame | None = None) -> DataFrame:
+    """Transactions whose trailing window holds two different cities, or with `city_geo` two that are `location_km` apart."""
+    hits = recent_activity(transactions, settings).where("city_changed") if city_geo is None else far_apart(transactions, city_geo, settings)
     return lookup(timed(transactions), hits.select("account_id", "at"), ["account_id", "at"], "left_semi", keyed=False)
 
 
@@ -322,9 +372,17 @@ def rule_flag(rule: str) -> str:
     return f"is_{rule.lower()}"
 
 
-def evaluate_rules(transactions: DataFrame, settings: FraudSettings = DEFAULTS, history: History | None = None) -> DataFrame:
-    """One boolean per window rule; every transaction stays, or those from `history.since` on."""
-    activity = recent_activity(transactions, settings).where(
+def evaluate_rules(transactions: DataFrame, settings: FraudSettings = DEFAULTS, history: History | None = None,
+                   city_geo: DataFrame | None = None) -> DataFrame:
+    """One boolean per window rule; every transaction stays, or those from `history.since` on.
+
+    With `city_geo` the rule on locations asks for a distance (`far_apart`).
+    """
+    activity = recent_activity(transactions, settings)
+    if city_geo is not None:
+        apart = far_apart(transactions, city_geo, settings).withColumn("apart", F.lit(True))
+        activity = activity.join(apart, ["account_id", "at"], "left").withColumn("city_changed", fx.holds(F.col("apart"))).drop("apart")
+    activity = activity.where(
         (F.col("recent_count") >= settings.velocity_count)
         | (F.col("recent_failed") >= settings.failed_count)
         | F.col("city_changed")

@@ -6,7 +6,7 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerbrook.functions import columns as fx
@@ -185,6 +185,27 @@ def results(evaluated: DataFrame, rules: list[Rule], dataset: str, warn_from: fl
     return _with_status(counts.select(F.inline(rows)), dataset, warn_from)
 
 
+def observed(evaluated: DataFrame, rules: list[Rule], **more: Column) -> tuple[DataFrame, Observation]:
+    """The evaluated rows with counts that any job which writes them collects on the way: all rows, the rejected ones, those
+    that fail each rule, and `more` aggregates."""
+    seen = Observation()
+    counts = [F.count_if(F.array_contains("failed_rules", r.name)).alias(f"f{i}") for i, r in enumerate(rules)]
+    rejected_rows = F.count_if(is_rejected(rules)).alias("rejected")
+    named = [c.alias(name) for name, c in more.items()]
+    return evaluated.observe(seen, F.count("*").alias("total"), rejected_rows, *counts, *named), seen
+
+
+def results_of(spark: SparkSession, metrics: dict, rules: list[Rule], dataset: str, warn_from: float = 95.0) -> DataFrame:
+    """The same rows as `results`, from the observed counts."""
+    total = metrics["total"]
+    rows = [
+        (r.name, r.check_type, ",".join(r.columns), total, total - metrics[f"f{i}"], metrics[f"f{i}"]) for i, r in enumerate(rules)
+    ]
+    counts = spark.createDataFrame(
+        rows, "check_name string, check_type string, columns string, total_records long, passed_records long, failed_records long")
+    return _with_status(counts, dataset, warn_from)
+
+
 def tally(df: DataFrame, rules: list[Rule], dataset: str, warn_from: float = 95.0) -> DataFrame:
     """The same rows as `results`, without judging every row by every rule.
 

@@ -443,6 +443,15 @@ from clean_tx t left join risky_merchants m on t.merchant_id = m.merchant_id""")
     "fraud_velocity": _with("rules", f"select {_HIT}, recent_count from rules where is_high_velocity"),
     "fraud_impossible_location": _with(
         "rules", f'select {_HIT}, "location" from rules where is_impossible_location'),
+    "fraud_distance": _with("tx_events", f"""
+, geo as (select concat('CITY-', cast(n_nationkey as varchar)) city, radians(10 + 2 * n_nationkey) lat, radians(3 * n_nationkey) lon
+          from nation where n_nationkey < 4),
+placed as (select account_id, us, lat, lon from tx_events join geo on "location" = city),
+pairs as (select distinct a.account_id, a.us first_us, b.us last_us from placed a join placed b
+          on a.account_id = b.account_id and a.us <= b.us and b.us - a.us <= 1800000000
+          where 2 * 6371 * asin(sqrt(pow(sin((b.lat - a.lat) / 2), 2) + cos(a.lat) * cos(b.lat) * pow(sin((b.lon - a.lon) / 2), 2))) >= 500)
+select {_HIT}, "location" from tx_events e
+where exists (select 1 from pairs p where p.account_id = e.account_id and p.last_us <= e.us and p.first_us >= e.us - 1800000000)"""),
     "fraud_large_tx": _with("rules", f"""
 select {_HIT}, prior_count, cast(cast(prior_amount as decimal(28,2)) as double) prior_amount
 from rules where is_large_transaction"""),

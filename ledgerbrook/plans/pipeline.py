@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerbrook.operators import analytics, cleansing, fraud, incremental, quality, temporal, warehouse
@@ -54,7 +54,7 @@ def run(spark: SparkSession, raw_dir: str, root: str, run_id: str, as_of: dt.dat
         stamped = lake.stamped(raw["transactions"], run_id, this.as_of)
         # a malformed stamp has no time to compare: the gate sees it as long as its file is read
         fresh = incremental.newer_or_late(stamped, since, settings.incremental)
-        return load_transactions(spark, this, fresh.unionByName(stamped.where("ingestion_timestamp is null")))
+        return load_transactions(spark, this, fresh.unionByName(stamped.where("ingestion_timestamp is null")), replay_set(spark, this))
 
     return recorded(spark, this, work)
 
@@ -93,8 +93,11 @@ def recorded(spark: SparkSession, this: Run, work) -> dict:
 DELIVERED = ("file_path", "raw_text", "defect")
 
 
-def _gate(this: Run, df: DataFrame, rules: list[quality.Rule], dataset: str, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Judge a dataset once, file its results and rejects; return (good rows, rejects, all rows).
+def _gate(this: Run, df: DataFrame, rules: list[quality.Rule], dataset: str, key: str) -> tuple[DataFrame, DataFrame, DataFrame, dict]:
+    """Judge a dataset once, file its results and rejects; return (good rows, rejects, all rows, counts).
+
+    The counts are observed while the rows are written: `total`, `rejected` and `f<i>` of the judged rows, `broken` of the
+    unreadable ones, `newest` ingestion time of the accepted ones. No job reads rows only to count them.
 
     The conformed rows are written before the rules read them, so raw text is parsed once and key rules read
     their columns only; the judged rows are written before they are used three times. Good rows hold
@@ -103,15 +106,18 @@ def _gate(this: Run, df: DataFrame, rules: list[quality.Rule], dataset: str, key
     """
     spark = df.sparkSession
     conformed = f"{this.root}/processed/conformed/{dataset}/run_id={this.run_id}"
-    df.write.mode("overwrite").parquet(conformed)
+    landing = Observation()
+    broken_rows = F.count_if(F.col("defect").isNotNull()) if "defect" in df.columns else F.sum(F.lit(0).cast("bigint"))
+    df.observe(landing, F.count("*").alias("landed"), broken_rows.alias("broken")).write.mode("overwrite").parquet(conformed)
     landed = spark.read.schema(df.schema).parquet(conformed)
     broken = landed.where("defect is not null") if "defect" in df.columns else None
     readable = landed if broken is None else landed.where("defect is null")
     path = f"{this.root}/processed/checked/{dataset}/run_id={this.run_id}"
-    quality.evaluate(readable.drop(*DELIVERED), rules).write.mode("overwrite").parquet(path)
+    judged, seen = quality.observed(quality.evaluate(readable.drop(*DELIVERED), rules), rules)
+    judged.write.mode("overwrite").parquet(path)
     checked = spark.read.parquet(path)
 
-    results = quality.results(checked, rules, dataset, this.settings.quality.warn_from)
+    results = quality.results_of(spark, seen.get, rules, dataset, this.settings.quality.warn_from)
     state.write_run(
         results.withColumn("details", F.to_json(F.struct("columns"))).withColumn("checked_at", F.lit(this.as_of)),
         this.root, "quality_results", this.run_id, dataset,
@@ -130,7 +136,10 @@ def _gate(this: Run, df: DataFrame, rules: list[quality.Rule], dataset: str, key
         quality.quarantined(rejects, dataset, this.run_id, this.as_of),
         this.root, "rejected_records", this.run_id, dataset,
     )
-    lake.write_files(latest_per_key(passed, key), f"{this.root}/processed/{dataset}/run_id={this.run_id}")
+    accepted, chosen = latest_per_key(passed, key), Observation()
+    newest = F.max("ingestion_timestamp" if "ingestion_timestamp" in accepted.columns else F.lit(None))
+    accepted = accepted.observe(chosen, F.count("*").alias("accepted"), newest.cast("string").alias("newest"))
+    lake.write_files(accepted, f"{this.root}/processed/{dataset}/run_id={this.run_id}")
     good = spark.read.parquet(f"{this.root}/processed/{dataset}/run_id={this.run_id}")
     once = F.lit(1).cast("bigint").alias("copies")
     left_out = [checked.where(quality.is_rejected(rules)).drop("failed_rules").select("*", once), copies]
@@ -138,7 +147,8 @@ def _gate(this: Run, df: DataFrame, rules: list[quality.Rule], dataset: str, key
     if broken is not None:
         left_out.append(broken.drop(*DELIVERED).select("*", once))
         everything.append(broken.drop(*DELIVERED))
-    return good, lake.union_batches(left_out), lake.union_batches(everything)
+    counts = {"broken": 0} | {k: v or 0 for k, v in {**landing.get, **seen.get}.items()} | chosen.get
+    return good, lake.union_batches(left_out), lake.union_batches(everything), counts
 
 
 # ---- dimensions ------------------------------------------------------------------------
@@ -203,14 +213,51 @@ def active(spark: SparkSession, root: str, table: str) -> DataFrame:
 # ---- transactions ----------------------------------------------------------------------
 
 
-def load_transactions(spark: SparkSession, this: Run, raw: DataFrame) -> dict:
-    """Take in a batch of raw transactions, which may hold rows loaded before."""
+def replay_set(spark: SparkSession, this: Run) -> DataFrame:
+    """Transactions quarantined for an account that this run has brought: rejection_id and the raw columns, from their raw_data.
+
+    Rejections that another run has taken up are left out, so each is judged again once; a repeated run takes the same ones.
+    """
+    root = this.root
+    log = state.read_state(spark, root, "rejected_records").where(
+        (F.col("dataset") == "transactions") & (F.col("failed_rule") == "REFERENTIAL_account_id") & (F.col("run_id") != this.run_id))
+    taken = state.read_state(spark, root, "resolutions").where(F.col("run_id") != this.run_id).select("rejection_id").distinct()
+    accounts, before = active(spark, root, "dim_account"), state.read_published(spark, root, "dim_account", not_by=this.run_id)
+    new = accounts.select("account_id")
+    if before is not None:
+        new = lookup(new, before.select("account_id").distinct(), "account_id", "left_anti")
+    stored = [f"{c} string" for c in RAW["transactions"].names if c != "timestamp"] + ["transaction_timestamp string"]
+    rows = lookup(log, taken, "rejection_id", "left_anti").select("rejection_id", F.from_json("raw_data", ", ".join(stored)).alias("r"))
+    rows = rows.select("rejection_id", "r.*").withColumnRenamed("transaction_timestamp", "timestamp")
+    path = f"{root}/processed/replay/run_id={this.run_id}"
+    lake.write_files(lookup(rows, new, "account_id", "left_semi"), path)
+    return spark.read.parquet(path)
+
+
+def _resolve(this: Run, replay: DataFrame, good: DataFrame) -> None:
+    """File what became of rejections that were judged again."""
+    loaded = good.select("transaction_id", F.lit("LOADED").alias("loaded"))
+    told = lookup(replay.select("rejection_id", "transaction_id"), loaded, "transaction_id").select(
+        "rejection_id", F.col("transaction_id").alias("record_id"), F.coalesce("loaded", F.lit("REJECTED_AGAIN")).alias("outcome"),
+        F.lit(this.as_of).alias("resolved_at"),
+    )
+    state.write_run(told, this.root, "resolutions", this.run_id, "transactions")
+
+
+def load_transactions(spark: SparkSession, this: Run, raw: DataFrame, replay: DataFrame | None = None) -> dict:
+    """Take in a batch of raw transactions, which may hold rows loaded before.
+
+    `replay` are quarantined ones (`replay_set`) to be judged again with it.
+    """
+    if replay is not None:
+        again = replay.drop("rejection_id").distinct()
+        raw = raw.unionByName(lake.stamped(again, this.run_id, this.as_of), allowMissingColumns=True)
     settings, root = this.settings, this.root
     accounts, customers, merchants = (
         active(spark, root, name) for name in ("dim_account", "dim_customer", "dim_merchant")
     )
     rules = quality.transaction_rules(settings.quality, accounts, this.as_of, landed=True)
-    good, left_out, source = _gate(
+    good, left_out, source, counts = _gate(
         this, cleansing.conform_transactions(raw), rules,
         "transactions", settings.incremental.dedup_key,
     )
@@ -228,16 +275,16 @@ def load_transactions(spark: SparkSession, this: Run, raw: DataFrame) -> dict:
                     root, "reconciliation_results", this.run_id, "transactions")
     outcome = state.read_state(spark, root, "reconciliation_results").where(F.col("run_id") == this.run_id).first()
     # only accepted rows move the watermark, and the gate accepts none from after the run
-    known = state.get_last_watermark(spark, root, "transactions")
-    newest = incremental.next_watermark(good, known, settings.incremental).first()["last_processed"]
-    if newest > dt.datetime.fromisoformat(known):
+    known = dt.datetime.fromisoformat(state.get_last_watermark(spark, root, "transactions"))
+    newest = dt.datetime.fromisoformat(counts["newest"]) if counts["newest"] else known
+    if newest > known:
         state.update_watermark(spark, root, "transactions", newest, this.run_id)
-    # rows that could not be read were not judged by rules, but they count
-    failed = source.where(F.col("failed_rules").isNull() | quality.is_rejected(rules)).count()
+    if replay is not None:
+        _resolve(this, replay, good)
     return {
         "records_read": outcome["source_count"],
         # what was judged by itself: all rows but the copies that deduplication left out
-        "records_processed": outcome["target_count"] + failed,
+        "records_processed": outcome["target_count"] + counts["rejected"] + counts["broken"],
         "records_rejected": outcome["rejected_count"],
         "records_loaded": outcome["target_count"],
     }

@@ -335,6 +335,17 @@ def fraud_impossible_location(spark, d):
     return fraud.impossible_location(views.tx_events(spark, d), EVENT_RULES).select(*HIT, "location")
 
 
+def _city_geo(spark, d):
+    """Coordinates of four of the five cities of the events."""
+    return views.table(spark, d, "nation").where("n_nationkey < 4").selectExpr(
+        "concat('CITY-', n_nationkey) city", "cast(10 + 2 * n_nationkey as double) lat", "cast(3 * n_nationkey as double) lon")
+
+
+@query
+def fraud_distance(spark, d):
+    return fraud.impossible_location(views.tx_events(spark, d), EVENT_RULES, _city_geo(spark, d)).select(*HIT, "location")
+
+
 @query
 def fraud_large_tx(spark, d):
     return fraud.large_transaction(views.tx_events(spark, d), EVENT_RULES).select(*HIT, "prior_count", "prior_amount")

@@ -65,6 +65,8 @@ class FraudSettings:
     velocity_count: int = 5
     velocity_minutes: int = 10
     location_minutes: int = 30
+    # used where city coordinates are given; without them any two different cities count
+    location_km: float = 500.0
     large_multiplier: int = 10
     large_history_days: int = 30
     failed_count: int = 3

@@ -154,6 +154,13 @@ STATE = {
     .add("records", "long")
     .add("run_id", "string")
     .add("put_at", "timestamp"),
+    "resolutions": StructType()
+    .add("run_id", "string")
+    .add("dataset", "string")
+    .add("rejection_id", "string")
+    .add("record_id", "string")
+    .add("outcome", "string")
+    .add("resolved_at", "timestamp"),
     "snapshots": StructType()
     .add("dataset", "string")
     .add("run_id", "string")

@@ -15,9 +15,11 @@ COLUMNS = HEADERS["transactions"].split(",")
 
 @pytest.fixture(autouse=True)
 def interpreted(spark):
-    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    for name in ("spark.sql.codegen.wholeStage", "spark.sql.adaptive.enabled"):
+        spark.conf.set(name, "false")
     yield
     spark.conf.unset("spark.sql.codegen.wholeStage")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def put(folder, name, columns, lines, header=None):

@@ -191,3 +191,44 @@ def test_times_do_not_depend_on_the_session_zone(spark, rows):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert at == 1711852200000001
+
+
+GEO = [("Pune", 18.5, 73.9), ("Mumbai", 19.1, 72.9), ("Delhi", 28.6, 77.2), ("Agra", 27.2, 78.0), ("Nowhere", None, None)]
+
+
+def brute_far(entries, geo, minutes, km):
+    """Ids of rows whose window holds two cities that far apart."""
+    import math
+
+    at = {c: (math.radians(a), math.radians(b)) for c, a, b in geo if a is not None}
+
+    def apart(x, y):
+        if x not in at or y not in at:
+            return False
+        (a, b), (c, d) = at[x], at[y]
+        h = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
+        return 2 * 6371 * math.asin(math.sqrt(h)) >= km
+
+    found = []
+    for i, account, m, *_ in entries:
+        window = [e for e in entries if e[1] == account and account and e[2] is not None and m is not None and m - minutes <= e[2] <= m]
+        if any(apart(x[5], y[5]) for x in window for y in window):
+            found.append(i)
+    return sorted(found)
+
+
+@pytest.mark.parametrize("slice_minutes", [None, 7])
+def test_cities_must_be_far_apart(rows, slice_minutes):
+    s = replace(FraudSettings(), slice_minutes=slice_minutes)
+    geo = rows(GEO, "city string, lat double, lon double")
+    draw = random.Random(6)
+    entries = [
+        (f"T{i:03d}", draw.choice(["A", "B", "C", None]), draw.choice([draw.randrange(0, 600) / 2, None if draw.random() < 0.05 else 30.0]), 1, "SUCCESS",
+         draw.choice(["Pune", "Pune", "Mumbai", "Mumbai", "Delhi", "Agra", "Nowhere", "Unlisted", None])) for i in range(160)
+    ]
+    entries += [("near1", "D", 0, 1, "SUCCESS", "Pune"), ("near2", "D", 5, 1, "SUCCESS", "Mumbai"), ("far", "D", 30, 1, "SUCCESS", "Delhi"), ("gone", "D", 36, 1, "SUCCESS", None),
+                ("unknown", "E", 0, 1, "SUCCESS", "Nowhere"), ("known", "E", 1, 1, "SUCCESS", "Pune")]
+    got = ids(fraud.impossible_location(tx(rows, entries), s, geo))
+    assert got == brute_far(entries, GEO, 30, 500) and "far" in got and "near2" not in got and "known" not in got
+    scored = fraud.evaluate_rules(tx(rows, entries), s, city_geo=geo)
+    assert ids(scored.where("is_impossible_location")) == got and scored.count() == len(entries)

@@ -3,6 +3,7 @@ import json
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerbrook.operators import quality as q
 from ledgerbrook.settings import QualitySettings
@@ -117,3 +118,16 @@ def test_declared_rule_sets(rows):
     judged = {r.account_id: sorted(r.failed_rules)
               for r in q.evaluate(accounts, q.account_rules(s, customers)).collect()}
     assert judged == {"A1": [], "A2": ["RANGE_balance", "REFERENTIAL_customer_id", "VALIDITY_account_status"]}
+
+
+def test_observed_counts_equal_counted_ones(rows, spark, tmp_path):
+    df = rows([("a", 1), ("a", 50), (None, 5), ("b", None)], "k string, v int")
+    rules = [q.completeness("k", "v"), q.in_range("v", 2, 10), q.unique("k", rejects=False)]
+    evaluated = q.evaluate(df, rules)
+    watched, seen = q.observed(evaluated, rules, largest=F.max("v"))
+    watched.write.parquet(str(tmp_path / "judged"))
+    told = seen.get
+    assert (told["total"], told["rejected"], told["largest"]) == (4, 4, 50)
+    got = q.results_of(spark, told, rules, "d")
+    want = q.results(evaluated, rules, "d")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.columns == want.columns
