@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from ledgerbrook.plans import pipeline
-from ledgerbrook.sources import deliveries, lake, state
+from ledgerbrook.sources import deliveries, facts, lake, state
 from ledgerbrook.sources.schemas import RAW
 from ledgerbrook.streaming.files import ingest_available
 from test_pipeline import AS_OF, HEADERS, outcome, raw, slice_of, write  # noqa: F401
@@ -14,12 +14,13 @@ COLUMNS = HEADERS["transactions"].split(",")
 
 
 @pytest.fixture(autouse=True)
-def interpreted(spark):
-    for name in ("spark.sql.codegen.wholeStage", "spark.sql.adaptive.enabled"):
-        spark.conf.set(name, "false")
+def interpreted(spark, monkeypatch):
+    monkeypatch.setattr(facts, "BUCKETS", 4)
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
     yield
     spark.conf.unset("spark.sql.codegen.wholeStage")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def put(folder, name, columns, lines, header=None):

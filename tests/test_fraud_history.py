@@ -19,12 +19,13 @@ FLAGS = [fraud.rule_flag(r) for r in fraud.RULES]
 
 
 @pytest.fixture(autouse=True)
-def interpreted(spark):
-    for name in ("spark.sql.codegen.wholeStage", "spark.sql.adaptive.enabled"):
-        spark.conf.set(name, "false")
+def interpreted(spark, monkeypatch):
+    monkeypatch.setattr(facts, "BUCKETS", 4)
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
     yield
     spark.conf.unset("spark.sql.codegen.wholeStage")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def number(day):

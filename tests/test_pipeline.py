@@ -4,7 +4,7 @@ import pytest
 
 from ledgerbrook.operators import fraud
 from ledgerbrook.plans import pipeline
-from ledgerbrook.sources import lake, state
+from ledgerbrook.sources import facts, lake, state
 from ledgerbrook.streaming.files import ingest_available
 
 AS_OF = dt.datetime(2024, 6, 1)
@@ -51,13 +51,14 @@ def write(folder, dataset, lines, name="part"):
 
 
 @pytest.fixture(autouse=True)
-def interpreted(spark):
-    """Compiling hundreds of plans for a few rows takes longer than running them."""
-    for name in ("spark.sql.codegen.wholeStage", "spark.sql.adaptive.enabled"):
-        spark.conf.set(name, "false")
+def interpreted(spark, monkeypatch):
+    """Compiling hundreds of plans for a few rows takes longer than running them; so do many partitions and buckets."""
+    monkeypatch.setattr(facts, "BUCKETS", 4)
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
     yield
     spark.conf.unset("spark.sql.codegen.wholeStage")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 @pytest.fixture
