@@ -52,6 +52,11 @@ def customer_segment_summary(transactions: DataFrame, accounts: DataFrame, custo
         .groupBy("month_id", "account_id")
         .agg(F.count_if(F.col("amount") > high_value_above).alias("high_value"))
     )
+    return segment_summary(per_account, accounts, customers)
+
+
+def segment_summary(per_account: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFrame:
+    """The same from one row per (month_id, account_id) with its number of high-value transactions, `high_value`."""
     owned = lookup(per_account, accounts.select("account_id", "customer_id", "balance"), "account_id", "inner")
     people = customers.where(F.col("customer_segment").isNotNull()).select("customer_id", "customer_segment", "age")
     per_customer = (

@@ -558,6 +558,12 @@ big as (select month_id, customer_segment, count(*) filter (where amount > 10000
         from joined group by all)
 select month_id, customer_segment, total_customers, avg_age, total_balance, high_value_transactions
 from people join money using (month_id, customer_segment) join big using (month_id, customer_segment)"""),
+    "active_accounts_by_period": _with("clean_tx clean_accounts", """
+, days as (select cast(transaction_timestamp as date) d, t.account_id
+           from clean_tx t join clean_accounts a on t.account_id = a.account_id where transaction_timestamp is not null)
+select strftime(d, '%Y-%m') period, count(distinct account_id) active_accounts from days group by all
+union all select strftime(d, '%Y') || '-Q' || quarter(d), count(distinct account_id) from days group by all
+union all select strftime(d, '%Y'), count(distinct account_id) from days group by all"""),
     "fraud_summary": _with("scored risky_merchants", """
 select cast(strftime(transaction_timestamp, '%Y%m%d') as int) date_id, risk_category merchant_risk_category, channel,
        count(*) filter (where fraud_score > 0) flagged_transactions,
@@ -621,3 +627,5 @@ select 'transactions' dataset, {_ts('max(ingestion_timestamp)', 'last_processed'
        strftime(max(tx_date), '%Y%m%d') last_run_id,
        {_ts('cast(max(tx_date) as timestamp)', 'updated_at')} from tx_events"""),
 }
+# another way to the same rows
+ORACLES["segment_summary_by_sets"] = ORACLES["customer_segment_summary"]

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerbrook.operators import analytics, cleansing, fraud, incremental, quality, temporal, warehouse
+from ledgerbrook.operators import analytics, cleansing, fraud, incremental, quality, sets, temporal, warehouse
 from ledgerbrook.operators.dedup import extra_copies, latest_per_key
 from ledgerbrook.operators.lookup import lookup
 from ledgerbrook.settings import EPOCH, Settings
@@ -366,16 +366,16 @@ def refresh_alerts(spark: SparkSession, this: Run, batch: DataFrame, mapping: Da
 
 def refresh_summaries(spark: SparkSession, this: Run, days: list[int], accounts: DataFrame,
                       customers: DataFrame, merchants: DataFrame) -> None:
-    """Recompute the summary rows of the given days and of their months."""
+    """Recompute the summary rows of the given days and of their months. Only the given days of the fact table are read:
+    the distinct accounts of a month are merged from sets kept per day."""
     root = this.root
     fact = read_fact(spark, root)
     concerned = in_days(fact, days)
     daily = analytics.daily_branch_metrics(concerned)
     frauds = analytics.fraud_summary(concerned, merchants)
-    in_months = fact.where((F.col("year") * 100 + F.col("month")).isin(sorted({d // 100 for d in days})))
-    segments = analytics.customer_segment_summary(
-        in_months, accounts, customers, this.settings.high_value_above,
-    )
+    facts.add_active_accounts(spark, root, days, this.run_id, this.settings.high_value_above)
+    active = facts.read_active_accounts(spark, root, sorted({d // 100 for d in days}))
+    segments = analytics.segment_summary(sets.account_months(active, facts.read_numbers(spark, root)), accounts, customers)
     stamp = F.lit(this.as_of).alias("last_updated")
     for name, df, part in (
         ("daily_branch_metrics", daily, "date_id"),

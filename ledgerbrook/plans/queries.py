@@ -16,7 +16,7 @@ from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, Timestamp
 
 from ledgerbrook.functions import columns as fx
 from ledgerbrook.operators import (
-    analytics, cleansing, enrichment, fraud, incremental, quality, temporal, warehouse,
+    analytics, cleansing, enrichment, fraud, incremental, quality, sets, temporal, warehouse,
 )
 from ledgerbrook.operators.dedup import latest_per_key, repeated_keys
 from ledgerbrook.plans import views
@@ -529,6 +529,28 @@ def customer_segment_summary(spark, d):
     return analytics.customer_segment_summary(*_clean(spark, d))
 
 
+def _active_days(spark, d):
+    """The sets of active accounts of every day, the numbers of accounts, and the dimensions."""
+    tx, accounts, customers = _clean(spark, d)
+    numbers = sets.numbered(accounts, "account_id", lots=sets.lots_for(accounts.count()))
+    dated = tx.where("transaction_timestamp is not null").select(
+        "account_id", "amount", F.to_date("transaction_timestamp").alias("tx_date"))
+    return sets.active_accounts(dated, numbers, ["tx_date"], SETTINGS.high_value_above), numbers, accounts, customers
+
+
+@query
+def segment_summary_by_sets(spark, d):
+    days, numbers, accounts, customers = _active_days(spark, d)
+    active = days.withColumn("month_id", fx.month_id("tx_date"))
+    return analytics.segment_summary(sets.account_months(active, numbers), accounts, customers)
+
+
+@query
+def active_accounts_by_period(spark, d):
+    days, *_ = _active_days(spark, d)
+    return sets.accounts_by_period(days.withColumns({"year": F.year("tx_date"), "month": F.month("tx_date")}))
+
+
 @query
 def fraud_summary(spark, d):
     return analytics.fraud_summary(_scored(spark, d), _clean_merchants(spark, d))

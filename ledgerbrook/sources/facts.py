@@ -17,12 +17,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerbrook.operators import fraud
+from ledgerbrook.operators import fraud, sets
+from ledgerbrook.operators.lookup import lookup
 from ledgerbrook.sources import lake, state
-from ledgerbrook.sources.schemas import ACCOUNT_DAY, ACCOUNT_TOTAL, FACT
+from ledgerbrook.sources.schemas import ACCOUNT_DAY, ACCOUNT_TOTAL, ACTIVE_DAY, FACT
 
 DAY_PARTITIONS = ("year", "month", "day")
-FACTS, ACCOUNT_DAYS, PREFIXES = "fact_transactions", "account_days", "account_totals"
+FACTS, ACCOUNT_DAYS, PREFIXES, ACTIVE = "fact_transactions", "account_days", "account_totals", "active_accounts"
 #: Buckets of an index, for its whole life.
 BUCKETS = 64
 
@@ -142,6 +143,41 @@ def totals_before(spark: SparkSession, root: str, day: int, run_id: str) -> Data
     return _parts(spark, root, day)[1]
 
 
+# ---- sets of active accounts ---------------------------------------------------------------------------
+
+
+def add_active_accounts(spark: SparkSession, root: str, days: list[int], run_id: str, high_value_above: float) -> None:
+    """Collect the accounts of the given days as sets, and of other days of their months that have none yet.
+
+    `high_value_above` is fixed in the stored days: after a change of it they have to be taken out of force (`drop_days`).
+    """
+    months = sorted({d // 100 for d in days})
+    in_months = F.floor(F.col("day") / 100).isin(months) & (F.col("records") > 0)
+    held, stored = (days_in_force(spark, root, t).where(in_months) for t in (FACTS, ACTIVE))
+    lacking = [r["day"] for r in held.select("day").exceptAll(stored.select("day")).collect()]
+    days = sorted({*days, *lacking})
+    fact = read_fact(spark, root, days)
+    known = state.read_state(spark, root, "account_numbers")
+    fresh = lookup(fact.select("account_id").where("account_id is not null").distinct(), known.select("account_id"), "account_id", "left_anti")
+    path = f"{root}/processed/new_accounts/run_id={run_id}"
+    lake.write_files(fresh, path)
+    fresh = spark.read.parquet(path)
+    state.append_state(sets.numbered(fresh, "account_id", known, sets.lots_for(fresh.count())), root, "account_numbers")
+    active = sets.active_accounts(fact, read_numbers(spark, root), list(DAY_PARTITIONS), high_value_above)
+    replace_days(active, root, days, run_id, table=ACTIVE)
+
+
+def read_numbers(spark: SparkSession, root: str) -> DataFrame:
+    """account_id, number: numbers are given once and never change."""
+    return state.read_state(spark, root, "account_numbers")
+
+
+def read_active_accounts(spark: SparkSession, root: str, months: list[int]) -> DataFrame:
+    """The sets of the days of the given months (yyyyMM), with their `month_id`."""
+    rows = read_days(spark, root, ACTIVE, ACTIVE_DAY, F.floor(F.col("day") / 100).isin(months))
+    return rows.withColumn("month_id", F.col("year") * 100 + F.col("month"))
+
+
 # ---- keys ----------------------------------------------------------------------------------------
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 # ---- landing tier: text only, so that no bad value fails a load ---------------
 
@@ -92,6 +92,12 @@ ACCOUNT_DAY, ACCOUNT_TOTAL = StructType().add("account_id", "string").add("tx_da
 for _name, _kind in (*_TOTALS, *_PARTITIONS):
     ACCOUNT_DAY, ACCOUNT_TOTAL = ACCOUNT_DAY.add(_name, _kind), ACCOUNT_TOTAL.add(_name, _kind)
 
+#: Accounts with transactions on a day, as sets of account numbers (`operators.sets`).
+ACTIVE_DAY = StructType().add("bucket", "long").add("members", "binary").add(
+    "high", ArrayType(StructType().add("position", "integer").add("times", "long")))
+for _name, _kind in _PARTITIONS:
+    ACTIVE_DAY = ACTIVE_DAY.add(_name, _kind)
+
 # ---- run state -----------------------------------------------------------------
 
 STATE = {
@@ -154,6 +160,9 @@ STATE = {
     .add("records", "long")
     .add("run_id", "string")
     .add("put_at", "timestamp"),
+    "account_numbers": StructType()
+    .add("account_id", "string")
+    .add("number", "long"),
     "resolutions": StructType()
     .add("run_id", "string")
     .add("dataset", "string")
