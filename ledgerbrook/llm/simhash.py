@@ -2,8 +2,9 @@
 
 A fingerprint bit is set if it is set in more than half of the shingle hashes. Fingerprints are compared within
 buckets: 64 bits in four blocks, and at a distance of 2 two blocks at least are equal, so each pair of blocks is a
-bucket key and no link is missed. In a bucket, distances are counted for many pairs at once: bit
-planes are stored vertically (one word holds one bit of 64 pairs), carry-save counters add up plane after plane, and a
+bucket key and no link is missed; a crowded bucket is split further, by blocks of its remaining bits. In a bucket, distances
+are counted for many pairs at once: bit planes are stored vertically (one word holds one bit of 64 fingerprints), the planes
+moved by a lag are those of the partners, carry-save counters add up plane after plane, and a
 block of pairs is abandoned once all of its pairs exceed the radius. A bucket gives only links that span its
 components. Components grow by large-star and small-star steps in Spark.
 """
@@ -25,8 +26,10 @@ SHINGLE = 3
 RADIUS = 2
 SEED = 42
 BITS = 64
-#: Pairs that are compared side by side: 64 words of 64 pairs.
+#: Words of 64 pairs that are compared side by side.
 LANES = 4096
+#: A bucket of more rows is split further.
+CROWDED = 512
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -67,49 +70,88 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), no_null("text").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
-def within(a: np.ndarray, b: np.ndarray, radius: int = RADIUS) -> np.ndarray:
-    """Which of the pairs a[i], b[i] differ in at most `radius` bits, by bit planes and carry-save counters."""
-    out = np.zeros(len(a), bool)
-    n_counters = max(1, radius.bit_length())
-    for at in range(0, len(a), LANES):
-        left, right = a[at : at + LANES], b[at : at + LANES]
-        n = len(left)
-        full = -(-n // 64) * 64
-
-        def planes(x: np.ndarray) -> np.ndarray:
-            """[bit, word]: bit k of pairs 64 w .. 64 w + 63 in word w of row k."""
-            bits = np.zeros((full, BITS), np.uint8)
-            bits[:n] = np.unpackbits(x.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            return np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view("<u8")
-
-        one, two = planes(left), planes(right)
-        counters = [np.zeros(full // 64, np.uint64) for _ in range(n_counters)]
-        over = np.zeros(full // 64, np.uint64)
-        everything = ~np.uint64(0)
+def planes(fp: np.ndarray) -> np.ndarray:
+    """[bit, word]: bit k of fingerprints 64 w .. 64 w + 63 in word w of row k; one word more than needed."""
+    out = np.zeros((BITS, -(-len(fp) // 64) + 1), np.uint64)
+    for at in range(0, len(fp), LANES):
+        some = fp[at : at + LANES]
+        bits = np.zeros((-(-len(some) // 64) * 64, BITS), np.uint8)
+        bits[: len(some)] = np.unpackbits(some.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        words = np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view("<u8")
+        out[:, at // 64 : at // 64 + words.shape[1]] = words
+    return out
+
+
+def near(stored: np.ndarray, rows: np.ndarray, lag: int, radius: int = RADIUS) -> np.ndarray:
+    """Those of the rows (ascending) that differ from the row `lag` behind them in at most `radius` bits, by the stored bit planes and
+    carry-save counters. 64 pairs are one word, whose partners are the same planes moved by the lag."""
+    n_counters, everything = max(1, radius.bit_length()), ~np.uint64(0)
+    words, place = np.unique(rows >> 6, return_inverse=True)
+    asked = np.zeros(len(words), np.uint64)
+    np.bitwise_or.at(asked, place, np.uint64(1) << (rows & 63).astype(np.uint64))
+    whole, rest = lag >> 6, np.uint64(lag & 63)
+    close = np.empty(len(words), np.uint64)
+    for at in range(0, len(words), LANES):
+        w = words[at : at + LANES]
+        over = ~asked[at : at + LANES]
+        counters = [np.zeros(len(w), np.uint64) for _ in range(n_counters)]
         for k in range(BITS):
-            carry = one[k] ^ two[k]
+            moved = stored[k, w + whole] >> rest
+            if rest:
+                moved |= stored[k, w + whole + 1] << (np.uint64(64) - rest)
+            carry = stored[k, w] ^ moved
             for c in range(n_counters):
                 counters[c], carry = counters[c] ^ carry, counters[c] & carry
             over |= carry
-            if radius + 1 < 1 << n_counters:  # the counters hold more than the radius: compare them with it
-                above, equal = np.zeros_like(over), np.full_like(over, everything)
-                for c in range(n_counters - 1, -1, -1):
-                    want = everything if radius >> c & 1 else np.uint64(0)
-                    above |= equal & counters[c] & ~want
-                    equal &= ~(counters[c] ^ want)
-                over |= above
-            if k % 8 == 7 and (over == everything).all():
-                break
-        close = np.unpackbits((~over).view(np.uint8), bitorder="little")[:n]
-        out[at : at + n] = close.astype(bool)
+            if k % 8 == 7:
+                if radius + 1 < 1 << n_counters:  # the counters hold more than the radius: compare them with it
+                    above, equal = np.zeros_like(over), np.full_like(over, everything)
+                    for c in range(n_counters - 1, -1, -1):
+                        want = everything if radius >> c & 1 else np.uint64(0)
+                        above |= equal & counters[c] & ~want
+                        equal &= ~(counters[c] ^ want)
+                    # a counter that is over now may run over later, never come back unseen
+                    over |= above
+                if (over == everything).all():
+                    break
+        close[at : at + LANES] = ~over
+    return rows[(close[place] >> (rows & 63).astype(np.uint64) & np.uint64(1)).astype(bool)]
+
+
+def within(a: np.ndarray, b: np.ndarray, radius: int = RADIUS) -> np.ndarray:
+    """Which of the pairs a[i], b[i] differ in at most `radius` bits: one row of all a, then all b, compared at that lag."""
+    out = np.zeros(len(a), bool)
+    out[near(planes(np.r_[a, b]), np.arange(len(a)), len(a), radius)] = True
     return out
 
 
-def spanning_links(key: np.ndarray, fp: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+def buckets(key: np.ndarray, fp: np.ndarray, free: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bucket, rows): row numbers in order of their bucket. A bucket of more than CROWDED rows is split by its free bits (the ones that its
+    rows need not share) in three blocks: within a radius of 2 one of them is equal, so the three sets of
+    smaller buckets hold every link; and so on until buckets are small or no free bits are left."""
+    work = [(key, np.arange(len(fp)), free)]
+    while work:
+        bucket, rows, bits = work.pop()
+        size = np.diff(np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(bucket)]) if len(bucket) else np.empty(0, np.int64)
+        crowded = np.repeat(size > CROWDED, size) & (len(bits) >= 3)
+        if not crowded.all():
+            yield bucket[~crowded], rows[~crowded]
+        if crowded.any():
+            of, those = np.cumsum(np.r_[True, bucket[crowded][1:] != bucket[crowded][:-1]]), rows[crowded]
+            for block in np.array_split(bits, 3):
+                value = np.zeros(len(those), np.int64)
+                for b in block.tolist():
+                    value = value << 1 | (fp[those] >> np.uint64(b) & np.uint64(1)).astype(np.int64)
+                order = np.lexsort((value, of))
+                named = (of << 22 | value)[order]  # a block has 11 bits at most
+                work.append((named, those[order], np.setdiff1d(bits, block)))
+
+
+def spanning_links(key: np.ndarray, fp: np.ndarray, free: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Links between fingerprints of one key (rows sorted by key) that connect what is within the radius: each fingerprint with
-    the smallest of its component in the bucket. Rows are compared with the rows 1, 2, 3 ... behind them, so memory is linear."""
-    n = len(fp)
-    root = np.arange(n)
+    the smallest of its component in the bucket. `free` are the bits that rows of one key need not share. In a
+    bucket rows are compared with the rows 1, 2, 3 ... behind them, so memory is linear."""
+    root = np.arange(len(fp))
 
     def find(x: np.ndarray) -> np.ndarray:
         while True:
@@ -119,27 +161,28 @@ def spanning_links(key: np.ndarray, fp: np.ndarray, radius: int = RADIUS) -> tup
             root[x] = root[up]
             x = root[x]
 
-    rows, lag = np.arange(n), 0
-    while True:
-        lag += 1
-        rows = rows[rows + lag < n]
-        rows = rows[key[rows] == key[rows + lag]]
-        if not len(rows):
-            break
-        top = find(np.arange(n))
-        apart = rows[top[rows] != top[rows + lag]]
-        near = apart[within(fp[apart], fp[apart + lag], radius)]
-        for i, j in zip(near.tolist(), (near + lag).tolist()):
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            while root[j] != j:
-                root[j] = root[root[j]]
-                j = root[j]
-            if i != j:
-                root[max(i, j)] = min(i, j)
-    top = find(np.arange(n))
-    linked = np.flatnonzero(top != np.arange(n))
+    for bucket, number in buckets(key, fp, free):
+        n, stored = len(number), planes(fp[number])
+        rows, lag = np.arange(n), 0
+        while True:
+            lag += 1
+            rows = rows[rows + lag < n]
+            rows = rows[bucket[rows] == bucket[rows + lag]]
+            if not len(rows):
+                break
+            apart = rows[find(number[rows]) != find(number[rows + lag])]
+            close = near(stored, apart, lag, radius)
+            for i, j in zip(number[close].tolist(), number[close + lag].tolist()):
+                while root[i] != i:
+                    root[i] = root[root[i]]
+                    i = root[i]
+                while root[j] != j:
+                    root[j] = root[root[j]]
+                    j = root[j]
+                if i != j:
+                    root[max(i, j)] = min(i, j)
+    top = find(np.arange(len(fp)))
+    linked = np.flatnonzero(top != np.arange(len(fp)))
     return fp[top[linked]], fp[linked]
 
 
@@ -160,8 +203,11 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
                 cut = int((key != key[-1]).sum())  # sorted: the last key's rows are the last
                 held = key[cut:], fp[cut:]
                 key, fp = key[:cut], fp[:cut]
-            u, v = spanning_links(key, fp.view(np.uint64), radius)
-            yield pa.record_batch([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
+            pair = key >> 32
+            for p in np.unique(pair).tolist():
+                free = np.concatenate([np.arange(16 * t, 16 * t + 16) for t in range(4) if t not in (p >> 4, p & 15)])
+                u, v = spanning_links(key[pair == p], fp[pair == p].view(np.uint64), free, radius)
+                yield pa.record_batch([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
 
     def and_end(batches):
         yield from batches
