@@ -24,6 +24,8 @@ from .common import no_null, parts, shared_folder, text_bytes
 
 #: A name with so many occurrences is heavy: its windows go to buckets of their own, by their own text, one by one.
 HEAVY = 16384
+#: A run ends after so many windows, so a text that repeats itself travels as many equal runs instead of one as long as itself.
+LONGEST = 4096
 #: Bits of the names that runs of windows are counted by before anything else is sent.
 NAME_BITS = 48
 
@@ -60,17 +62,30 @@ def least_of(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def group_windows(least: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number and name of the runs of valid consecutive windows with equal least value."""
+def group_windows(least: np.ndarray, valid: np.ndarray, longest: int = LONGEST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First window, number and name of the runs of valid consecutive windows with equal least value, of `longest` windows at most.
+
+    Where a run is cut makes no difference to what is found: both pieces keep the name.
+    """
     at = np.flatnonzero(valid)
     if not len(at):
         return at, at, np.empty(0, np.uint64)
     value = least[at]
     new = np.r_[True, (at[1:] != at[:-1] + 1) | (value[1:] != value[:-1])]
     heads = np.flatnonzero(new)
+    if len(at) > longest and np.diff(np.r_[heads, len(at)]).max() > longest:
+        place = np.arange(len(at)) - np.repeat(heads, np.diff(np.r_[heads, len(at)]))
+        heads = np.flatnonzero(place % longest == 0)
     return at[heads], np.diff(np.r_[heads, len(at)]), value[heads]
 
 
+def carried_on(first: np.ndarray, count: np.ndarray, name: np.ndarray, owner: np.ndarray, longest: int = LONGEST) -> np.ndarray:
+    """Which runs go on with one that was ended for its length. They don't count as occurrences of the name: one long run is no
+    heavy name, and the piece before them has counted."""
+    on = (count[:-1] == longest) & (first[1:] == first[:-1] + longest) & (name[1:] == name[:-1]) & (owner[1:] == owner[:-1])
+    return np.r_[False, on] if len(first) else np.empty(0, bool)
+
+
 def squeeze(a: np.ndarray) -> bytes:
     """Integers by byte planes, compressed."""
     a = np.ascontiguousarray(a)
@@ -215,36 +230,41 @@ def segments(table: DataFrame, names: DataFrame, n: int, runs_of, pack, windows)
         if not len(keep):
             return none
         joined = b"".join(data)
+        known: dict[bytes, int] = {}  # every text that travels, once
         found = [pack(joined, a, b) for a, b in zip(runs.begin[keep].tolist(), runs.end[keep].tolist())]
         bucket, own, at_first = bucket_of(runs.name[keep], n), owner[keep], runs.first[keep]
         apart = heavy[place[keep]]
-        if apart.any():
-            single, of, of_first = [], [], []
-            for i in np.flatnonzero(apart).tolist():
-                texts_of = windows(found[i])
-                single += texts_of
-                of += [own[i]] * len(texts_of)
-                of_first += range(at_first[i], at_first[i] + len(texts_of))
-            digests = [int.from_bytes(hashlib.blake2b(x, digest_size=6).digest(), "big") for x in single]
-            stay = np.flatnonzero(~apart)
-            found = [found[i] for i in stay.tolist()] + single
-            bucket = np.r_[bucket[stay], bucket_of(np.array(digests, dtype=np.uint64), n)]
-            own, at_first = np.r_[own[stay], np.array(of, dtype=np.int64)], np.r_[at_first[stay], np.array(of_first, dtype=np.int64)]
+        stay = np.flatnonzero(~apart)
+        text_of = [np.array([known.setdefault(found[i], len(known)) for i in stay.tolist()], dtype=np.uint32)]
+        bucket_at, own_at, first_at = [bucket[stay]], [own[stay]], [at_first[stay]]
+        singles: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}  # windows of a run and their buckets; equal runs share them
+        for i in np.flatnonzero(apart).tolist():
+            if found[i] not in singles:
+                single = windows(found[i])
+                digests = [int.from_bytes(hashlib.blake2b(x, digest_size=6).digest(), "big") for x in single]
+                numbers = np.array([known.setdefault(x, len(known)) for x in single], dtype=np.uint32)
+                singles[found[i]] = numbers, bucket_of(np.array(digests, dtype=np.uint64), n)
+            numbers, to = singles[found[i]]
+            text_of.append(numbers)
+            bucket_at.append(to)
+            own_at.append(np.full(len(to), own[i]))
+            first_at.append(at_first[i] + np.arange(len(to)))
+        every = list(known)
+        text_of, bucket, own, at_first = (np.concatenate(x) for x in (text_of, bucket_at, own_at, first_at))
         order = np.argsort(bucket, kind="stable")
-        bucket, own, at_first, found = bucket[order], own[order], at_first[order], [found[i] for i in order.tolist()]
+        text_of, bucket, own, at_first = text_of[order], bucket[order], own[order], at_first[order]
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
         out = []
         for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)]):
-            known: dict[bytes, int] = {}
-            number = np.array([known.setdefault(x, len(known)) for x in found[a:b]], dtype=np.uint32)
+            used, number = np.unique(text_of[a:b], return_inverse=True)
             docs = own[a:b]
-            firsts = np.full(len(known), np.iinfo(np.int64).max)
+            firsts = np.full(len(used), np.iinfo(np.int64).max)
             np.minimum.at(firsts, number, first[docs])
-            times = np.bincount(number, copies[docs], len(known)).astype(np.int64)
-            text = b"".join(known)
+            times = np.bincount(number, copies[docs], len(used)).astype(np.int64)
+            sent = [every[i] for i in used.tolist()]
             out.append((
-                int(bucket[a]), zstandard.ZstdCompressor(level=3).compress(text), squeeze(np.fromiter(map(len, known), np.uint32, len(known))),
-                squeeze(firsts), squeeze(times), squeeze(number), squeeze(docs.astype(np.uint32)), squeeze(at_first[a:b].astype(np.int64)),
+                int(bucket[a]), zstandard.ZstdCompressor(level=3).compress(b"".join(sent)), squeeze(np.fromiter(map(len, sent), np.uint32, len(sent))),
+                squeeze(firsts), squeeze(times), squeeze(number.astype(np.uint32)), squeeze(docs.astype(np.uint32)), squeeze(at_first[a:b].astype(np.int64)),
             ))
         return pa.table([pa.array([texts["chunk"][0].as_py()] * len(out), pa.int32()), *(pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int32(), *[pa.binary()] * 7)))], none.column_names)
 

@@ -38,6 +38,17 @@ def words_at(data: bytes) -> np.ndarray:
 def runs_of(length: int = LENGTH, sample: int = SAMPLE):
     width = length - sample + 1
 
+    def named(data: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Runs of the windows in the joined texts that end at `ends`."""
+        w = words_at(data)
+        n = len(data) - sample + 1
+        h = w[:n] * np.uint64(0xD6E8FEB86659FD93) + w[8 : n + 8] * np.uint64(0xA0761D6478BD642F) + w[sample - 8 : n + sample - 8] * np.uint64(0xE7037ED1A0B428DB)
+        least = chunks.least_of(chunks.mix(h), width)
+        valid = np.ones(len(least), bool)
+        for e in ends[:-1].tolist():  # windows that would reach into the next text
+            valid[max(0, e - length + 1) : e] = False
+        return chunks.group_windows(least, valid)
+
     def find(texts: list[bytes]) -> tuple[chunks.Runs, np.ndarray]:
         firsts, counts, names, owners = [], [], [], []
         offset = start = 0
@@ -47,26 +58,22 @@ def runs_of(length: int = LENGTH, sample: int = SAMPLE):
                 size += len(texts[stop])
                 stop += 1
             part = texts[start:stop]
+            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)))
             data = b"".join(part)
-            if len(data) >= length:
-                w = words_at(data)
-                n = len(data) - sample + 1
-                h = w[:n] * np.uint64(0xD6E8FEB86659FD93) + w[8 : n + 8] * np.uint64(0xA0761D6478BD642F) + w[sample - 8 : n + sample - 8] * np.uint64(0xE7037ED1A0B428DB)
-                least = chunks.least_of(chunks.mix(h), width)
-                lengths = np.fromiter(map(len, part), np.int64, len(part))
-                valid = np.ones(len(least), bool)
-                ends = np.cumsum(lengths)
-                for e in ends[:-1].tolist():  # windows that would reach into the next text
-                    valid[max(0, e - length + 1) : e] = False
-                first, count, name = chunks.group_windows(least, valid)
-                firsts.append(first + offset)
-                counts.append(count)
-                names.append(chunks.mix(name) >> np.uint64(64 - chunks.NAME_BITS))  # the least hashes are not spread evenly
-                owners.append(np.searchsorted(ends, first, "right") + start)
+            # a text longer than a piece is hashed in stretches that share all but one byte of a window
+            for a in range(0, max(1, len(data) - length + 1), PIECE) if len(part) == 1 else (0,):
+                piece = data[a : a + PIECE + length - 1] if len(part) == 1 else data
+                if len(piece) >= length:
+                    first, count, name = named(piece, ends)
+                    firsts.append(first + a + offset)
+                    counts.append(count)
+                    names.append(chunks.mix(name) >> np.uint64(64 - chunks.NAME_BITS))  # the least hashes are not spread evenly
+                    owners.append(np.searchsorted(ends, first + a, "right") + start)
             offset += size
             start = stop
         first, count, name, owner = (np.concatenate(x) if x else np.empty(0, t) for x, t in ((firsts, np.int64), (counts, np.int64), (names, np.uint64), (owners, np.int64)))
-        return chunks.Runs(first, first + count - 1 + length, first, count, name, np.ones(len(count), np.int64)), owner
+        times = 1 - chunks.carried_on(first, count, name, owner).astype(np.int64)
+        return chunks.Runs(first, first + count - 1 + length, first, count, name, times), owner
 
     return find
 

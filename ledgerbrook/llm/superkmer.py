@@ -33,21 +33,78 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    if not len(begin):
-        return np.empty(0, np.uint64)
-    letter = ~_SPACE[data]
-    number = np.cumsum(np.bincount(begin, minlength=len(data))) - 1
-    place = np.arange(len(data)) - begin[np.maximum(number, 0)]
-    mixed = chunks.mix((data.astype(np.uint64) + np.uint64(1)) * np.uint64(0xA0761D6478BD642F) + place.astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB))
-    return chunks.mix(np.add.reduceat(np.where(letter, mixed, np.uint64(0)), begin) + (end - begin).astype(np.uint64))
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, block: int = 1 << 20) -> np.ndarray:
+    """A hash of each word, added up over blocks of bytes, as a word may be as long as its text."""
+    total = np.zeros(len(begin), np.uint64)
+    for a in range(0, len(data), block):
+        some = data[a : a + block]
+        i, j = np.searchsorted(end, a, "right"), np.searchsorted(begin, a + len(some))
+        if i < j:
+            starts = np.maximum(begin[i:j] - a, 0)
+            number = np.cumsum(np.bincount(starts, minlength=len(some))) - 1
+            place = np.arange(a, a + len(some)) - begin[i + np.maximum(number, 0)]
+            mixed = chunks.mix((some.astype(np.uint64) + np.uint64(1)) * np.uint64(0xA0761D6478BD642F) + place.astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB))
+            total[i:j] += np.add.reduceat(np.where(_SPACE[some], np.uint64(0), mixed), starts)
+    return chunks.mix(total + (end - begin).astype(np.uint64))
+
+
+def stretches(text: bytes, window: int, piece: int):
+    """Offset and end of stretches of a text of about `piece` bytes, whole words each, so that every window is in one of them whole
+    and the windows of the stretches are different ones; the first word and the words of a stretch, which overlap by window - 1."""
+    data = np.frombuffer(text, np.uint8)
+    at = word = 0
+    reach = piece
+    while True:
+        stop = at + reach
+        while stop < len(data) and not (space := _SPACE[data[stop : stop + 65536]]).any():
+            stop += 65536
+        stop = stop + int(space.argmax()) if stop < len(data) else len(data)
+        begin, end = word_bounds(data[at:stop])
+        if stop == len(data):
+            yield at, stop, word, begin, end
+            return
+        if len(begin) < 2 * window:
+            reach *= 2
+            continue
+        yield at, stop, word, begin, end
+        new = len(begin) - window + 1
+        at, word, reach = at + int(begin[new]), word + new, piece
 
 
 def runs_of(window: int = WINDOW, minimiser: int = MINIMISER, piece: int = 1 << 20):
     """Runs of a chunk: begin and end are bytes of the joined texts; first is the first window's number (words of the chunk)."""
+    width = window - minimiser + 1
+
+    def named(data: np.ndarray, begin: np.ndarray, end: np.ndarray, own: np.ndarray) -> tuple | None:
+        """Begin, end, first window, count, name, times and text of the runs in the words of `data`."""
+        if len(begin) < window:
+            return None
+        w = word_hashes(data, begin, end)
+        h = np.zeros(len(w) - minimiser + 1, np.uint64)
+        for k in range(minimiser):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + w[k : k + len(h)]
+        h = chunks.mix(h)
+        least = chunks.least_of(h, width)
+        valid = own[: len(least)] == own[window - 1 :]
+        first, count, name = chunks.group_windows(least, valid)
+        # a run with its minimiser in two places may have equal windows
+        leftmost = first + h[first[:, None] + np.arange(width)].argmin(axis=1)
+        last = first + count - 1
+        rightmost = last + width - 1 - h[last[:, None] + np.arange(width - 1, -1, -1)].argmin(axis=1)
+        times = 1 + (leftmost < rightmost)
+        return begin[first], end[first + count + window - 2], first, count, chunks.mix(name) >> np.uint64(64 - chunks.NAME_BITS), times, own[first]
 
     def find(texts: list[bytes]) -> tuple[chunks.Runs, np.ndarray]:
         out: list[list[np.ndarray]] = [[] for _ in range(7)]
+
+        def add(found: tuple | None, offset: int, words: int, start: int) -> None:
+            if found is not None:
+                begin, end, first, count, name, times, text_of = found
+                # in the joined texts there are no line breaks between them
+                values = (begin - text_of + offset, end - text_of + offset, first + words, count, name, times, text_of + start)
+                for column, value in zip(out, values):
+                    column.append(value)
+
         offset = words_before = start = 0
         while start < len(texts):
             stop, size = start, 0
@@ -55,35 +112,23 @@ def runs_of(window: int = WINDOW, minimiser: int = MINIMISER, piece: int = 1 <<
                 size += len(texts[stop])
                 stop += 1
             part = texts[start:stop]
-            # a line break keeps words of two texts apart
-            data = np.frombuffer(b"\n".join(part), np.uint8)
-            text_end = np.cumsum([len(t) + 1 for t in part])
-            begin, end = word_bounds(data)
-            own = np.searchsorted(text_end, begin, "right")
-            if len(begin) >= window:
-                w = word_hashes(data, begin, end)
-                h = np.zeros(len(w) - minimiser + 1, np.uint64)
-                for k in range(minimiser):
-                    h = h * np.uint64(0x9E3779B97F4A7C15) + w[k : k + len(h)]
-                h, width = chunks.mix(h), window - minimiser + 1
-                least = chunks.least_of(h, width)
-                valid = own[: len(least)] == own[window - 1 :]
-                first, count, name = chunks.group_windows(least, valid)
-                text_of = own[first]
-                # a run with its minimiser in two places may have equal windows
-                leftmost = first + h[first[:, None] + np.arange(width)].argmin(axis=1)
-                last = first + count - 1
-                rightmost = last + width - 1 - h[last[:, None] + np.arange(width - 1, -1, -1)].argmin(axis=1)
-                times = 1 + (leftmost < rightmost)
-                # in the joined texts there are no line breaks between them
-                values = (begin[first] - text_of + offset, end[first + count + window - 2] - text_of + offset, first + words_before, count, chunks.mix(name) >> np.uint64(64 - chunks.NAME_BITS), times, text_of + start)
-                for column, value in zip(out, values):
-                    column.append(value)
+            if size > piece:  # one long text
+                data, words = np.frombuffer(part[0], np.uint8), 0
+                for at, to, words, begin, end in stretches(part[0], window, piece):
+                    add(named(data[at:to], begin, end, np.zeros(len(begin), np.int64)), offset + at, words_before + words, start)
+                words += len(begin)
+            else:  # a line break keeps words of two texts apart
+                data = np.frombuffer(b"\n".join(part), np.uint8)
+                text_end = np.cumsum([len(t) + 1 for t in part])
+                begin, end = word_bounds(data)
+                add(named(data, begin, end, np.searchsorted(text_end, begin, "right")), offset, words_before, start)
+                words = len(begin)
             offset += size
-            words_before += len(begin)
+            words_before += words
             start = stop
-        made = [np.concatenate(c) if c else np.empty(0, t) for c, t in zip(out, (np.int64, np.int64, np.int64, np.int64, np.uint64, np.int64, np.int64))]
-        return chunks.Runs(*made[:6]), made[6]
+        begin, end, first, count, name, times, owner = [np.concatenate(c) if c else np.empty(0, t) for c, t in zip(out, (np.int64, np.int64, np.int64, np.int64, np.uint64, np.int64, np.int64))]
+        times = np.where(chunks.carried_on(first, count, name, owner), 0, times)
+        return chunks.Runs(begin, end, first, count, name, times), owner
 
     return find
 
@@ -145,8 +190,11 @@ def _apply(window: int):
         for key, text, n, (begin, end), stop in zip(keys, data, copies.tolist(), bounds, ends.tolist()):
             gone = covered[start:stop] | (n > 1 and len(begin) >= window)
             edge = np.flatnonzero(np.diff(np.r_[False, gone, False])).tolist()
-            kept = hashlib.sha256(b" ".join(text[a:b] for a, b in zip(begin[~gone].tolist(), end[~gone].tolist()))).hexdigest()
-            out.append((key, n, len(begin), int(gone.sum()), kept, [{"start": a, "end": b} for a, b in zip(edge[::2], edge[1::2])]))
+            kept, left, right = hashlib.sha256(), begin[~gone], end[~gone]
+            for i in range(0, len(left), 65536):
+                words = zip(left[i : i + 65536].tolist(), right[i : i + 65536].tolist())
+                kept.update((b" " if i else b"") + b" ".join(text[a:b] for a, b in words))
+            out.append((key, n, len(begin), int(gone.sum()), kept.hexdigest(), [{"start": a, "end": b} for a, b in zip(edge[::2], edge[1::2])]))
             start = stop
         kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
         return pa.table([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], ["key", "copies", "n_words", "n_removed", "kept_sha256", "removed"])

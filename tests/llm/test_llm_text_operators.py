@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm import decontaminate, fingerprint, mixing, sharding, simhash, suffix, superkmer
+from ledgerbrook.llm import chunks, decontaminate, fingerprint, mixing, sharding, simhash, suffix, superkmer
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use inside; a table may have columns of that name.
@@ -128,6 +128,64 @@ def test_bit_sliced_distances(radius):
     assert (simhash.within(a, b, radius) == (np.bitwise_count(a ^ b) <= radius)).all()
 
 
+@pytest.mark.parametrize("crowded", [4, 512])
+def test_crowded_buckets_give_every_link(monkeypatch, crowded):
+    monkeypatch.setattr(simhash, "CROWDED", crowded)
+    rng = np.random.default_rng(3)
+    free = np.r_[0:16, 32:48]
+    fp = np.unique(rng.integers(0, 1 << 9, 700, dtype=np.uint64) << np.uint64(3) | rng.integers(0, 1 << 6, 700, dtype=np.uint64) << np.uint64(40))
+    u, v = simhash.spanning_links(np.zeros(len(fp), np.int64), fp, free)
+
+    def groups(pairs):
+        root = {x: x for x in fp.tolist()}
+
+        def top(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in pairs:
+            root[top(a)] = top(b)
+        found = {}
+        for x in root:
+            found.setdefault(top(x), set()).add(x)
+        return sorted(map(sorted, found.values()))
+
+    close = np.argwhere(np.bitwise_count(fp[:, None] ^ fp) <= 2)
+    assert groups(zip(u.tolist(), v.tolist())) == groups((int(fp[i]), int(fp[j])) for i, j in close)
+
+
+@pytest.mark.parametrize("find, words", [(superkmer.runs_of(piece=1000), True), (superkmer.runs_of(), True), (suffix.runs_of(), False)])
+def test_every_window_is_in_one_run(monkeypatch, find, words):
+    monkeypatch.setattr(suffix, "PIECE", 1000)
+    rng = random.Random(4)
+    texts = [b"a " * 9000, b"b" * 9000, b" ".join(b"%d" % rng.randrange(40) for _ in range(3000)), b"c" * 3000 + b" x" * 3000 + b"\t", b"", b"one"]
+    runs, _ = find(texts)
+    chunk = b"".join(texts)
+    n_windows = sum(max(0, len(t.split()) - 34) if words else max(0, len(t) - 49) for t in texts)
+    every = np.concatenate([np.arange(a, a + n) for a, n in zip(runs.first.tolist(), runs.count.tolist())])
+    assert len(every) == len(set(every.tolist())) == n_windows and runs.count.max() <= chunks.LONGEST
+    names = {}
+    for begin, end, count, name in zip(runs.begin.tolist(), runs.end.tolist(), runs.count.tolist(), runs.name.tolist()):
+        text = chunk[begin:end]
+        units = text.split() if words else text
+        width = 35 if words else 50
+        assert len(units) == count + width - 1
+        for i in range(0, count, 97):
+            assert names.setdefault(b" ".join(units[i : i + width]) if words else units[i : i + width], name) == name
+
+
+def test_repetitive_texts(spark):
+    line = "- " * 20000
+    docs = [(1, line), (2, "x" + line[:5000]), (3, "z" * 30000), (4, "y" * 9 + "z" * 9000), (5, "ab " * 8000), (6, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed) for heavy in (chunks.HEAVY, 2) for r in superkmer.dedup(df, heavy=heavy).collect()}
+    assert got == {1: (20000, 20000), 2: (2500, 2499), 3: (1, 0), 4: (1, 0), 5: (8000, 8000), 6: (0, 0)}
+    for heavy in (chunks.HEAVY, 2):
+        got = {r.doc_id: (r.n_removed, r.n_spans) for r in suffix.dedup(df, heavy=heavy).collect()}
+        assert got == {1: (0, 0), 2: (5000, 1), 3: (0, 0), 4: (9000, 1), 5: (0, 0), 6: (0, 0)}
+
+
 def test_long_chains_are_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(900, 901), (901, 900), (5, 5)], "u long, v long")
     got = {r.node: r.root for r in simhash.components(edges).collect()}
