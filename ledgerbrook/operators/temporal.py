@@ -34,14 +34,23 @@ def _differs(columns: list[str], key: str) -> Column:
     return ~values.eqNullSafe(F.lag(values).over(Window.partitionBy(key).orderBy("first_seen")))
 
 
-def _islands(rows: DataFrame, starts: Column, key: str, columns: list[str]) -> DataFrame:
-    """Rows of a key in time order, joined up to the next one that starts anew."""
+def _islands(rows: DataFrame, starts: Column, key: str) -> DataFrame:
+    """Rows of a key in time order, joined up to the next one that starts anew.
+
+    An island is its first row, which takes the end of the last one from the row after the island. All windows
+    share one order, so a task sorts its rows once, however many steps follow.
+    """
     order = Window.partitionBy(key).orderBy("first_seen")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     numbered = rows.withColumn("__starts", starts).withColumn("__island", F.sum(F.col("__starts").cast("int")).over(order))
-    kept = [F.first(c).alias(c) for c in columns]
-    return numbered.groupBy(key, "__island").agg(
-        *kept, F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")
-    ).drop("__island")
+    end = F.struct("__island", "last_seen")
+    ended = numbered.withColumns({
+        "__opens": ~F.col("__island").eqNullSafe(F.lag("__island").over(order)),
+        "__before": F.max(end).over(earlier), "__end": F.max(end).over(whole),
+    })
+    last = F.coalesce(F.lead("__before").over(order), F.col("__end"))["last_seen"]
+    return ended.where("__opens").withColumn("last_seen", last).drop("__starts", "__island", "__opens", "__before", "__end")
 
 
 def observe(runs: DataFrame | None, taken: list[dt.datetime], snapshot: DataFrame, key: str, as_of: dt.datetime) -> DataFrame:
@@ -51,7 +60,8 @@ def observe(runs: DataFrame | None, taken: list[dt.datetime], snapshot: DataFram
     `taken` are the times of the snapshots so far (one per load, so a short list). A snapshot between two others divides the
     runs that it does not confirm; one of a time already taken replaces it. The outcome depends on the snapshots alone,
     not on the order of their arrival. Snapshots have one row per key; a key's runs meet in one window, at most
-    one per snapshot.
+    one per snapshot. Each snapshot is a shuffle of its own, by the hint: otherwise all snapshots of a dimension, shuffled
+    by the same key, would be taken in by one stage whose tasks hold every sort of every step at once.
     """
     if runs is None:
         return seen_once(snapshot, as_of)
@@ -64,14 +74,14 @@ def observe(runs: DataFrame | None, taken: list[dt.datetime], snapshot: DataFram
     after = F.struct((F.greatest(first, _moment(later)) if later else none).alias("first_seen"), last.alias("last_seen"))
     sides = F.array_compact(F.array(F.when(first < now, before), F.when(last > now, after)))
     divided = runs.select(key, *columns, F.explode(sides).alias("seen")).select(key, *columns, "seen.*")
-    rows = divided.unionByName(seen_once(snapshot.select(key, *columns), as_of))
+    rows = divided.unionByName(seen_once(snapshot.select(key, *columns), as_of)).hint("rebalance", key)
     ended = F.lag("last_seen").over(Window.partitionBy(key).orderBy("first_seen"))
     follows = F.lit(False)
     if earlier:
         follows |= (ended == _moment(earlier)) & (first == now)
     if later:
         follows |= (ended == now) & (first == _moment(later))
-    return _islands(rows, _differs(columns, key) | ~fx.holds(follows), key, columns).select(key, *columns, *SEEN)
+    return _islands(rows, _differs(columns, key) | ~fx.holds(follows), key).select(key, *columns, *SEEN)
 
 
 def history(runs: DataFrame, key: str) -> DataFrame:
@@ -81,7 +91,7 @@ def history(runs: DataFrame, key: str) -> DataFrame:
     last one is active.
     """
     columns = [c for c in runs.columns if c != key and c not in SEEN]
-    versions = _islands(runs, _differs(columns, key), key, columns)
+    versions = _islands(runs, _differs(columns, key), key)
     following = F.lead("first_seen").over(Window.partitionBy(key).orderBy("first_seen"))
     return versions.select(
         key, *columns, following.isNull().alias("is_active"), F.col("first_seen").alias("valid_from"),

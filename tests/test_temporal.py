@@ -65,6 +65,28 @@ def test_many_random_snapshots(rows):
     assert versions_of(again) == brute_history(snapshots)
 
 
+def test_three_runs_join_to_one(rows):
+    """A snapshot that confirms what both its neighbours showed closes the gap it had made."""
+    runs, seen = None, []
+    for day, value in ((0, 1), (2, 1), (1, 5), (1, 1)):
+        runs = temporal.observe(runs, seen, rows([("a", value), ("b", 2)], "k string, v int"), "k", DAYS[day])
+        seen = sorted({*seen, DAYS[day]})
+    assert sorted(map(tuple, runs.collect())) == [("a", 1, DAYS[0], DAYS[2]), ("b", 2, DAYS[0], DAYS[2])]
+
+
+def test_a_stage_takes_in_one_snapshot_and_sorts_it_once(rows):
+    """A task's memory does not add up over the snapshots: each has a shuffle and, behind it, one sort for all steps."""
+    runs, taken_ = None, []
+    for day in (0, 3, 1, 2):
+        runs = temporal.observe(runs, taken_, rows([("a", "x", 1), ("b", None, day)], "k string, v string, w int"), "k", DAYS[day])
+        taken_.append(DAYS[day])
+    plan = _plan(temporal.history(runs, "k"))
+    steps = [line.lstrip(" :+-") for line in plan.splitlines()]
+    kinds = [next(k for k in ("Exchange", "Sort", "Union") if line.startswith(f"{k} ") or line == k) for line in steps if line.startswith(("Exchange ", "Sort ", "Union"))]
+    assert kinds == ["Sort", "Exchange", "Union"] * 3, plan
+    assert "Aggregate" not in plan
+
+
 def test_a_merge_into_the_past_is_refused(rows):
     first = warehouse.first_version(rows([("a", 1), ("b", 1)], "k string, v int"), "2024-01-01 00:00:00")
     same = warehouse.scd2(first, rows([("a", 1)], "k string, v int"), "k", "2023-06-01 00:00:00")
