@@ -107,6 +107,46 @@ def runs_of(versions: DataFrame) -> DataFrame:
 # ---- the version in force --------------------------------------------------------------------------
 
 
+def _merged(versions: DataFrame, key: str, attributes: list[str]) -> DataFrame:
+    """Versions reduced to some attributes: those that follow each other with equal ones are one. Empty versions don't count."""
+    order = Window.partitionBy(key).orderBy("valid_from", "valid_to", *attributes)
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    values = F.struct(F.col("valid_from").alias("at"), *attributes)
+    before = F.lag(F.struct(F.col("valid_to").alias("at"), *attributes)).over(order)
+    held = versions.where(F.col(key).isNotNull() & (F.col("valid_from") < F.col("valid_to"))).select(
+        key, "valid_from", "valid_to", *[c for c in attributes if c != "valid_from"])
+    opening = held.withColumns({
+        "__opens": ~values.eqNullSafe(before), "__before": F.lag("valid_to").over(order), "__end": F.last("valid_to").over(whole),
+    }).where("__opens")
+    return opening.withColumn("valid_to", F.coalesce(F.lead("__before").over(order), F.col("__end"))).drop("__opens", "__before", "__end")
+
+
+def _listed(versions: DataFrame, key: str, attributes: list[str], slice_days: int = SLICE_DAYS) -> DataFrame:
+    """One row per key with its versions in time order, as `__chunks` of those that begin in one slice of time.
+
+    A key has one version per change of the attributes, so one per snapshot at most.
+    """
+    begins = fx.floor_to(fx.micros("valid_from"), slice_days * fx.DAY).alias("__slice")
+    version = F.struct(F.col("valid_from").alias("__from"), F.col("valid_to").alias("__to"), *attributes)
+    chunks = _merged(versions, key, attributes).groupBy(key, begins).agg(F.sort_array(F.collect_list(version)).alias("versions"))
+    return chunks.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("__slice", "versions"))).alias("__chunks"))
+
+
+def _first() -> Column:
+    return F.try_element_at(F.try_element_at("__chunks", F.lit(1))["versions"], F.lit(1))
+
+
+def _holding(at: str, before_first: bool) -> Column:
+    """The listed version that holds at a time: the last begun one, sought in the last begun chunk."""
+    moment = F.col(at)
+    chunk = F.try_element_at(F.filter("__chunks", lambda c: c["versions"][0]["__from"] <= moment), F.lit(-1))
+    begun = F.try_element_at(F.filter(chunk["versions"], lambda v: v["__from"] <= moment), F.lit(-1))
+    holding = F.try_element_at(F.filter(F.array(begun), lambda v: moment < v["__to"]), F.lit(1))
+    if before_first:
+        holding = F.coalesce(holding, F.when(moment < _first()["__from"], _first()))
+    return holding
+
+
 def in_force(facts: DataFrame, versions: DataFrame, key: str, at: str, attributes: list[str], before_first: bool = False,
              slice_days: int = SLICE_DAYS) -> DataFrame:
     """`facts` with `attributes` of the version of `key` that holds at the time `at`; NULL where none does.
@@ -114,40 +154,43 @@ def in_force(facts: DataFrame, versions: DataFrame, key: str, at: str, attribute
     A version holds from valid_from (inclusive) to valid_to (exclusive); `versions` of a key don't overlap, empty ones
     don't count. With `before_first` a key's first version also holds before it began.
 
-    Time is cut into slices. For the slices of a key that facts need, the versions that begin in them are listed behind the one carried
-    over from earlier slices, by a window over slices, not over facts. A fact then meets its list by equality of key
-    and slice, so there is no range join, and a hot key is an ordinary skewed join that adaptive execution splits.
+    A fact meets the list of its key's versions by equality, so facts are read and shuffled once, there is no range join,
+    and a hot key is an ordinary skewed join that adaptive execution splits. A list is cut into slices of time; a fact
+    looks at the beginnings of the slices and at the versions of one of them.
     """
-    width = slice_days * fx.DAY
     clash = [c for c in attributes if c in facts.columns]
     if clash:
         raise ValueError(f"columns exist already: {', '.join(clash)}")
+    joined = lookup(facts, _listed(versions, key, attributes, slice_days), key)
+    return joined.withColumn("__version", _holding(at, before_first)).select(
+        *[F.col(c) for c in facts.columns], *[F.col("__version")[c].alias(c) for c in attributes]
+    )
 
-    def sliced(column: str) -> Column:
-        return fx.floor_to(fx.micros(column), width).alias("__slice")
 
-    version = F.struct(F.col("valid_from").alias("__from"), F.col("valid_to").alias("__to"), *attributes)
-    own = (
-        versions.where(F.col(key).isNotNull() & (F.col("valid_from") < F.col("valid_to")))
-        .select(key, sliced("valid_from"), version.alias("version"))
-        .groupBy(key, "__slice").agg(F.sort_array(F.collect_list("version")).alias("own"))
-    )
-    wanted = facts.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(key, sliced(at)).distinct()
-    marks = own.withColumn("wanted", F.lit(False)).unionByName(wanted.withColumn("wanted", F.lit(True)), allowMissingColumns=True)
-    slices = marks.groupBy(key, "__slice").agg(F.first("own", ignorenulls=True).alias("own"), F.max("wanted").alias("wanted"))
-    earlier = Window.partitionBy(key).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(key).orderBy("__slice").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    carried = F.last(F.try_element_at("own", F.lit(-1)), ignorenulls=True).over(earlier)
-    lists = slices.select(
-        key, "__slice", "wanted", F.array_compact(F.concat(F.array(carried), F.coalesce("own", F.array().cast(own.schema["own"].dataType)))).alias("__versions"),
-        F.first(F.try_element_at("own", F.lit(1)), ignorenulls=True).over(whole).alias("__first"),
-    ).where("wanted").drop("wanted")
-    joined = lookup(facts.withColumn("__slice", sliced(at)), lists, [key, "__slice"])
-    begun = F.filter("__versions", lambda v: v["__from"] <= F.col(at))
-    found = F.try_element_at(begun, F.lit(-1))
-    holding = F.when(F.col(at) < found["__to"], found)
-    if before_first:
-        holding = F.coalesce(holding, F.when(F.col(at) < F.col("__first")["__from"], F.col("__first")))
-    return joined.withColumn("__version", holding).select(
-        *[F.col(c) for c in facts.columns], *[F.col("__version")[c].alias(c) for c in attributes]
+def composed(versions: DataFrame, key: str, others: DataFrame, on: str, attributes: list[str], before_first: bool = False) -> DataFrame:
+    """The `versions` of a dimension by `key`, divided where the version of `on` among `others` changes, with its `attributes`.
+
+    Facts that look up `key` in the outcome, with the same `before_first`, get what they would get by looking up `key` in
+    `versions` and then `on` in `others`; so the dimensions are shuffled to meet, not the facts. With `before_first` a
+    key's first version is divided from the other's first one on.
+    """
+    clash = [c for c in attributes if c in versions.columns]
+    if clash:
+        raise ValueError(f"columns exist already: {', '.join(clash)}")
+    own = [c for c in versions.columns if c not in (key, "valid_from", "valid_to")]
+    order = Window.partitionBy(key).orderBy("valid_from", "valid_to", *own)
+    held = _merged(versions, key, own).withColumns({
+        "__opens": F.lag("valid_from").over(order).isNull(), "valid_to": F.least("valid_to", F.lead("valid_from").over(order)),
+    })
+    joined = lookup(held, _listed(others, on, attributes), on)
+    since = F.when(F.col("__opens"), F.least("valid_from", _first()["__from"])) if before_first else F.lit(None)
+    started = joined.withColumn("valid_from", F.coalesce(since, F.col("valid_from")))
+    ends = F.flatten(F.transform("__chunks", lambda c: F.flatten(F.transform(c["versions"], lambda v: F.array(v["__from"], v["__to"])))))
+    inside = F.filter(ends, lambda t: (t > F.col("valid_from")) & (t < F.col("valid_to")))
+    cuts = F.concat(F.array("valid_from"), F.coalesce(inside, F.array().cast("array<timestamp_ntz>")))
+    divided = started.withColumn("__cuts", F.array_sort(F.array_distinct(cuts)))
+    pieces = F.transform("__cuts", lambda t, i: F.struct(t.alias("valid_from"), F.coalesce(F.get("__cuts", i + 1), F.col("valid_to")).alias("valid_to")))
+    exploded = divided.select(key, *own, "__chunks", F.explode(pieces).alias("__piece")).select(key, *own, "__chunks", "__piece.*")
+    return exploded.withColumn("__version", _holding("valid_from", before_first)).select(
+        key, *own, "valid_from", "valid_to", *[F.col("__version")[c].alias(c) for c in attributes]
     )

@@ -123,13 +123,17 @@ def fact_as_of(transactions: DataFrame, accounts: DataFrame, customers: DataFram
     """As `fact_transactions`, with the versions in force when the transaction happened.
 
     `accounts` and `customers` are all versions. `before_first` takes a key's first version for times before it.
+    The two dimensions meet first, so the transactions are shuffled once, by account.
     """
     at = "transaction_timestamp"
-    owned = temporal.in_force(transactions, accounts, "account_id", at, ["customer_id", "branch_id"], before_first)
     known = customers.select("customer_id", "valid_from", "valid_to", F.col("customer_id").alias("known_customer_id"))
-    return (
-        temporal.in_force(owned, known, "customer_id", at, ["known_customer_id"], before_first)
+    owned = accounts.select("account_id", "customer_id", "branch_id", "valid_from", "valid_to")
+    owners = (
+        temporal.composed(owned, "account_id", known, "customer_id", ["known_customer_id"], before_first)
         .drop("customer_id").withColumnRenamed("known_customer_id", "customer_id")
+    )
+    return (
+        temporal.in_force(transactions, owners, "account_id", at, ["customer_id", "branch_id"], before_first)
         .withColumn("date_id", fx.date_id(at))
         .select(*FACT, *[c for c in ("ingestion_timestamp",) if c in transactions.columns])
     )

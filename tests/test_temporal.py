@@ -164,6 +164,73 @@ def test_a_hot_key_is_split_and_no_range_is_joined(spark, rows):
             spark.conf.unset(k)
 
 
+@pytest.mark.parametrize("before_first", [False, True])
+def test_composed_versions_equal_two_lookups(rows, before_first):
+    """Looking up one dimension cut along another is looking up both in turn, also in gaps and before the first versions."""
+    draw = random.Random(12)
+    moment = lambda: dt.datetime(2023, 12, 1) + dt.timedelta(hours=draw.randrange(90 * 24))
+
+    def versions(keys, value):
+        out = []
+        for k in keys:
+            cuts = sorted({moment() for _ in range(draw.randrange(1, 7))})
+            out += [(k, value(), s, e) for s, e in zip(cuts, [*cuts[1:], dt.datetime(9999, 12, 31)]) if draw.random() < 0.8]
+        return out
+
+    accounts = versions([f"a{i}" for i in range(15)], lambda: draw.choice(["c0", "c0", "c1", "c2", "nobody", None]))
+    customers = versions(["c0", "c1", "c2"], lambda: draw.choice([1, 2, None])) + [("c1", 9, DAYS[2], DAYS[2])]
+    edges = [t for v in accounts + customers for t in (v[2], v[2] - dt.timedelta(microseconds=1))]
+    data = [(f"a{draw.randrange(17)}", draw.choice([moment(), draw.choice(edges), None])) for _ in range(500)] + [("a1", dt.datetime(1960, 5, 5))]
+    want = {}
+    for i, (account, at) in enumerate(data):
+        owner = brute_in_force((account, at), accounts, before_first)
+        want[i] = (owner, brute_in_force((owner, at), customers, before_first))
+    owners = temporal.composed(
+        rows(accounts, "k string, owner string, valid_from timestamp_ntz, valid_to timestamp_ntz"), "k",
+        rows(customers, VERSIONS.replace("k string", "owner string")), "owner", ["x"], before_first)
+    df = rows([(i, k, t) for i, (k, t) in enumerate(data)], "i int, k string, at timestamp_ntz")
+    got = temporal.in_force(df, owners, "k", "at", ["owner", "x"], before_first).collect()
+    assert {r.i: (r.owner, r.x) for r in got} == want and len(got) == len(data)
+
+
+def test_versions_are_listed_once_per_change_of_what_is_asked(rows):
+    daily = [("a", 1 if d < 4 else 2, d, DAYS[d], DAYS[d + 1]) for d in range(6) if d != 2]
+    frame = rows(daily, "k string, x int, other int, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    (chunk,) = temporal._listed(frame, "k", ["x"]).first()["__chunks"]
+    assert [tuple(v) for v in chunk["versions"]] == [(DAYS[0], DAYS[2], 1), (DAYS[3], DAYS[4], 1), (DAYS[4], DAYS[6], 2)]
+
+
+def _above(plan, leaf):
+    """Names of the nodes above each leaf of a kind."""
+    path, found = [], []
+    for line in plan.splitlines():
+        name = line.lstrip(" :+-*()0123456789")
+        depth = len(line) - len(line.lstrip(" :+-"))
+        path = [(d, n) for d, n in path if d < depth] + [(depth, name.split(" ")[0])]
+        if name.startswith(leaf):
+            found.append([n for _, n in path[:-1]])
+    return found
+
+
+def test_facts_are_read_and_shuffled_once(spark, rows):
+    """Shuffled facts are the most of what a run keeps on disk."""
+    tx = spark.range(0, 1000, 1, 8).selectExpr(
+        "cast(id as string) transaction_id", "concat('a', id % 50) account_id", "timestamp_ntz'2024-01-03' transaction_timestamp",
+        *[f"'{c}' {c}" for c in ("merchant_id", "transaction_type", "amount", "status", "payment_method", "channel", "location")])
+    whole = (DAYS[0], dt.datetime(9999, 12, 31))
+    accounts = rows([(f"a{i}", f"c{i % 7}", "b", *whole) for i in range(50)], "account_id string, customer_id string, branch_id string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    customers = rows([(f"c{i}", *whole) for i in range(5)], "customer_id string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = warehouse.fact_as_of(tx, accounts, customers)
+        plan = _plan(df)
+        above = _above(plan, "Range ")
+        assert len(above) == 1 and above[0].count("Exchange") == 1, plan
+        assert df.where("customer_id is not null and branch_id = 'b'").count() == sum((i % 50) % 7 < 5 for i in range(1000))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 # ---- stored facts --------------------------------------------------------------------------------
 
 
